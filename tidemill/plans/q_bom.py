@@ -1 +1,90 @@
-"""Registered queries."""
+"""Registered BOM queries (H1-H6). Oracles: a recursive walk over explicit paths."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.operators import bom as B
+from tidemill.plans.registry import register
+from tidemill.plans.views import with_views
+from tidemill.sources import fixtures as fx
+
+LEVELS = 5
+
+
+def _walk(edges: str) -> str:
+    return f"""
+walk(root, node, path, q, lvl, site) as (
+  select parent, component, [parent, component], qty, 1, produced_at from {edges} where component <> parent
+  union all
+  select w.root, e.component, list_append(w.path, e.component), w.q * e.qty, w.lvl + 1, e.produced_at
+  from walk w join {edges} e on e.parent = w.node
+  where w.lvl < {LEVELS} and not list_contains(w.path, e.component))"""
+
+
+def _explode_sql(edges: str, site: bool) -> str:
+    key = "root, node, site" if site else "root, node"
+    sel = "root, node as component, site as produced_at" if site else "root, node as component"
+    return f"""
+with recursive {_walk(edges).strip()}
+select {sel}, cast(sum(q) as bigint) as qty, cast(count(*) as bigint) as paths,
+  cast(min(lvl) as int) as min_level, cast(max(lvl) as int) as max_level
+from walk group by {key}"""
+
+
+@register("bom_explode", sql=with_views(_explode_sql("bom", False), "bom"))
+def q_bom_explode(spark, sf_dir):
+    return B.bom_explode(fx.bom(spark, sf_dir), LEVELS)
+
+
+@register("bom_by_site", sql=with_views(_explode_sql("bom", True), "bom"))
+def q_bom_by_site(spark, sf_dir):
+    return B.bom_explode(fx.bom(spark, sf_dir), LEVELS, include_produced_at=True)
+
+
+@register("bom_explode_cyclic", sql=with_views(_explode_sql("bom_cyclic", False), "bom_cyclic"))
+def q_bom_explode_cyclic(spark, sf_dir):
+    return B.bom_explode(fx.bom(spark, sf_dir, with_cycle=True), LEVELS)
+
+
+@register("bom_cycles", sql=with_views(f"""
+with recursive {_walk("bom_cyclic").strip()}
+select root, parent, component, cast(sum(paths) as bigint) as paths, cast(min(level) as int) as level from (
+  select w.root, w.node as parent, e.component, count(*) as paths, min(w.lvl + 1) as level
+  from walk w join bom_cyclic e on e.parent = w.node
+  where w.lvl < {LEVELS} and list_contains(w.path, e.component) group by 1, 2, 3
+  union all
+  select parent, parent, component, count(*), 1 from bom_cyclic where parent = component group by 1, 2, 3) b
+group by 1, 2, 3""", "bom_cyclic"))
+def q_bom_cycles(spark, sf_dir):
+    return B.bom_cycles(fx.bom(spark, sf_dir, with_cycle=True), LEVELS)
+
+
+@register("bom_truncated", sql=with_views(f"""
+with recursive {_walk("bom").strip()}
+select root, node as component, cast(count(*) as bigint) as paths from walk
+where lvl = {LEVELS} and node in (select parent from bom) group by 1, 2""", "bom"))
+def q_bom_truncated(spark, sf_dir):
+    return B.bom_truncated(fx.bom(spark, sf_dir), LEVELS)
+
+
+_DEMAND = f"""
+with recursive {_walk("bom").strip()},
+ex as (select root, node as component, sum(q) as per_unit from walk group by 1, 2),
+dem as (select s.client_id, ex.component, s.ds, round(sum(s.qty * ex.per_unit), 4) as demand
+        from sales s join ex on ex.root = s.product_id group by 1, 2, 3)"""
+
+
+@register("component_demand", sql=with_views(f"{_DEMAND} select * from dem", "bom", "sales"))
+def q_component_demand(spark, sf_dir):
+    d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS))
+    return d.withColumn("demand", F.round("demand", 4))
+
+
+@register("bom_run_status", sql=with_views(f"""{_DEMAND}
+select client_id, count(*) as records_processed, max(ds) as last_processed_at,
+  case when count(*) > 0 then 'ok' else 'empty' end as status, cast(null as varchar) as error_message
+from dem group by 1""", "bom", "sales"))
+def q_bom_run_status(spark, sf_dir):
+    d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS))
+    return B.bom_run_status(d)

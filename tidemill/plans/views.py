@@ -109,6 +109,9 @@ def with_views(body: str, *names: str) -> str:
         return body.strip()
     ctes = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in ordered)
     body = body.strip()
-    if body.lower().startswith("with "):
+    low = body.lower()
+    if low.startswith("with recursive "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
+    if low.startswith("with "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
