@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.numeric import round_half_up_ratio
+from tidemill.functions.text import source_path
 
 # The log levels that keep a stack trace / count as severe.
 SEVERE_LEVELS = ("error", "fatal", "panic")
@@ -28,3 +29,65 @@ def log_stats(logs: DataFrame, as_of: Column, hours_back: int = 24) -> DataFrame
                 .select("service", "environment", "level", "count",
                         round_half_up_ratio(F.col("_sum"), F.col("_n"), 2).alias("avg_duration_ms"))
                 .orderBy(F.col("count").desc()))
+
+
+def normalise_logs(raw: DataFrame) -> DataFrame:
+    """Log rows as stored.
+
+    ``raw`` carries ``base_context`` and ``call_fields`` (``map<string,string>``),
+    ``file_path`` and ``stack_trace`` next to the fixed columns.
+
+    * context = base fields overlaid by call fields (call wins); ``_category``
+      moves out and replaces the category; ``duration_ms`` moves out and is
+      cast to int; an empty context is null;
+    * the source path keeps the part from the first ``src`` folder on, else
+      the file name;
+    * a stack trace is kept only for severe levels.
+    """
+    base, call = F.col("base_context"), F.col("call_fields")
+    merged = F.map_concat(F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(call), k)), call)
+    ctx = F.map_filter(merged, lambda k, v: ~k.isin("_category", "duration_ms"))
+    return raw.select(
+        "ts", "service_name", "environment", "level",
+        F.coalesce(merged["_category"], F.col("category")).alias("category"),
+        "trace_id", "message",
+        F.when(F.size(ctx) > 0, ctx).alias("context"),
+        merged["duration_ms"].try_cast("double").try_cast("int").alias("duration_ms"),
+        source_path(F.col("file_path")).alias("file_path"),
+        F.when(F.col("level").isin(*SEVERE_LEVELS), F.col("stack_trace")).alias("stack_trace"),
+        *[c for c in raw.columns if c == "event_id"],
+    )
+
+
+def context_text(ctx: Column) -> Column:
+    """A context map as sorted ``k=v`` pairs joined by ``;`` (stable text for reports)."""
+    pairs = F.transform(F.map_entries(ctx), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))))
+    return F.array_join(F.array_sort(pairs), ";")
+
+
+def severe_logs(logs: DataFrame) -> DataFrame:
+    """error/fatal/panic rows, newest first."""
+    return logs.filter(F.col("level").isin(*SEVERE_LEVELS)).orderBy(F.col("ts").desc(), F.col("event_id").desc())
+
+
+def logs_for_trace(logs: DataFrame, trace_id: str) -> DataFrame:
+    """All rows of one trace."""
+    return logs.filter(F.col("trace_id") == trace_id)
+
+
+def logs_for_context(logs: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows whose JSON context has ``key = value``."""
+    return logs.filter(F.get_json_object(F.col("context"), f"$.{key}") == value)
+
+
+def recent_logs(logs: DataFrame, category: str, as_of: Column, minutes: int) -> DataFrame:
+    """Rows of a category newer than ``as_of - minutes``, newest first."""
+    lo = as_of - F.make_dt_interval(mins=F.lit(minutes))
+    return (logs.filter((F.col("category") == category) & (F.col("ts") > lo))
+                .orderBy(F.col("ts").desc(), F.col("event_id").desc()))
+
+
+def last_errors(logs: DataFrame, category: str, n: int = 20) -> DataFrame:
+    """The newest ``n`` error rows of a category (F1): a top-k, planned as TakeOrderedAndProject."""
+    return (logs.filter((F.col("category") == category) & (F.col("level") == "error"))
+                .orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(n))

@@ -18,3 +18,88 @@ from logs where ts >= {AS_OF_SQL} - interval {HOURS_BACK_ALL} hour
 group by 1, 2, 3 order by count desc""", "logs"))
 def q_log_stats(spark, sf_dir):
     return L.log_stats(fx.logs(spark, sf_dir), as_of_ntz(), HOURS_BACK_ALL)
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemill.operators import partitions as P  # noqa: E402
+from tidemill.plans.params import RECENT_MINUTES_ALL  # noqa: E402
+
+LOG_COLS = "ts, service_name, environment, level, category, trace_id, message, duration_ms, event_id"
+
+
+def _logs(spark, sf_dir):
+    return fx.logs(spark, sf_dir)
+
+
+@register("normalised_logs", sql=with_views("""
+select ts, service_name, environment, level,
+  case when event_id % 7 = 0 then 'security' else category end as category, trace_id, message,
+  'k=' || coalesce(context->>'k', 'base') || ';service=' || service_name as context, duration_ms,
+  case event_id % 3 when 0 then 'src/handlers/event_handler.py' when 1 then 'site.py' else 'main.py' end as file_path,
+  case when level in ('error', 'fatal', 'panic') then 'Traceback ' || cast(event_id as varchar) end as stack_trace,
+  event_id
+from logs""", "logs"))
+def q_normalised_logs(spark, sf_dir):
+    n = L.normalise_logs(fx.log_calls(spark, sf_dir))
+    return n.withColumn("context", L.context_text(F.col("context")))
+
+
+@register("severe_logs", sql=with_views(f"""
+select {LOG_COLS} from logs where level in ('error', 'fatal', 'panic') order by ts desc, event_id desc""", "logs"))
+def q_severe_logs(spark, sf_dir):
+    return L.severe_logs(_logs(spark, sf_dir)).drop("context")
+
+
+@register("logs_for_trace", sql=with_views(f"select {LOG_COLS} from logs where trace_id = 'trace-42'", "logs"))
+def q_logs_for_trace(spark, sf_dir):
+    return L.logs_for_trace(_logs(spark, sf_dir), "trace-42").drop("context")
+
+
+@register("logs_for_client", sql=with_views(f"select {LOG_COLS} from logs where context->>'k' = '42'", "logs"))
+def q_logs_for_client(spark, sf_dir):
+    return L.logs_for_context(_logs(spark, sf_dir), "k", "42").drop("context")
+
+
+@register("recent_logs", sql=with_views(f"""
+select {LOG_COLS} from logs where category = 'messenger' and ts > {AS_OF_SQL} - interval {RECENT_MINUTES_ALL} minute
+order by ts desc, event_id desc""", "logs"))
+def q_recent_logs(spark, sf_dir):
+    return L.recent_logs(_logs(spark, sf_dir), "messenger", as_of_ntz(), RECENT_MINUTES_ALL).drop("context")
+
+
+@register("last_errors", sql=with_views(f"""
+select {LOG_COLS} from logs where category = 'messenger' and level = 'error'
+order by ts desc, event_id desc limit 20""", "logs"))
+def q_last_errors(spark, sf_dir):
+    return L.last_errors(_logs(spark, sf_dir), "messenger").drop("context")
+
+
+@register("logs_by_month", sql=with_views("""
+select cast(date_trunc('month', ts) as date) as month, count(*) as rows from logs group by 1""", "logs"))
+def q_logs_by_month(spark, sf_dir):
+    return P.partition_counts(_logs(spark, sf_dir))
+
+
+@register("month_calendar", sql=with_views(f"""
+with c as (select cast(date_trunc('month', ts) as date) as month, count(*) as rows from logs group by 1),
+cal as (select cast(unnest(generate_series((select min(month) from c),
+          cast(date_trunc('month', {AS_OF_SQL}) + interval 4 month as date), interval 1 month)) as date) as month)
+select 'logs_' || strftime(cal.month, '%Y_%m') as partition, cal.month as start,
+  cast(cal.month + interval 1 month as date) as "end", coalesce(c.rows, 0) as rows
+from cal left join c on c.month = cal.month""", "logs"))
+def q_month_calendar(spark, sf_dir):
+    return P.month_calendar(_logs(spark, sf_dir), as_of_ntz(), 4)
+
+
+RETENTION_DAYS = 10
+
+
+@register("retention_plan", sql=with_views(f"""
+with cut as (select cast({AS_OF_SQL} - interval {RETENTION_DAYS} day as date) as d)
+select 'logs_' || strftime(month, '%Y_%m') as partition, month, rows, month < (select d from cut) as "drop",
+  case when month < (select d from cut) then after else 0 end as rows_lost_early
+from (select cast(date_trunc('month', ts) as date) as month, count(*) as rows,
+        count(*) filter (where cast(ts as date) >= (select d from cut)) as after from logs group by 1) m""", "logs"))
+def q_retention_plan(spark, sf_dir):
+    return P.retention_plan(_logs(spark, sf_dir), as_of_ntz(), RETENTION_DAYS)

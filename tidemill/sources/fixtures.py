@@ -208,3 +208,29 @@ def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("l_shipdate")
     cond = ((F.month(d) == 1) & (F.dayofmonth(d) <= 7)) | ((F.month(d) == 5) & F.dayofmonth(d).isin(1, 9))
     return li.filter(cond).select(F.to_date(d).alias("ds")).distinct()
+
+
+def log_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logger calls behind the ``logs`` rows: base fields, call fields, caller file, stack trace.
+
+    Call fields come from the row's JSON context plus ``duration_ms`` and, for
+    every seventh event, a ``_category`` override; the base fields share the
+    key ``k`` with the call fields so the overlay is visible.
+    """
+    lg = logs(spark, sf_dir)
+    eid = F.col("event_id")
+    empty = F.create_map().cast("map<string,string>")
+    call = F.map_concat(
+        F.coalesce(F.from_json("context", "map<string,string>"), empty),
+        F.when(F.col("duration_ms").isNotNull(),
+               F.create_map(F.lit("duration_ms"), F.col("duration_ms").cast("string"))).otherwise(empty),
+        F.when(eid % 7 == 0, F.create_map(F.lit("_category"), F.lit("security"))).otherwise(empty),
+    )
+    return lg.select(
+        "ts", "service_name", "environment", "level", "category", "trace_id", "message", "event_id",
+        F.create_map(F.lit("service"), F.col("service_name"), F.lit("k"), F.lit("base")).alias("base_context"),
+        call.alias("call_fields"),
+        F.when(eid % 3 == 0, "/app/src/handlers/event_handler.py")
+         .when(eid % 3 == 1, "/usr/lib/python3/site.py").otherwise("main.py").alias("file_path"),
+        F.concat(F.lit("Traceback "), eid.cast("string")).alias("stack_trace"),
+    )
