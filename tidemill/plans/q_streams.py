@@ -1 +1,66 @@
-"""Registered queries."""
+"""Registered streaming and sink queries.
+
+Each runs a real streaming query (file source over the driver table,
+``availableNow`` trigger, checkpoint in the shared folder) or a real write,
+then reads the written table back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.operators import features as FE
+from tidemill.operators import partitions as P
+from tidemill.operators import tenants as T
+from tidemill.plans import q_clients
+from tidemill.plans.params import as_of_ntz
+from tidemill.plans.q_features import DECAY_SQL, KEYS, _daily
+from tidemill.plans.q_messages import norm_with
+from tidemill.plans.registry import register
+from tidemill.plans.views import with_views
+from tidemill.sources import fixtures as fx
+from tidemill.streaming import clients_stream as CS
+from tidemill.streaming import logs_sink as LS
+from tidemill.streaming.runner import run_available, stream_table
+
+
+@register("stream_clients", sql=with_views(f"""
+with {norm_with(q_clients.ROWS_SQL.strip(), q_clients.FOLD_SQL.strip())} select * from clients_fold""",
+    "raw_messages"))
+def q_stream_clients(spark, sf_dir):
+    events = stream_table(spark, sf_dir, "events")
+    folded = CS.client_fold_stream(fx.raw_messages(spark, sf_dir, events), as_of_ntz())
+    out = T.scratch_dir(spark, "clients-versions")
+    run_available(CS.write_versions(folded, out), out + "-ckpt")
+    return q_clients._fold_out(CS.read_current(spark, out))
+
+
+@register("logs_append", sql=with_views("""
+select cast(date_trunc('month', ts) as date) as month, count(*) as rows from logs group by 1""", "logs"))
+def q_logs_append(spark, sf_dir):
+    events = stream_table(spark, sf_dir, "events")
+    out = T.scratch_dir(spark, "logs")
+    run_available(LS.log_sink(fx.logs(spark, sf_dir, events), out, interval=None), out + "-ckpt")
+    written = spark.read.schema(P.with_month(fx.logs(spark, sf_dir)).schema).parquet(out)
+    return written.groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("features_month_counts", sql=with_views("""
+select client_id, cast(date_trunc('month', ds) as date) as month, count(*) as rows
+from (select client_id, ds from sales group by 1, 2) d group by 1, 2""", "sales"))
+def q_features_month_counts(spark, sf_dir):
+    feats = FE.rolling_features(_daily(spark, sf_dir), KEYS)
+    out = T.scratch_dir(spark, "features")
+    P.write_monthly(feats, out, ts_col="ds", extra_keys=("client_id",))
+    back = spark.read.schema(P.with_month(feats, "ds").schema).parquet(out)
+    return back.groupBy("client_id", "month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("result_events", sql=f"""
+with f as ({DECAY_SQL.strip()})
+select client_id, 'features_updated' as event_type, count(*) as features_count,
+  'ema,ma,std' as feature_types, count(ema) as ema_rows
+from f group by client_id""")
+def q_result_events(spark, sf_dir):
+    feats = FE.rolling_features(_daily(spark, sf_dir), KEYS)
+    return FE.result_events(feats, {"ema": "ema", "ma": "ma", "std": "std"})

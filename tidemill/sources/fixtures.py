@@ -19,9 +19,13 @@ def _uuid_of(col: Column) -> Column:
     return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(col.cast("string"), 12, "0"))
 
 
-def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message envelopes from ``events``: bad JSON, empty payloads, unknown types, no client id."""
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+def raw_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Message envelopes from ``events``: bad JSON, empty payloads, unknown types, no client id.
+
+    ``events`` may be given instead (e.g. a streaming read of the same table).
+    """
+    ev = events if events is not None else read_table(spark, sf_dir, "events")
+    ev = ev.select("event_id", "ts", "user_id", "event_type")
     eid, uid, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
     uuid = _uuid_of(uid)
     signup = F.concat(
@@ -85,9 +89,10 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structured log rows from ``events``."""
-    ev = read_table(spark, sf_dir, "events", "ts", "user_id", "event_id", "event_type", "props", "value")
+def logs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Structured log rows from ``events`` (or from a given, possibly streaming, ``events``)."""
+    ev = events if events is not None else read_table(spark, sf_dir, "events")
+    ev = ev.select("ts", "user_id", "event_id", "event_type", "props", "value")
     eid, etype = F.col("event_id"), F.col("event_type")
     return ev.select(
         F.col("ts"),
