@@ -97,8 +97,9 @@ def test_t3_timestamps(spark):
 
 
 def test_t4_python_truthiness_for_enabled_list(spark):
-    rows = client(spark, [(C, None, '{"id": "%s", "features_enabled": {"a": "false", "b": false, "c": 0, "d": 1, "e": null, "f": "", "g": [1]}}' % U1)])
-    feats = spark.createDataFrame(rows).select(CL.enabled_list(F.col("features_enabled")).alias("f")).first().f
+    norm = MS.normalise_messages(msgs(spark, [(C, None, '{"id": "%s", "features_enabled": {"a": "false", "b": false, "c": 0, "d": 1, "e": null, "f": "", "g": [1]}}' % U1)]))
+    rows = CL.client_rows(norm, F.lit(AS_OF).cast("timestamp_ntz"))
+    feats = rows.select(CL.enabled_list(F.col("features_enabled")).alias("f")).first().f
     assert feats == ["a", "d", "g"]
 
 
