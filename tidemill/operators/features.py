@@ -24,6 +24,7 @@ Definitions (fixed for the reference's documented-only features): with
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,13 +77,60 @@ def _dense(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
                         F.col("qty").alias("obs")))
 
 
+def _rebase_plan(alpha: float, window_days: int) -> tuple[float, int, int]:
+    """(r, E, M) for the rebased EMA sums.
+
+    EMA is a ratio, so the common factor ``r^(t - E*e_t)`` cancels: each item
+    is weighted ``r^(E*e_i - pos_i)`` relative to the start of its own epoch of
+    ``E`` positions (at most ``r^-(E-1)`` <= 1e250, so nothing overflows) and
+    items of ``M`` consecutive epochs are kept in separate sums, rescaled by
+    ``r^(E*k)`` for the ``k``-th previous epoch. ``M`` covers the frame.
+    """
+    r = 1.0 - alpha
+    if r <= 0.0 or r >= 1.0:
+        return r, 1, 1
+    epoch = max(1, int(250.0 / -math.log10(r)))
+    return r, epoch, math.ceil(window_days / epoch) + 1
+
+
+def _rebased_ema(pos: Column, value: Column, weight: Column, w: Window, alpha: float,
+                 window_days: int) -> tuple[list[Column], Column]:
+    """Window sums (over ``w``) and the expression that turns them into the EMA.
+
+    Returns ``(sum_columns, ema)``: the sums must be selected (they are window
+    expressions); ``ema`` refers to them by name. ``weight`` is 1 for items in
+    the denominator (0 otherwise); ``pos`` is the day or the observation rank.
+    """
+    r, epoch, classes = _rebase_plan(alpha, window_days)
+    if r <= 0.0:                        # alpha = 1: only the current item has weight
+        return [], value
+    if r >= 1.0:                        # alpha = 0: plain mean of the frame
+        sums = [F.sum(value).over(w).alias("_n0"), F.sum(weight).over(w).alias("_d0")]
+        return sums, F.col("_n0") / F.col("_d0")
+    e = F.floor(pos / F.lit(epoch))
+    own = F.pow(F.lit(r), F.lit(epoch) * e - pos)
+    cls = F.pmod(e, F.lit(classes))
+    sums, num, den = [], F.lit(0.0), F.lit(0.0)
+    for c in range(classes):
+        sel = cls == c
+        sums.append(F.sum(F.when(sel, value * own)).over(w).alias(f"_n{c}"))
+        sums.append(F.sum(F.when(sel, weight * own)).over(w).alias(f"_d{c}"))
+        back = F.pmod(F.col("_e") - F.lit(c), F.lit(classes))          # epochs back to class c
+        scale = F.pow(F.lit(r), F.lit(epoch) * back)
+        num = num + F.coalesce(F.col(f"_n{c}"), F.lit(0.0)) * scale
+        den = den + F.coalesce(F.col(f"_d{c}"), F.lit(0.0)) * scale
+    return [e.alias("_e"), *sums], F.try_divide(num, den)
+
+
 def rolling_features(daily: DataFrame, keys: Sequence[str],
                      window_days: int = DEFAULT_WINDOW_DAYS, alpha: float = DEFAULT_ALPHA,
                      min_samples: int = DEFAULT_MIN_SAMPLES, nan_strategy: str = "decay") -> DataFrame:
     """EMA, MA and STD with the ``min_samples`` gate.
 
     Returns ``keys, ds, qty, n_obs, ema, ma, std``; ``qty`` is 0.0 on days
-    filled by ``fill_zero``.
+    filled by ``fill_zero``. All features are aggregates over one range frame
+    ``[t - W + 1, t]`` of one window operator (partitioned by the series key,
+    ordered by day); the EMA is a handful of rebased sums, not an array per row.
     """
     if nan_strategy not in NAN_STRATEGIES:
         raise ValueError(f"nan_strategy must be one of {NAN_STRATEGIES}")
@@ -90,6 +138,8 @@ def rolling_features(daily: DataFrame, keys: Sequence[str],
         raise ValueError("window_days must be in 1..365")
     if min_samples <= 0:
         raise ValueError("min_samples must be > 0")
+    if not 0.0 <= alpha <= 1.0:
+        raise ValueError("alpha must be in [0, 1]")
     base = daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
     if nan_strategy == "fill_zero":
         series = _dense(base, keys)
@@ -98,21 +148,21 @@ def rolling_features(daily: DataFrame, keys: Sequence[str],
     series = series.withColumn("_d", _day())
     order_w = Window.partitionBy(*keys).orderBy("_d")
     if nan_strategy == "drop":
-        series = series.withColumn("_rk", F.row_number().over(order_w))
+        series = series.withColumn("_pos", F.row_number().over(order_w).cast("double"))
+    else:
+        series = series.withColumn("_pos", F.col("_d").cast("double"))
     w = order_w.rangeBetween(-(window_days - 1), 0)
-    rank_field = "rk" if nan_strategy == "drop" else "d"
-    items = F.struct(F.col("_d").alias("d"), F.col("qty").alias("q"),
-                     *( [F.col("_rk").alias("rk")] if nan_strategy == "drop" else []))
-    t = F.col("_rk") if nan_strategy == "drop" else F.col("_d")
+    # decay/drop weigh observed days only; fill_zero weighs every dense day
+    sums, ema = _rebased_ema(F.col("_pos"), F.col("qty"), F.lit(1.0), w, alpha, window_days)
+    if nan_strategy != "fill_zero" and alpha >= 1.0:
+        ema = F.col("qty")
     feats = series.select(
-        *keys, "ds", F.col("qty"), t.alias("_t"),
+        *keys, "ds", F.col("qty"), "_pos", *sums,
         F.count("obs").over(w).alias("n_obs"),
-        F.collect_list(items).over(w).alias("_arr"),
         F.avg("qty").over(w).alias("_ma"),
         F.stddev_samp("qty").over(w).alias("_std"),
     )
     ok = F.col("n_obs") >= F.lit(min_samples)
-    ema = _ema_from(F.col("_arr"), F.col("_t"), F.lit(alpha), rank_field)
     return feats.select(
         *keys, "ds", "qty", "n_obs",
         F.when(ok, F.round(ema, ROUND)).alias("ema"),
