@@ -1,0 +1,13 @@
+"""Join helpers: broadcast only behind a measured bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Rows of a built side that may be broadcast (a few tens of bytes per row).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` of them."""
+    return df.limit(max_rows + 1).count() <= max_rows
