@@ -38,50 +38,59 @@ def _first(*reasons: Column) -> Column:
     return F.coalesce(*reasons)
 
 
-def client_fields(m: Column, as_of: Column) -> tuple[dict[str, Column], Column]:
-    """Typed client columns from a payload map, and the first error.
+def _present(key: str) -> Column:
+    return F.col(f"t_{key}").isNotNull()
 
-    Errors are checked in the consumer's order: timestamps, id, feature map,
-    then the table's constraints (NOT NULL, lengths, boolean input).
+
+def _truthy(key: str) -> Column:
+    """Python truthiness of a decoded value from its type and text columns."""
+    t, v = F.col(f"t_{key}"), F.col(f"s_{key}")
+    return (F.when(t.isNull() | (t == "VOID"), F.lit(False))
+             .when(t == "BOOLEAN", v == "true")
+             .when(t == "STRING", F.length(v) > 0)
+             .when(t.isin("OBJECT", "ARRAY"), ~F.to_json(F.col("p")[key]).isin("{}", "[]"))
+             .otherwise(v.try_cast("double") != 0))
+
+
+def client_fields(p: Column, as_of: Column) -> tuple[dict[str, Column], Column]:
+    """Typed client columns and the first error, from ``normalise_messages`` output.
+
+    Reads the per-key ``t_<key>`` / ``s_<key>`` columns (and ``p`` for the
+    feature map). Errors are checked in the consumer's order: timestamps, id,
+    feature map, then the table's constraints (NOT NULL, lengths, boolean input).
     """
     out: dict[str, Column] = {}
     ts_err, db_err = [], []
     for key in TS_FIELDS:
-        v = m[key]
-        t = J.vtype(v)
-        truthy = J.truthy(v)
-        out[key] = F.when(J.has(m, key) & truthy & (t == "STRING"),
-                          parse_iso_timestamp(J.vstring(v)).cast("timestamp_ntz"))
-        ts_err.append(F.when(J.has(m, key) & truthy & (t != "STRING"), F.lit(f"{key}_not_text")))
+        t = F.col(f"t_{key}")
+        truthy = _truthy(key)
+        out[key] = F.when(truthy & (t == "STRING"), parse_iso_timestamp(F.col(f"s_{key}")).cast("timestamp_ntz"))
+        ts_err.append(F.when(truthy & (t != "STRING"), F.lit(f"{key}_not_text")))
     for key in ("created_at", "updated_at"):
         out[key] = F.coalesce(out[key], as_of)
-    idv = m["id"]
-    id_err = (F.when(~J.has(m, "id"), "missing_id")
-               .when((J.vtype(idv) != "STRING") | canonical_uuid(J.vstring(idv)).isNull(), "invalid_id"))
-    out["id"] = canonical_uuid(J.vstring(idv))
-    fe = m["features_enabled"]
-    fe_map = J.as_map(fe)
-    fe_err = F.when(J.has(m, "features_enabled") & (J.vtype(fe) != "OBJECT"), "features_enabled_not_object")
-    out["features_enabled"] = F.when(J.has(m, "features_enabled"), fe_map) \
+    cid = canonical_uuid(F.col("s_id"))
+    id_err = (F.when(~_present("id"), "missing_id")
+               .when((F.col("t_id") != "STRING") | cid.isNull(), "invalid_id"))
+    out["id"] = F.when(F.col("t_id") == "STRING", cid)
+    fe_t = F.col("t_features_enabled")
+    fe_err = F.when(_present("features_enabled") & (fe_t != "OBJECT"), "features_enabled_not_object")
+    out["features_enabled"] = F.when(_present("features_enabled"), J.as_map(p["features_enabled"])) \
                                .otherwise(F.create_map().cast(J.MAP_SCHEMA))
     for key, default, limit, nullable in TEXT_FIELDS:
-        v = m[key]
-        t = J.vtype(v)
-        value = F.when(~J.has(m, key), F.lit(default).cast("string")).otherwise(J.vstring(v))
+        t = F.col(f"t_{key}")
+        value = F.when(~_present(key), F.lit(default).cast("string")).otherwise(F.col(f"s_{key}"))
         out[key] = value
-        db_err.append(F.when(J.has(m, key) & t.isin("OBJECT", "ARRAY"), F.lit(f"{key}_not_text")))
+        db_err.append(F.when(t.isin("OBJECT", "ARRAY"), F.lit(f"{key}_not_text")))
         if not nullable:
-            db_err.append(F.when(J.has(m, key) & (t == "VOID"), F.lit(f"{key}_null")))
+            db_err.append(F.when(t == "VOID", F.lit(f"{key}_null")))
         db_err.append(F.when(F.length(value) > limit, F.lit(f"{key}_too_long")))
-    cc = m["config_confirmed"]
-    ct = J.vtype(cc)
-    cc_val = (F.when(~J.has(m, "config_confirmed"), F.lit(False))
-               .when(ct == "BOOLEAN", F.try_variant_get(cc, "$", "boolean"))
-               .when(ct == "STRING", bool_text(J.vstring(cc))))
+    ct, cs = F.col("t_config_confirmed"), F.col("s_config_confirmed")
+    cc_val = (F.when(ct.isNull(), F.lit(False))
+               .when(ct == "BOOLEAN", cs == "true")
+               .when(ct == "STRING", bool_text(cs)))
     out["config_confirmed"] = cc_val
-    db_err.append(F.when(J.has(m, "config_confirmed") & (ct == "VOID"), F.lit("config_confirmed_null")))
-    db_err.append(F.when(J.has(m, "config_confirmed") & (ct != "VOID") & cc_val.isNull(),
-                         F.lit("config_confirmed_not_boolean")))
+    db_err.append(F.when(ct == "VOID", F.lit("config_confirmed_null")))
+    db_err.append(F.when(ct.isNotNull() & (ct != "VOID") & cc_val.isNull(), F.lit("config_confirmed_not_boolean")))
     out["synced_at"] = as_of
     return out, _first(*ts_err, id_err, fe_err, *db_err)
 
@@ -104,16 +113,20 @@ def client_rows(norm: DataFrame, as_of: Column) -> DataFrame:
 def clients_upsert(rows: DataFrame) -> DataFrame:
     """Fold full-state rows by id: the last arrival wins, ``created_at`` stays from the first.
 
-    Only rows without error take part (a failed message never reached the table).
-    ``features_enabled`` is kept as compact JSON text.
+    Only rows without error take part (a failed message never reached the
+    table). They are selected inside the aggregation (``max_by``/``min_by``
+    skip rows whose ordering value is null), not by a filter on the derived
+    error column, which the optimizer would push below the decode and
+    evaluate twice. ``features_enabled`` is kept as compact JSON text.
     """
-    ok = rows.filter(F.col("error").isNull())
     last_fields = [c for c in CLIENT_COLUMNS if c not in ("id", "created_at")]
-    ok = ok.withColumn("features_enabled", F.to_json("features_enabled"))
-    folded = (ok.groupBy("id")
-                .agg(F.max_by(F.struct(*last_fields), F.col("arrival_seq")).alias("l"),
-                     F.min_by(F.col("created_at"), F.col("arrival_seq")).alias("created_at"),
-                     F.count(F.lit(1)).alias("n_events")))
+    ok_seq = F.when(F.col("error").isNull(), F.col("arrival_seq"))
+    r = rows.withColumn("features_enabled", F.to_json("features_enabled"))
+    folded = (r.groupBy("id")
+               .agg(F.max_by(F.struct(*last_fields), ok_seq).alias("l"),
+                    F.min_by(F.col("created_at"), ok_seq).alias("created_at"),
+                    F.count(ok_seq).alias("n_events"))
+               .filter(F.col("n_events") > 0))
     return folded.select("id", *[F.col(f"l.{c}").alias(c) for c in last_fields], "created_at", "n_events")
 
 

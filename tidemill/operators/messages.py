@@ -34,6 +34,9 @@ def normalise_messages(raw: DataFrame) -> DataFrame:
 
     ``p`` holds the known payload keys as variants (absent -> null); invalid or
     missing text decodes to the empty object, so every ``p`` field is null.
+    For each known key ``t_<key>`` is its JSON type (null if absent) and
+    ``s_<key>`` its scalar text: every later rule reads these plain columns, so
+    each value is decoded once per row however many rules look at it.
     """
     cols = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ENVELOPE]
     base = raw.select(*cols, F.col("data"))
@@ -41,11 +44,14 @@ def normalise_messages(raw: DataFrame) -> DataFrame:
     staged = base.select(*ENVELOPE, "data", keys.alias("_keys"),
                          J.payload_struct(F.col("data"), PAYLOAD_KEYS).alias("p"))
     kind = J.payload_kind(F.col("data"), F.col("_keys"))
+    p = F.col("p")
     return staged.select(
         *ENVELOPE, kind.alias("payload_kind"),
         F.coalesce(F.size("_keys"), F.lit(0)).alias("payload_size"),
         J.payload_truthy(F.col("data"), kind, F.col("_keys")).alias("payload_truthy"),
         "p",
+        *[J.vtype(p[k]).alias(f"t_{k}") for k in PAYLOAD_KEYS],
+        *[J.vstring(p[k]).alias(f"s_{k}") for k in PAYLOAD_KEYS],
     )
 
 
@@ -103,16 +109,15 @@ def sales_notifications(norm: DataFrame) -> DataFrame:
     ``table`` strips the tenant prefix ``c<org>_`` so both spellings agree.
     """
     s_out, _ = sales_outcome(norm)
-    p = F.col("p")
-    tname = J.get_or(p, "table_name", F.lit("unknown").cast("variant"))
-    rcount = J.get_or(p, "record_count", F.lit(0).cast("variant"))
-    upd = F.when(J.has(p, "updated_at"), parse_iso_timestamp(J.vstring(p["updated_at"])).cast("timestamp_ntz")) \
+    tname = F.when(F.col("t_table_name").isNull(), F.lit("unknown")).otherwise(F.col("s_table_name"))
+    rcount = F.when(F.col("t_record_count").isNull(), F.lit("0")).otherwise(F.col("s_record_count"))
+    upd = F.when(F.col("t_updated_at").isNotNull(), parse_iso_timestamp(F.col("s_updated_at")).cast("timestamp_ntz")) \
            .otherwise(F.col("event_ts"))
     return (norm.filter((F.col("event_type") == SALES_EVENT) & (s_out == "processed"))
                 .select("event_id", "arrival_seq", "client_id",
-                        J.vstring(tname).alias("table_name"),
-                        F.regexp_replace(J.vstring(tname), r"^c\d+_", "").alias("table"),
-                        J.vstring(rcount).alias("record_count"),
+                        tname.alias("table_name"),
+                        F.regexp_replace(tname, r"^c\d+_", "").alias("table"),
+                        rcount.alias("record_count"),
                         upd.alias("updated_at")))
 
 
