@@ -63,3 +63,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def checkpointed(df):
+    """``df.checkpoint()`` into the shared folder (made known to the context first)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
