@@ -49,6 +49,18 @@ def daily_demand(facts: DataFrame, keys: Sequence[str], ts_col: str = "ds",
                  .agg(F.sum(qty_col).alias("qty")))
 
 
+def spread_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition by the series key into ``spark.sql.shuffle.partitions`` parts.
+
+    The window needs this exchange anyway; giving it an explicit number keeps
+    AQE from merging the stage into a few partitions by byte size (window
+    work is per row and per frame item, not per byte: merged, a few tasks do
+    all of it).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def _day(col: str = "ds") -> Column:
     return F.unix_date(F.col(col))
 
@@ -69,12 +81,20 @@ def _ema_from(arr: Column, t: Column, alpha: Column, dist_field: str,
 
 
 def _dense(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every day from each key's first to its last observed day; ``obs`` is null on filled days."""
-    span = daily.groupBy(*keys).agg(F.min("ds").alias("_lo"), F.max("ds").alias("_hi"))
-    days = span.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("ds"))
-    return (days.join(daily, [*keys, "ds"], "left")
-                .select(*keys, "ds", F.coalesce(F.col("qty"), F.lit(0.0)).alias("qty"),
-                        F.col("qty").alias("obs")))
+    """Every day from each key's first to its last observed day; ``obs`` is null on filled days.
+
+    Each observed row emits itself and the empty days up to the next
+    observation (``lead`` + ``explode``): no join, and the key partitioning of
+    the input carries over to the rolling window.
+    """
+    w = Window.partitionBy(*keys).orderBy("ds")
+    with_next = daily.withColumn("_next", F.lead("ds").over(w))
+    last = F.coalesce(F.date_sub(F.col("_next"), 1), F.col("ds"))
+    gaps = with_next.select(*keys, "ds", "qty", F.explode(F.sequence(F.col("ds"), last)).alias("_day"))
+    real = F.col("_day") == F.col("ds")
+    return gaps.select(*keys, F.col("_day").alias("ds"),
+                       F.when(real, F.col("qty")).otherwise(F.lit(0.0)).alias("qty"),
+                       F.when(real, F.col("qty")).alias("obs"))
 
 
 def _rebase_plan(alpha: float, window_days: int) -> tuple[float, int, int]:
@@ -140,7 +160,7 @@ def rolling_features(daily: DataFrame, keys: Sequence[str],
         raise ValueError("min_samples must be > 0")
     if not 0.0 <= alpha <= 1.0:
         raise ValueError("alpha must be in [0, 1]")
-    base = daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
+    base = spread_by_key(daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty")), keys)
     if nan_strategy == "fill_zero":
         series = _dense(base, keys)
     else:
@@ -174,7 +194,7 @@ def rolling_features(daily: DataFrame, keys: Sequence[str],
 def lag_features(daily: DataFrame, keys: Sequence[str], lags: Sequence[int] = DEFAULT_LAGS) -> DataFrame:
     """Calendar lags ``lag_k`` (value k days earlier, null if that day has no data)
     and observation lag ``obs_lag_1`` (previous observed value) (E9)."""
-    series = daily.withColumn("_d", _day())
+    series = spread_by_key(daily, keys).withColumn("_d", _day())
     base = Window.partitionBy(*keys).orderBy("_d")
     cols = [F.max("qty").over(base.rangeBetween(-k, -k)).alias(f"lag_{k}") for k in lags]
     return series.select(*keys, "ds", "qty", *cols, F.lag("qty", 1).over(base).alias("obs_lag_1"))
@@ -191,9 +211,8 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
     others fall back to decay. Keys without parameters use the defaults.
     """
     p = params.select(*keys, "window_days", "min_samples", "nan_strategy")
-    series = (daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
-                   .join(p, list(keys), "left")
-                   .withColumn("_d", _day()))
+    series = spread_by_key(daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
+                                .join(p, list(keys), "left"), keys).withColumn("_d", _day())
     order_w = Window.partitionBy(*keys).orderBy("_d")
     series = series.withColumn("_rk", F.row_number().over(order_w))
     w = order_w.rangeBetween(-(MAX_WINDOW_DAYS - 1), 0)
