@@ -38,3 +38,38 @@ def test_log_stream_writes_every_row(spark):
     got = {r.month: r.rows for r in registry.queries()["logs_append"](spark, SF_SMALL).collect()}
     want = {r.month: r.rows for r in P.partition_counts(fx.logs(spark, SF_SMALL)).collect()}
     assert got == want
+
+
+def test_dedup_stream_keeps_one_copy_per_event(spark, tmp_path):
+    from tidemill.streaming.messages_stream import dedup_stream
+    from tidemill.streaming.runner import run_available, stream_table
+    events = stream_table(spark, SF_SMALL, "events")
+    raw = fx.raw_messages(spark, SF_SMALL, events)
+    doubled = raw.unionByName(raw)                       # every message delivered twice
+    out = str(tmp_path / "dedup")
+    w = dedup_stream(doubled, "3650 days").writeStream.format("parquet").option("path", out)
+    run_available(w, str(tmp_path / "ckpt"))
+    got = spark.read.parquet(out)
+    assert got.count() == fx.raw_messages(spark, SF_SMALL).count()
+    assert got.select("event_id").distinct().count() == got.count()
+
+
+def test_outcome_sink_splits_dead_letters(spark, tmp_path):
+    import datetime as dt
+    from tidemill.streaming.messages_stream import outcome_sink
+    rows = [("1", 1, "clients-updates", "clients_updated", None, dt.datetime(2024, 1, 1),
+             '{"id": "00000000-0000-4000-8000-000000000001"}'),
+            ("2", 2, "clients-updates", "clients_updated", None, dt.datetime(2024, 1, 1), '{"id": "bad"}'),
+            ("3", 3, "sales-updates", "sales_updated", "x", dt.datetime(2024, 1, 1), "{}")]
+    src = str(tmp_path / "src")
+    spark.createDataFrame(rows, "event_id string, arrival_seq long, stream string, event_type string, "
+                                "client_id string, event_ts timestamp_ntz, data string").write.parquet(src)
+    from tidemill.sources.messages import MESSAGE_SCHEMA
+    stream = spark.readStream.schema(MESSAGE_SCHEMA.add("stream", "string")).parquet(src)
+    ok_path, dead_path = str(tmp_path / "ok"), str(tmp_path / "dead")
+    sink = outcome_sink(ok_path, dead_path, F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz"))
+    from tidemill.streaming.runner import run_available
+    run_available(stream.writeStream.foreachBatch(sink), str(tmp_path / "ckpt"))
+    assert sorted(r.event_id for r in spark.read.parquet(ok_path).collect()) == ["1"]
+    assert sorted((r.event_id, r.reason) for r in spark.read.parquet(dead_path).collect()) == [
+        ("2", "invalid_id"), ("3", "invalid_client_id")]
