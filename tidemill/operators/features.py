@@ -80,21 +80,25 @@ def _ema_from(arr: Column, t: Column, alpha: Column, dist_field: str,
     return F.try_divide(num, den)
 
 
-def _dense(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _dense(daily: DataFrame, keys: Sequence[str], fill: Column | None = None) -> DataFrame:
     """Every day from each key's first to its last observed day; ``obs`` is null on filled days.
 
     Each observed row emits itself and the empty days up to the next
     observation (``lead`` + ``explode``): no join, and the key partitioning of
-    the input carries over to the rolling window.
+    the input carries over to the rolling window. With ``fill`` only rows where
+    it holds get filler days; other columns of ``daily`` are carried along.
     """
     w = Window.partitionBy(*keys).orderBy("ds")
     with_next = daily.withColumn("_next", F.lead("ds").over(w))
     last = F.coalesce(F.date_sub(F.col("_next"), 1), F.col("ds"))
-    gaps = with_next.select(*keys, "ds", "qty", F.explode(F.sequence(F.col("ds"), last)).alias("_day"))
+    if fill is not None:
+        last = F.when(fill, last).otherwise(F.col("ds"))
+    carried = [c for c in daily.columns if c not in (*keys, "ds", "qty")]
+    gaps = with_next.select(*keys, "ds", "qty", *carried, F.explode(F.sequence(F.col("ds"), last)).alias("_day"))
     real = F.col("_day") == F.col("ds")
     return gaps.select(*keys, F.col("_day").alias("ds"),
                        F.when(real, F.col("qty")).otherwise(F.lit(0.0)).alias("qty"),
-                       F.when(real, F.col("qty")).alias("obs"))
+                       F.when(real, F.col("qty")).alias("obs"), *carried)
 
 
 def _rebase_plan(alpha: float, window_days: int) -> tuple[float, int, int]:
@@ -203,38 +207,43 @@ def lag_features(daily: DataFrame, keys: Sequence[str], lags: Sequence[int] = DE
 def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, alpha: float = DEFAULT_ALPHA,
                     default_window: int = DEFAULT_WINDOW_DAYS,
                     default_min_samples: int = DEFAULT_MIN_SAMPLES) -> DataFrame:
-    """EMA/MA/count with per-key ``window_days`` / ``min_samples`` / strategy.
+    """EMA/MA/count with per-key ``window_days`` / ``min_samples`` / ``nan_strategy``.
 
-    ``params`` has ``keys, window_days, min_samples, nan_strategy`` (one row per key,
-    already validated). The frame is the widest allowed (365 days); each row
-    keeps only the items inside its own window. Strategies decay and drop;
-    others fall back to decay. Keys without parameters use the defaults.
+    ``params`` has ``keys, window_days, min_samples, nan_strategy`` (one row per
+    key, already validated; keys without parameters use the defaults and
+    ``decay``). Keys with ``fill_zero`` get filler days. The frame is the
+    widest allowed (365 days) and each row keeps only the items inside its own
+    window, so this one job serves every window length.
     """
     p = params.select(*keys, "window_days", "min_samples", "nan_strategy")
-    series = spread_by_key(daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
-                                .join(p, list(keys), "left"), keys).withColumn("_d", _day())
+    joined = (daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
+                   .join(p, list(keys), "left"))
+    strat = F.coalesce(F.col("nan_strategy"), F.lit("decay"))
+    base = spread_by_key(joined.select(
+        *keys, "ds", "qty",
+        F.coalesce(F.col("window_days"), F.lit(default_window)).alias("window_days"),
+        F.coalesce(F.col("min_samples"), F.lit(default_min_samples)).alias("min_samples"),
+        F.when(strat.isin(*NAN_STRATEGIES), strat).otherwise(F.lit("decay")).alias("nan_strategy")), keys)
+    series = _dense(base, keys, F.col("nan_strategy") == "fill_zero").withColumn("_d", _day())
     order_w = Window.partitionBy(*keys).orderBy("_d")
-    series = series.withColumn("_rk", F.row_number().over(order_w))
+    seen = F.when(F.col("obs").isNotNull(), 1).otherwise(0)
+    series = series.withColumn("_rk", F.sum(seen).over(order_w.rowsBetween(Window.unboundedPreceding, 0)))
     w = order_w.rangeBetween(-(MAX_WINDOW_DAYS - 1), 0)
-    win = F.coalesce(F.col("window_days"), F.lit(default_window))
-    mins = F.coalesce(F.col("min_samples"), F.lit(default_min_samples))
-    strat = F.coalesce(F.col("nan_strategy"), F.lit("decay"))
     feats = series.select(
-        *keys, "ds", "qty", win.alias("window_days"), mins.alias("min_samples"),
-        F.when(strat == "drop", "drop").otherwise("decay").alias("nan_strategy"), "_d", "_rk",
-        F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_rk").alias("rk"),
-                                F.col("qty").alias("q"))).over(w).alias("_arr"),
+        *keys, "ds", "qty", "window_days", "min_samples", "nan_strategy", "_d", "_rk",
+        F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_rk").alias("rk"), F.col("qty").alias("q"),
+                                F.col("obs").isNotNull().alias("o"))).over(w).alias("_arr"),
     )
     inside = F.filter("_arr", lambda e: (F.col("_d") - e["d"]) < F.col("window_days"))
     feats = feats.withColumn("_arr", inside)
-    n = F.size("_arr")
-    ok = n >= F.col("min_samples")
+    n_obs = F.size(F.filter("_arr", lambda e: e["o"]))
+    ok = n_obs >= F.col("min_samples")
     by_day = _ema_from(F.col("_arr"), F.col("_d"), F.lit(alpha), "d")
     by_rank = _ema_from(F.col("_arr"), F.col("_rk"), F.lit(alpha), "rk")
     ema = F.when(F.col("nan_strategy") == "drop", by_rank).otherwise(by_day)
-    ma = F.aggregate("_arr", F.lit(0.0), lambda acc, e: acc + e["q"]) / n
+    ma = F.aggregate("_arr", F.lit(0.0), lambda acc, e: acc + e["q"]) / F.size("_arr")
     return feats.select(
-        *keys, "ds", "qty", "window_days", "min_samples", "nan_strategy", n.alias("n_obs"),
+        *keys, "ds", "qty", "window_days", "min_samples", "nan_strategy", n_obs.alias("n_obs"),
         F.when(ok, F.round(ema, ROUND)).alias("ema"),
         F.when(ok, F.round(ma, ROUND)).alias("ma"),
     )

@@ -153,19 +153,26 @@ cur as (select client_id, window_days, min_samples, nan_strategy from (
 
 @register("feat_ema_by_config", sql=with_views(f"""
 with {_DAILY}, {_EMA_PARAMS_SQL.strip()},
-s as (select d.client_id, d.ds, d.qty, d.ds - date '1970-01-01' as dn,
-        row_number() over (partition by d.client_id order by d.ds) as rk,
-        coalesce(c.window_days, 90) as window_days, coalesce(c.min_samples, 7) as min_samples,
-        case when c.nan_strategy = 'drop' then 'drop' else 'decay' end as nan_strategy
-      from daily d left join cur c on c.client_id = d.client_id)
-select a.client_id, a.ds, a.qty, a.window_days, a.min_samples, a.nan_strategy, count(*) as n_obs,
-  case when count(*) >= a.min_samples then round(
-    case when a.nan_strategy = 'drop'
+s0 as (select d.client_id, d.ds, d.qty, coalesce(c.window_days, 90) as w, coalesce(c.min_samples, 7) as ms,
+         coalesce(c.nan_strategy, 'decay') as strat
+       from daily d left join cur c on c.client_id = d.client_id),
+span as (select client_id, w, ms, strat, min(ds) as lo, max(ds) as hi from s0 where strat = 'fill_zero' group by 1, 2, 3, 4),
+dense as (select client_id, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as ds, w, ms, strat from span),
+s1 as (select d.client_id, d.ds, coalesce(x.qty, 0.0) as qty, x.qty is not null as o, d.w, d.ms, d.strat
+       from dense d left join daily x on x.client_id = d.client_id and x.ds = d.ds
+       union all select client_id, ds, qty, true, w, ms, strat from s0 where strat <> 'fill_zero'),
+s as (select *, ds - date '1970-01-01' as dn,
+        sum(case when o then 1 else 0 end) over (partition by client_id order by ds rows unbounded preceding) as rk
+      from s1)
+select a.client_id, a.ds, a.qty, a.w as window_days, a.ms as min_samples, a.strat as nan_strategy,
+  count(*) filter (where b.o) as n_obs,
+  case when count(*) filter (where b.o) >= a.ms then round(
+    case when a.strat = 'drop'
          then sum(b.qty * pow(0.5, a.rk - b.rk)) / sum(pow(0.5, a.rk - b.rk))
          else sum(b.qty * pow(0.5, a.dn - b.dn)) / sum(pow(0.5, a.dn - b.dn)) end, 4) end as ema,
-  case when count(*) >= a.min_samples then round(avg(b.qty), 4) end as ma
-from s a join s b on a.client_id = b.client_id and b.dn > a.dn - a.window_days and b.dn <= a.dn
-group by a.client_id, a.ds, a.qty, a.window_days, a.min_samples, a.nan_strategy""",
+  case when count(*) filter (where b.o) >= a.ms then round(avg(b.qty), 4) end as ma
+from s a join s b on a.client_id = b.client_id and b.dn > a.dn - a.w and b.dn <= a.dn
+group by a.client_id, a.ds, a.qty, a.w, a.ms, a.strat""",
     "sales", "feature_configs"))
 def q_feat_ema_by_config(spark, sf_dir):
     params = C.valid_ema_params(C.config_current(fx.feature_configs(spark, sf_dir)))
