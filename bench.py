@@ -45,7 +45,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="tidemill-bench")
+    memory = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="tidemill-bench",
+                          driver_memory=memory)
     q = registry.queries()
     for name in names:                      # warm-up: JIT, file listing, codegen caches
         run(q[name](spark, sf_dir))
@@ -58,7 +60,8 @@ def main() -> None:
     med = {n: round(statistics.median(v), 3) for n, v in times.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(med.values()), 3),
-                      "unit": "sec", "queries": med, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "unit": "sec", "queries": med, "sf": sf, "cpus": cpus, "runs": runs,
+                      "driver_memory": memory}))
     spark.stop()
 
 

@@ -23,9 +23,14 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tidemill") -> SparkSession:
-    """Create or reuse a session; used by tests, bench and the CLI entry points."""
+                  app_name: str = "tidemill", driver_memory: str | None = None) -> SparkSession:
+    """Create or reuse a session; used by tests, bench and the CLI entry points.
+
+    ``driver_memory`` only takes effect when this call starts the JVM (local mode).
+    """
     builder = SparkSession.builder.appName(app_name)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if master:
         builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
