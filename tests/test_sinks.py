@@ -73,3 +73,21 @@ def test_outcome_sink_splits_dead_letters(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(ok_path).collect()) == ["1"]
     assert sorted((r.event_id, r.reason) for r in spark.read.parquet(dead_path).collect()) == [
         ("2", "invalid_id"), ("3", "invalid_client_id")]
+
+
+def test_read_streams_tags_and_unions(spark, tmp_path):
+    from tidemill.sources.messages import read_batches, read_streams
+    from tidemill.streaming.runner import run_available
+    raw = fx.raw_messages(spark, SF_SMALL)
+    paths = {}
+    for name in ("clients-updates", "sales-updates"):
+        paths[name] = str(tmp_path / name)
+        raw.filter(F.col("stream") == name).drop("stream").write.parquet(paths[name])
+    out = str(tmp_path / "merged")
+    run_available(read_streams(spark, paths, max_files_per_trigger=1).writeStream.format("parquet")
+                  .option("path", out), str(tmp_path / "ckpt"))
+    got = {r.stream: r.n for r in spark.read.parquet(out).groupBy("stream").agg(F.count("*").alias("n")).collect()}
+    want = {r.stream: r.n for r in raw.filter(F.col("stream").isin(*paths)).groupBy("stream")
+            .agg(F.count("*").alias("n")).collect()}
+    assert got == want
+    assert read_batches(spark, paths).count() == sum(want.values())

@@ -51,7 +51,8 @@ def payload_truthy(data: Column, kind: Column, keys: Column) -> Column:
 
 def vtype(v: Column) -> Column:
     """JSON type name of a variant: OBJECT, ARRAY, VOID (null), BOOLEAN, STRING, BIGINT, ..."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
+    # "OBJECT<a: BIGINT>" -> OBJECT, "DECIMAL(3,1)" -> DECIMAL, "BIGINT" -> BIGINT
+    return F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1)
 
 
 def truthy(v: Column) -> Column:
