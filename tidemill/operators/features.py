@@ -236,7 +236,7 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
     )
     inside = F.filter("_arr", lambda e: (F.col("_d") - e["d"]) < F.col("window_days"))
     feats = feats.withColumn("_arr", inside)
-    n_obs = F.size(F.filter("_arr", lambda e: e["o"]))
+    n_obs = F.size(F.filter("_arr", lambda e: e["o"])).cast("long")
     ok = n_obs >= F.col("min_samples")
     by_day = _ema_from(F.col("_arr"), F.col("_d"), F.lit(alpha), "d")
     by_rank = _ema_from(F.col("_arr"), F.col("_rk"), F.lit(alpha), "rk")
