@@ -88,3 +88,14 @@ def test_truncation_flag(spark):
     e = edges(spark, [(1, 2, 1), (2, 3, 1), (3, 4, 1)])
     got = sorted((r.root, r.component) for r in B.bom_truncated(e, 2).collect())
     assert got == [(1, 3)]
+
+
+def test_component_demand_same_with_and_without_broadcast(spark):
+    from tests.conftest import SF_SMALL
+    from tidemill.sources import fixtures as fx
+    sales = fx.sales(spark, SF_SMALL)
+    ex = B.bom_explode(fx.bom(spark, SF_SMALL), 3)
+    a = B.component_demand(sales, ex)                          # exploded BOM fits: broadcast path
+    b = B.component_demand(sales, ex, max_broadcast_rows=0)    # bound fails: shuffle join path
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+    assert sorted(a.collect()) == sorted(b.collect())

@@ -303,21 +303,11 @@ def feature_metadata(features: DataFrame, feature_types: dict[str, str]) -> Data
 
 
 def result_events(features: DataFrame, feature_types: dict[str, str], key: str = "client_id") -> DataFrame:
-    """``features_updated`` result event per client (A8): rows written and feature types.
-
-    ``payload`` is the JSON body of the event; it is appended to the result
-    stream by the caller.
-    """
-    types = ",".join(sorted(set(feature_types.values())))
-    per = (features.groupBy(key)
-                   .agg(F.count(F.lit(1)).alias("features_count"), F.count("ema").alias("ema_rows"))
-                   .select(key, F.lit("features_updated").alias("event_type"), "features_count",
-                           F.lit(types).alias("feature_types"), "ema_rows"))
-    return per
-
-
-def result_payload(events: DataFrame, key: str = "client_id") -> DataFrame:
-    """Events as (client_id, event_type, JSON payload) rows for the result stream."""
-    return events.select(key, "event_type",
-                         F.to_json(F.struct(key, "features_count",
-                                            F.split("feature_types", ",").alias("feature_types"))).alias("data"))
+    """``features_updated`` result event per client (A8): rows written, feature types and the
+    JSON body of the event (``data``), ready to append to the result stream."""
+    types = sorted(set(feature_types.values()))
+    per = features.groupBy(key).agg(F.count(F.lit(1)).alias("features_count"), F.count("ema").alias("ema_rows"))
+    body = F.to_json(F.struct(F.col(key), F.col("features_count"),
+                              F.array(*[F.lit(t) for t in types]).alias("feature_types")))
+    return per.select(key, F.lit("features_updated").alias("event_type"), "features_count",
+                      F.lit(",".join(types)).alias("feature_types"), "ema_rows", body.alias("data"))

@@ -59,7 +59,8 @@ def q_features_month_counts(spark, sf_dir):
 @register("result_events", sql=f"""
 with f as ({DECAY_SQL.strip()})
 select client_id, 'features_updated' as event_type, count(*) as features_count,
-  'ema,ma,std' as feature_types, count(ema) as ema_rows
+  'ema,ma,std' as feature_types, count(ema) as ema_rows,
+  cast(to_json({{'client_id': client_id, 'features_count': count(*), 'feature_types': ['ema', 'ma', 'std']}}) as varchar) as data
 from f group by client_id""")
 def q_result_events(spark, sf_dir):
     feats = FE.rolling_features(_daily(spark, sf_dir), KEYS)
