@@ -91,3 +91,17 @@ def test_read_streams_tags_and_unions(spark, tmp_path):
             .agg(F.count("*").alias("n")).collect()}
     assert got == want
     assert read_batches(spark, paths).count() == sum(want.values())
+
+
+def test_client_versions_compaction(spark, tmp_path):
+    from tidemill.plans.params import as_of_ntz
+    from tidemill.streaming import clients_stream as CS
+    from tidemill.streaming.runner import run_available, stream_table
+    events = stream_table(spark, SF_SMALL, "events")
+    out = str(tmp_path / "versions")
+    run_available(CS.write_versions(CS.client_fold_stream(fx.raw_messages(spark, SF_SMALL, events), as_of_ntz()),
+                                    out), str(tmp_path / "ckpt"))
+    before = {tuple(r) for r in CS.read_current(spark, out).collect()}
+    last = CS.compact(spark, out, str(tmp_path / "base"))
+    after = {tuple(r) for r in CS.read_current(spark, out, str(tmp_path / "base"), last).collect()}
+    assert before == after and len(before) > 0

@@ -30,9 +30,30 @@ def write_versions(folded: DataFrame, path: str, mode: str = "update"):
     return folded.writeStream.outputMode(mode).foreachBatch(sink)
 
 
-def read_current(spark, path: str) -> DataFrame:
-    """Current client table from the version folders: the row of the newest batch per id."""
-    v = spark.read.parquet(path)
+def read_current(spark, path: str, base: str | None = None, since_batch: int = -1) -> DataFrame:
+    """Current client table: the newest row per id across the version folders.
+
+    With ``base`` (a folder written by ``compact``) only batches after
+    ``since_batch`` are read (partition pruning on ``batch``), so reads do not
+    grow with the number of micro-batches already compacted.
+    """
+    v = spark.read.parquet(path).filter(F.col("batch") > since_batch)
+    if base is not None:
+        v = v.unionByName(spark.read.parquet(base).withColumn("batch", F.lit(since_batch)))
     cols = [c for c in v.columns if c not in ("id", "batch")]
     return (v.groupBy("id").agg(F.max_by(F.struct(*cols), F.col("batch")).alias("r"))
              .select("id", *[F.col(f"r.{c}").alias(c) for c in cols]))
+
+
+def compact(spark, path: str, out: str, base: str | None = None, since_batch: int = -1) -> int:
+    """Fold the version folders (and an older base) into a new base folder ``out``.
+
+    Returns the last batch id folded in; pass it as ``since_batch`` together
+    with ``base=out`` to later reads. ``out`` must be a new folder: the folder
+    being read is never rewritten.
+    """
+    v = spark.read.parquet(path).filter(F.col("batch") > since_batch)
+    last = v.agg(F.max("batch")).first()[0]
+    last = since_batch if last is None else int(last)
+    read_current(spark, path, base, since_batch).write.mode("errorifexists").parquet(out)
+    return last
