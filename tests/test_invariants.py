@@ -99,3 +99,27 @@ def test_component_demand_same_with_and_without_broadcast(spark):
     b = B.component_demand(sales, ex, max_broadcast_rows=0)    # bound fails: shuffle join path
     assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_fill_zero_events_equal_dense_frames(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for key in range(6):
+        day = 0
+        for _ in range(rnd.randint(1, 25)):
+            day += rnd.choice([1, 1, 2, 3, 5, 9, 20])
+            rows.append((key, D0 + dt.timedelta(days=day), float(rnd.randint(-3, 40))))
+    d = spark.createDataFrame(rows, "client_id long, ds date, qty double")
+    for window, alpha, mins in [(1, 0.5, 1), (3, 0.3, 1), (7, 0.5, 2), (10, 1.0, 1), (5, 0.0, 1), (30, 0.9, 3)]:
+        a = FE.rolling_features(d, ["client_id"], window, alpha, mins, "fill_zero").collect()
+        b = FE.rolling_features(d, ["client_id"], window, alpha, mins, "fill_zero", dense_frames=True).collect()
+        ka = {(r.client_id, r.ds): r for r in a}
+        kb = {(r.client_id, r.ds): r for r in b}
+        assert ka.keys() == kb.keys(), (window, alpha)
+        for k in ka:
+            x, y = ka[k], kb[k]
+            assert (x.qty, x.n_obs) == (y.qty, y.n_obs), (window, alpha, k)
+            for f in ("ema", "ma", "std"):
+                u, v = getattr(x, f), getattr(y, f)
+                assert (u is None) == (v is None) and (u is None or abs(u - v) <= 2e-4), (window, alpha, k, f, u, v)
