@@ -65,21 +65,6 @@ def _day(col: str = "ds") -> Column:
     return F.unix_date(F.col(col))
 
 
-def _ema_from(arr: Column, t: Column, alpha: Column, dist_field: str,
-              max_dist: Column | None = None) -> Column:
-    """sum(x r^d) / sum(r^d) over an array of structs with fields ``q`` and ``dist_field``.
-
-    ``max_dist`` (per row) restricts the array to ``t - d < max_dist`` so one
-    frame of the largest window serves per-row window lengths.
-    """
-    r = F.lit(1.0) - alpha
-    if max_dist is not None:
-        arr = F.filter(arr, lambda e: (t - e["d"]) < max_dist)
-    num = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + e["q"] * F.pow(r, t - e[dist_field]))
-    den = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + F.pow(r, t - e[dist_field]))
-    return F.try_divide(num, den)
-
-
 def _dense(daily: DataFrame, keys: Sequence[str], fill: Column | None = None) -> DataFrame:
     """Every day from each key's first to its last observed day; ``obs`` is null on filled days.
 
@@ -288,6 +273,11 @@ def lag_features(daily: DataFrame, keys: Sequence[str], lags: Sequence[int] = DE
     return series.select(*keys, "ds", "qty", *cols, F.lag("qty", 1).over(base).alias("obs_lag_1"))
 
 
+# ``day / W`` orders each key's rows so that every key's W-day window is the same frame:
+# day gaps of W-1 or less give at most 1 - 1/365, a gap of W gives exactly 1.
+_UNIT_FRAME = "range between 0.998630137 preceding and current row"
+
+
 def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, alpha: float = DEFAULT_ALPHA,
                     default_window: int = DEFAULT_WINDOW_DAYS,
                     default_min_samples: int = DEFAULT_MIN_SAMPLES) -> DataFrame:
@@ -295,10 +285,16 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
 
     ``params`` has ``keys, window_days, min_samples, nan_strategy`` (one row per
     key, already validated; keys without parameters use the defaults and
-    ``decay``). Keys with ``fill_zero`` get filler days. The frame is the
-    widest allowed (365 days) and each row keeps only the items inside its own
-    window, so this one job serves every window length.
+    ``decay``). A window spec needs a literal frame, but the window length is
+    constant within a key: ordering each key's rows by ``day / W`` maps every
+    key's W-day window onto the same frame. The EMA uses the rebased sums of
+    ``rolling_features`` on a per-key weight axis (day, or observation rank for
+    ``drop``); ``fill_zero`` keys get exit events and dense days as in
+    ``_fill_zero_features``. Requires ``0 < alpha < 1``.
     """
+    if not 0.0 < alpha < 1.0:
+        raise ValueError("per-key rolling needs 0 < alpha < 1")
+    r, epoch, classes = _rebase_plan(alpha, MAX_WINDOW_DAYS)
     p = params.select(*keys, "window_days", "min_samples", "nan_strategy")
     joined = (daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
                    .join(p, list(keys), "left"))
@@ -308,26 +304,56 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
         F.coalesce(F.col("window_days"), F.lit(default_window)).alias("window_days"),
         F.coalesce(F.col("min_samples"), F.lit(default_min_samples)).alias("min_samples"),
         F.when(strat.isin(*NAN_STRATEGIES), strat).otherwise(F.lit("decay")).alias("nan_strategy")), keys)
-    series = _dense(base, keys, F.col("nan_strategy") == "fill_zero").withColumn("_d", _day())
-    order_w = Window.partitionBy(*keys).orderBy("_d")
-    seen = F.when(F.col("obs").isNotNull(), 1).otherwise(0)
-    series = series.withColumn("_rk", F.sum(seen).over(order_w.rowsBetween(Window.unboundedPreceding, 0)))
-    w = order_w.rangeBetween(-(MAX_WINDOW_DAYS - 1), 0)
-    feats = series.select(
-        *keys, "ds", "qty", "window_days", "min_samples", "nan_strategy", "_d", "_rk",
-        F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_rk").alias("rk"), F.col("qty").alias("q"),
-                                F.col("obs").isNotNull().alias("o"))).over(w).alias("_arr"),
+    whole = Window.partitionBy(*keys)
+    obs = base.select("*", F.min("ds").over(whole).alias("_first"), F.max("ds").over(whole).alias("_last"),
+                      F.row_number().over(Window.partitionBy(*keys).orderBy("ds")).alias("_rk"))
+    fz = F.col("nan_strategy") == "fill_zero"
+    carried = [*keys, "window_days", "min_samples", "nan_strategy", "_first", "_last"]
+    ev = (obs.select(*carried, F.explode(F.array(
+              F.struct(F.col("ds").alias("day"), F.col("qty").alias("q"), F.col("_rk").alias("rk")),
+              F.struct(F.date_add("ds", F.col("window_days")).alias("day"), F.lit(None).cast("double").alias("q"),
+                       F.lit(None).cast("int").alias("rk")))).alias("e"))
+             .select(*carried, "e.day", "e.q", "e.rk")
+             .filter(F.col("q").isNotNull() | (fz & (F.col("day") <= F.col("_last")))))
+    d = F.unix_date("day")
+    wp = F.when(F.col("nan_strategy") == "drop", F.col("rk")).otherwise(d).cast("double")
+    e = F.floor(wp / F.lit(epoch))
+    own = F.pow(F.lit(r), F.lit(epoch) * e - wp)
+    cls = F.pmod(e, F.lit(classes))
+    ev = ev.select("*", d.alias("_d"), wp.alias("_wp"), e.alias("_e"),
+                   (d.cast("decimal(20,0)") / F.col("window_days")).cast("decimal(30,12)").alias("_pos"),
+                   *[F.when(cls == c, F.col("q") * own).alias(f"_a{c}") for c in range(classes)],
+                   *[F.when((cls == c) & F.col("q").isNotNull(), own).alias(f"_b{c}") for c in range(classes)])
+    over = "over (partition by " + ", ".join(f"`{k}`" for k in keys) + f" order by _pos {_UNIT_FRAME})"
+    agg = ev.select(
+        "*", F.expr(f"count(q) {over}").alias("_n"), F.expr(f"sum(q) {over}").alias("_s"),
+        F.expr(f"avg(q) {over}").alias("_mean"),
+        *[F.expr(f"sum(_a{c}) {over}").alias(f"_S{c}") for c in range(classes)],
+        *[F.expr(f"sum(_b{c}) {over}").alias(f"_D{c}") for c in range(classes)],
     )
-    inside = F.filter("_arr", lambda e: (F.col("_d") - e["d"]) < F.col("window_days"))
-    feats = feats.withColumn("_arr", inside)
-    n_obs = F.size(F.filter("_arr", lambda e: e["o"])).cast("long")
-    ok = n_obs >= F.col("min_samples")
-    by_day = _ema_from(F.col("_arr"), F.col("_d"), F.lit(alpha), "d")
-    by_rank = _ema_from(F.col("_arr"), F.col("_rk"), F.lit(alpha), "rk")
-    ema = F.when(F.col("nan_strategy") == "drop", by_rank).otherwise(by_day)
-    ma = F.aggregate("_arr", F.lit(0.0), lambda acc, e: acc + e["q"]) / F.size("_arr")
-    return feats.select(
-        *keys, "ds", "qty", "window_days", "min_samples", "nan_strategy", n_obs.alias("n_obs"),
+    num, den = F.lit(0.0), F.lit(0.0)
+    for c in range(classes):
+        scale = F.pow(F.lit(r), F.lit(epoch) * F.pmod(F.col("_e") - F.lit(c), F.lit(classes)))
+        num = num + F.coalesce(F.col(f"_S{c}"), F.lit(0.0)) * scale
+        den = den + F.coalesce(F.col(f"_D{c}"), F.lit(0.0)) * scale
+    agg = agg.withColumn("_ratio", F.try_divide(num, den)) \
+             .withColumn("_num", num * F.pow(F.lit(r), F.col("_wp") - F.lit(epoch) * F.col("_e")))
+    dedup = Window.partitionBy(*keys, "day").orderBy(F.col("q").isNull())
+    agg = agg.withColumn("_k", F.row_number().over(dedup)).filter(F.col("_k") == 1)
+    nxt = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
+    spans = agg.withColumn("_next", nxt)
+    upto = F.when(fz, F.coalesce(F.date_sub(F.col("_next"), 1), F.col("day"))).otherwise(F.col("day"))
+    dense = spans.select("*", F.explode(F.sequence(F.col("day"), upto)).alias("ds"))
+    gap = F.datediff(F.col("ds"), F.col("day"))
+    m = F.least(F.col("window_days"), F.datediff(F.col("ds"), F.col("_first")) + 1).cast("double")
+    is_obs = (gap == 0) & F.col("q").isNotNull()
+    fz_ema = F.col("_num") * F.pow(F.lit(r), gap) / ((F.lit(1.0) - F.pow(F.lit(r), m)) / F.lit(1.0 - r))
+    ema = F.when(fz, fz_ema).otherwise(F.col("_ratio"))
+    ma = F.when(fz, F.coalesce(F.col("_s"), F.lit(0.0)) / m).otherwise(F.col("_mean"))
+    ok = F.col("_n") >= F.col("min_samples")
+    return dense.select(
+        *keys, "ds", F.when(is_obs, F.col("q")).otherwise(F.lit(0.0)).alias("qty"),
+        "window_days", "min_samples", "nan_strategy", F.col("_n").alias("n_obs"),
         F.when(ok, F.round(ema, ROUND)).alias("ema"),
         F.when(ok, F.round(ma, ROUND)).alias("ma"),
     )
