@@ -76,8 +76,10 @@ def test_t2_duplicate_keys_keep_last(spark):
 def test_b8_uuid_is_lenient_like_the_consumer(spark):
     rows = client(spark, [(C, None, '{"id": "{%s}"}' % U1.upper()),
                           (C, None, '{"id": "urn:uuid:%s"}' % U1.replace("-", "")),
-                          (C, None, '{"id": 12}'), (C, None, '{"name": "x"}')])
-    assert [(r.id, r.error) for r in rows] == [(U1, None), (U1, None), (None, "invalid_id"), (None, "missing_id")]
+                          (C, None, '{"id": 12}'), (C, None, '{"name": "x"}'),
+                          (C, None, '{"id": "}{%s}{"}' % U1), (C, None, '{"id": "%s{x}"}' % U1[:-1])])
+    assert [(r.id, r.error) for r in rows] == [(U1, None), (U1, None), (None, "invalid_id"), (None, "missing_id"),
+                                               (U1, None), (None, "invalid_id")]
 
 
 def test_t3_timestamps(spark):

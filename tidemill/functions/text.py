@@ -21,24 +21,29 @@ def bool_text(text: Column) -> Column:
     return F.when(t.rlike(PG_TRUE_TEXT), F.lit(True)).when(t.rlike(PG_FALSE_TEXT), F.lit(False))
 
 
+_HEX32_GROUPS = r"^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$"
+
+
 def _hyphenate(h: Column) -> Column:
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+    """32 hex digits -> 8-4-4-4-12 (one regex pass over ``h``)."""
+    return F.regexp_replace(h, _HEX32_GROUPS, "$1-$2-$3-$4-$5")
 
 
 def canonical_uuid(text: Column) -> Column:
-    """Lenient UUID parse (drop ``urn:``/``uuid:``, braces, hyphens; need 32 hex digits)
-    -> lower-case 8-4-4-4-12 form, else null."""
-    h = F.regexp_replace(F.regexp_replace(F.lower(text), "urn:|uuid:", ""), r"^\{+|\}+$", "")
-    h = F.regexp_replace(h, "-", "")
+    """Lenient UUID parse -> lower-case 8-4-4-4-12 form, else null.
+
+    Like the consumer: drop ``urn:`` then ``uuid:``, strip ``{``/``}`` from both
+    ends, drop hyphens, then require 32 hex digits.
+    """
+    h = F.regexp_replace(F.regexp_replace(F.lower(text), "urn:", ""), "uuid:", "")
+    h = F.regexp_replace(h, r"^[{}]+|[{}]+$|-", "")
     return F.when(h.rlike("^[0-9a-f]{32}$"), _hyphenate(h))
 
 
 def pg_uuid(text: Column) -> Column:
     """PostgreSQL uuid input -> canonical form, else null (a query error in the database)."""
     t = F.lower(text)
-    h = F.regexp_replace(t, r"[{}-]", "")
-    return F.when(t.rlike(PG_UUID_TEXT), _hyphenate(h))
+    return F.when(t.rlike(PG_UUID_TEXT), _hyphenate(F.regexp_replace(t, r"[{}-]", "")))
 
 
 def source_path(path: Column) -> Column:

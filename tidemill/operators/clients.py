@@ -68,7 +68,7 @@ def client_fields(p: Column, as_of: Column) -> tuple[dict[str, Column], Column]:
         ts_err.append(F.when(truthy & (t != "STRING"), F.lit(f"{key}_not_text")))
     for key in ("created_at", "updated_at"):
         out[key] = F.coalesce(out[key], as_of)
-    cid = canonical_uuid(F.col("s_id"))
+    cid = F.col("_id_uuid")
     id_err = (F.when(~_present("id"), "missing_id")
                .when((F.col("t_id") != "STRING") | cid.isNull(), "invalid_id"))
     out["id"] = F.when(F.col("t_id") == "STRING", cid)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import json as J
-from tidemill.functions.text import pg_uuid
+from tidemill.functions.text import canonical_uuid, pg_uuid
 from tidemill.functions.time import parse_iso_timestamp
 
 # The two event types with a handler; all others are unknown.
@@ -45,7 +45,7 @@ def normalise_messages(raw: DataFrame) -> DataFrame:
                          J.payload_struct(F.col("data"), PAYLOAD_KEYS).alias("p"))
     kind = J.payload_kind(F.col("data"), F.col("_keys"))
     p = F.col("p")
-    return staged.select(
+    typed = staged.select(
         *ENVELOPE, kind.alias("payload_kind"),
         F.coalesce(F.size("_keys"), F.lit(0)).alias("payload_size"),
         J.payload_truthy(F.col("data"), kind, F.col("_keys")).alias("payload_truthy"),
@@ -53,6 +53,9 @@ def normalise_messages(raw: DataFrame) -> DataFrame:
         *[J.vtype(p[k]).alias(f"t_{k}") for k in PAYLOAD_KEYS],
         *[J.vstring(p[k]).alias(f"s_{k}") for k in PAYLOAD_KEYS],
     )
+    # ids parsed once per message: the payload id (consumer rules), the envelope client id (database rules)
+    return typed.withColumn("_id_uuid", canonical_uuid(F.col("s_id"))) \
+                .withColumn("_client_uuid", pg_uuid(F.col("client_id")))
 
 
 def route_of(event_type: Column) -> Column:
@@ -67,7 +70,7 @@ def sales_outcome(norm: DataFrame) -> tuple[Column, Column]:
     cid = F.col("client_id")
     reason = (F.when(F.coalesce(cid, F.lit("")) == "", "missing_client_id")
                .when(~kind.isin("object", "invalid", "missing"), "payload_not_object")
-               .when(pg_uuid(cid).isNull(), "invalid_client_id"))
+               .when(F.col("_client_uuid").isNull(), "invalid_client_id"))
     outcome = (F.when(reason == "missing_client_id", "skipped")
                 .when(reason.isNotNull(), "failed")
                 .otherwise("processed"))

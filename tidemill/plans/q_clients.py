@@ -17,7 +17,7 @@ from tidemill.sources import fixtures as fx
 ROWS_SQL = f"""
 rows as (
   select event_id, arrival_seq,
-    regexp_replace(regexp_replace(regexp_replace(lower(j->>'id'), 'urn:|uuid:', '', 'g'), '^\\{{+|\\}}+$', '', 'g'), '-', '', 'g') as h,
+    regexp_replace(replace(replace(lower(j->>'id'), 'urn:', ''), 'uuid:', ''), '^[{{}}]+|[{{}}]+$|-', '', 'g') as h,
     case when json_type(j, '$.name') is null then '' else j->>'name' end as name,
     case when json_type(j, '$.organization_id') is null then '' else j->>'organization_id' end as organization_id,
     j->>'contact_email' as contact_email, j->>'contact_phone' as contact_phone,

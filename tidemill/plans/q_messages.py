@@ -39,7 +39,7 @@ cl as (
          when json_type(j, '$.config_confirmed_at') not in ('VARCHAR', 'NULL') then 'config_confirmed_at_not_text'
          when json_type(j, '$.id') is null then 'missing_id'
          when json_type(j, '$.id') <> 'VARCHAR'
-           or not regexp_matches(regexp_replace(regexp_replace(regexp_replace(lower(j->>'id'), 'urn:|uuid:', '', 'g'), '^\\{+|\\}+$', '', 'g'), '-', '', 'g'), '^[0-9a-f]{32}$')
+           or not regexp_matches(regexp_replace(replace(replace(lower(j->>'id'), 'urn:', ''), 'uuid:', ''), '^[{}]+|[{}]+$|-', '', 'g'), '^[0-9a-f]{32}$')
            then 'invalid_id'
          when json_type(j, '$.features_enabled') is not null and json_type(j, '$.features_enabled') <> 'OBJECT' then 'features_enabled_not_object'
          when length(coalesce(j->>'name', '')) > 255 then 'name_too_long'
