@@ -82,22 +82,24 @@ def message_outcomes(norm: DataFrame, client_error: Column) -> DataFrame:
 
     ``client_error`` is the first error of the client row built from the
     payload (see ``clients.client_fields``); it is consulted for the clients
-    route only.
+    route only. The two reasons are computed in a projection of their own and
+    the outcome is derived from those columns, so each rule runs once per row.
     """
-    route = route_of(F.col("event_type"))
-    s_out, s_reason = sales_outcome(norm)
+    _, s_reason = sales_outcome(norm)
     kind = F.col("payload_kind")
     c_reason = (F.when(~F.col("payload_truthy"), "empty_data")
                  .when(kind != "object", "payload_not_object")
                  .otherwise(client_error))
-    c_out = (F.when(c_reason == "empty_data", "skipped")
-              .when(c_reason.isNotNull(), "failed")
-              .otherwise("processed"))
-    return norm.select(
-        "event_id", "arrival_seq", "stream", "event_type", route.alias("route"),
+    staged = norm.select("event_id", "arrival_seq", "stream", "event_type",
+                         route_of(F.col("event_type")).alias("route"),
+                         c_reason.alias("_c_reason"), s_reason.alias("_s_reason"))
+    route, c, sr = F.col("route"), F.col("_c_reason"), F.col("_s_reason")
+    c_out = F.when(c == "empty_data", "skipped").when(c.isNotNull(), "failed").otherwise("processed")
+    s_out = F.when(sr == "missing_client_id", "skipped").when(sr.isNotNull(), "failed").otherwise("processed")
+    return staged.select(
+        "event_id", "arrival_seq", "stream", "event_type", "route",
         F.when(route == "clients", c_out).when(route == "sales", s_out).otherwise("unknown").alias("outcome"),
-        F.when(route == "clients", c_reason).when(route == "sales", s_reason)
-         .otherwise("unknown_event_type").alias("reason"),
+        F.when(route == "clients", c).when(route == "sales", sr).otherwise("unknown_event_type").alias("reason"),
     )
 
 
