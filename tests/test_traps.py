@@ -182,3 +182,18 @@ def test_t5_null_last_processed_first(spark):
                                    "client_id long, last_processed_at timestamp_ntz, records_processed long")
     got = [r.id for r in CL.bom_status_report(clients, status).collect()]
     assert got == [3, 2, 1]
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = client(spark, [(C, None, '{"id": "%s", "created_at": "2024-01-05T10:00:00Z"}' % U1),
+                              (C, None, '{"id": "%s", "created_at": "2024-01-05T10:00:00+02:00"}' % U1),
+                              (C, None, '{"id": "%s", "created_at": "2024-01-05T10:00:00"}' % U1),
+                              (C, None, '{"id": "%s", "created_at": "2024-01-05"}' % U1),
+                              (C, None, '{"id": "%s", "created_at": "2024-01-05T10:00:00.5-01:30"}' % U1)])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.created_at for r in rows] == [dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5, 8),
+                                            dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5),
+                                            dt.datetime(2024, 1, 5, 11, 30, 0, 500000)]

@@ -9,16 +9,29 @@ from pyspark.sql import functions as F
 MONTH_NAME_FORMAT = "yyyy_MM"
 
 ISO_DATE_PREFIX = r"^\s*\d{4}-\d{2}-\d{2}"
+ISO_ZONE_SUFFIX = r"(?i)\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(z|[+-]\d{2}(:?\d{2})?)$"
 
 
 def parse_iso_timestamp(text: Column) -> Column:
-    """RFC 3339 / ISO text -> timestamp; empty or invalid -> null.
+    """RFC 3339 / ISO text -> UTC wall-clock ``timestamp_ntz``; empty or invalid -> null.
 
-    ``try_to_timestamp`` alone also accepts a bare time of day (it means
-    "today"), which the reference rejects, so a date prefix is required.
+    Text with ``Z`` or an offset is converted to UTC; text without one is taken
+    as UTC already (how the reference's database stores naive times). The
+    result does not depend on the session time zone. ``try_to_timestamp``
+    alone also accepts a bare time of day (it means "today"), which the
+    reference rejects, so a date prefix is required.
     """
     t = F.trim(text)
-    return F.when(t.rlike(ISO_DATE_PREFIX), F.try_to_timestamp(t))
+    parsed = F.try_to_timestamp(t)
+    zoned = t.rlike(ISO_ZONE_SUFFIX)
+    wall = F.when(zoned, utc_wall_clock(parsed)).otherwise(parsed.cast("timestamp_ntz"))
+    return F.when(t.rlike(ISO_DATE_PREFIX), wall)
+
+
+def utc_wall_clock(ts: Column) -> Column:
+    """An instant (``timestamp``) as its UTC wall-clock time (``timestamp_ntz``), whatever
+    the session time zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
 
 
 def month_key(ts: Column) -> Column:

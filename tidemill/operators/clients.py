@@ -64,7 +64,7 @@ def client_fields(p: Column, as_of: Column) -> tuple[dict[str, Column], Column]:
     for key in TS_FIELDS:
         t = F.col(f"t_{key}")
         truthy = _truthy(key)
-        out[key] = F.when(truthy & (t == "STRING"), parse_iso_timestamp(F.col(f"s_{key}")).cast("timestamp_ntz"))
+        out[key] = F.when(truthy & (t == "STRING"), parse_iso_timestamp(F.col(f"s_{key}")))
         ts_err.append(F.when(truthy & (t != "STRING"), F.lit(f"{key}_not_text")))
     for key in ("created_at", "updated_at"):
         out[key] = F.coalesce(out[key], as_of)

@@ -116,7 +116,7 @@ def sales_notifications(norm: DataFrame) -> DataFrame:
     s_out, _ = sales_outcome(norm)
     tname = F.when(F.col("t_table_name").isNull(), F.lit("unknown")).otherwise(F.col("s_table_name"))
     rcount = F.when(F.col("t_record_count").isNull(), F.lit("0")).otherwise(F.col("s_record_count"))
-    upd = F.when(F.col("t_updated_at").isNotNull(), parse_iso_timestamp(F.col("s_updated_at")).cast("timestamp_ntz")) \
+    upd = F.when(F.col("t_updated_at").isNotNull(), parse_iso_timestamp(F.col("s_updated_at"))) \
            .otherwise(F.col("event_ts"))
     return (norm.filter((F.col("event_type") == SALES_EVENT) & (s_out == "processed"))
                 .select("event_id", "arrival_seq", "client_id",
