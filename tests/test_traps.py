@@ -197,3 +197,20 @@ def test_timestamps_do_not_depend_on_the_session_zone(spark):
     assert [r.created_at for r in rows] == [dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5, 8),
                                             dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5),
                                             dt.datetime(2024, 1, 5, 11, 30, 0, 500000)]
+
+
+def test_iso_forms_of_the_consumer(spark):
+    """Week and compact dates, any separator, compact times and decimal commas parse like
+    Python's ``datetime.fromisoformat`` (3.12); a bare time does not."""
+    from tidemill.functions.time import parse_iso_timestamp
+    cases = {
+        "2025-W01-1": dt.datetime(2024, 12, 30), "2025W011": dt.datetime(2024, 12, 30),
+        "2020-W53-5": dt.datetime(2021, 1, 1), "2024-W52-7T10:00:00": dt.datetime(2024, 12, 29, 10),
+        "20251122T140000": dt.datetime(2025, 11, 22, 14), "20251122": dt.datetime(2025, 11, 22),
+        "2025-11-22x14:00:00": dt.datetime(2025, 11, 22, 14), "2025-11-22T1400Z": dt.datetime(2025, 11, 22, 14),
+        "2025-11-22T14:00+05:30": dt.datetime(2025, 11, 22, 8, 30),
+        "2025-11-22T14:00:00,25": dt.datetime(2025, 11, 22, 14, 0, 0, 250000), "14:00": None, "": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.v for r in df.select("t", parse_iso_timestamp(F.col("t")).alias("v")).collect()}
+    assert got == cases

@@ -12,16 +12,44 @@ ISO_DATE_PREFIX = r"^\s*\d{4}-\d{2}-\d{2}"
 ISO_ZONE_SUFFIX = r"(?i)\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(z|[+-]\d{2}(:?\d{2})?)$"
 
 
+def _iso_extended(t: Column) -> Column:
+    """Rewrite the ISO forms Python's ``fromisoformat`` also accepts into extended form.
+
+    * week dates ``YYYY-Www[-D]`` / ``YYYYWww[D]`` -> the calendar date (Monday
+      of ISO week 1 is 4 January minus its weekday);
+    * compact dates ``YYYYMMDD`` -> ``YYYY-MM-DD``;
+    * any single separator character before the time -> ``T``;
+    * compact times ``HHMM[SS]`` -> ``HH:MM[:SS]``, decimal comma -> point.
+    """
+    week = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?(?=$|[^0-9])"
+    y = F.regexp_extract(t, week, 1).cast("int")
+    wk = F.regexp_extract(t, week, 2).cast("int")
+    dd = F.coalesce(F.nullif(F.regexp_extract(t, week, 3), F.lit("")).cast("int"), F.lit(1))
+    jan4 = F.make_date(y, F.lit(1), F.lit(4))
+    week_date = F.date_add(F.date_sub(jan4, F.weekday(jan4)), (wk - 1) * 7 + dd - 1)
+    rest = F.regexp_replace(t, week, "")
+    t = F.when(t.rlike(week), F.concat(F.date_format(week_date, "yyyy-MM-dd"), rest)).otherwise(t)
+    t = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})(?=$|[^0-9])", "$1-$2-$3")
+    t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})[^0-9](?=\d)", "$1T")
+    t = F.regexp_replace(t, r"T(\d{2})(\d{2})(\d{2})(?=$|[.,+\-Zz])", "T$1:$2:$3")
+    t = F.regexp_replace(t, r"T(\d{2})(\d{2})(?=$|[+\-Zz])", "T$1:$2")
+    t = F.regexp_replace(t, r"(T\d{2}:\d{2}:\d{2}),(\d)", "$1.$2")      # decimal comma
+    # HH:MM directly followed by a zone needs seconds for the parser
+    return F.regexp_replace(t, r"T(\d{2}):(\d{2})(?=[+\-Zz])", "T$1:$2:00")
+
+
 def parse_iso_timestamp(text: Column) -> Column:
     """RFC 3339 / ISO text -> UTC wall-clock ``timestamp_ntz``; empty or invalid -> null.
 
-    Text with ``Z`` or an offset is converted to UTC; text without one is taken
-    as UTC already (how the reference's database stores naive times). The
-    result does not depend on the session time zone. ``try_to_timestamp``
-    alone also accepts a bare time of day (it means "today"), which the
-    reference rejects, so a date prefix is required.
+    Accepts the forms of Python's ``datetime.fromisoformat`` (week and compact
+    dates and times included, see ``_iso_extended``). Text with ``Z`` or an
+    offset is converted to UTC; text without one is taken as UTC already (how
+    the reference's database stores naive times). The result does not depend
+    on the session time zone. ``try_to_timestamp`` alone also accepts a bare
+    time of day (it means "today"), which the reference rejects, so a date
+    prefix is required.
     """
-    t = F.trim(text)
+    t = _iso_extended(F.trim(text))
     parsed = F.try_to_timestamp(t)
     zoned = t.rlike(ISO_ZONE_SUFFIX)
     wall = F.when(zoned, utc_wall_clock(parsed)).otherwise(parsed.cast("timestamp_ntz"))
