@@ -210,6 +210,8 @@ def test_iso_forms_of_the_consumer(spark):
         "2025-11-22x14:00:00": dt.datetime(2025, 11, 22, 14), "2025-11-22T1400Z": dt.datetime(2025, 11, 22, 14),
         "2025-11-22T14:00+05:30": dt.datetime(2025, 11, 22, 8, 30),
         "2025-11-22T14:00:00,25": dt.datetime(2025, 11, 22, 14, 0, 0, 250000), "14:00": None, "": None,
+        "2025-11-22T14": dt.datetime(2025, 11, 22, 14), "2025-11-22T14Z": dt.datetime(2025, 11, 22, 14),
+        "2025-11-22T14+01:00": dt.datetime(2025, 11, 22, 13),
     }
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     got = {r.t: r.v for r in df.select("t", parse_iso_timestamp(F.col("t")).alias("v")).collect()}

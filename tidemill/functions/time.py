@@ -34,7 +34,8 @@ def _iso_extended(t: Column) -> Column:
     t = F.regexp_replace(t, r"T(\d{2})(\d{2})(\d{2})(?=$|[.,+\-Zz])", "T$1:$2:$3")
     t = F.regexp_replace(t, r"T(\d{2})(\d{2})(?=$|[+\-Zz])", "T$1:$2")
     t = F.regexp_replace(t, r"(T\d{2}:\d{2}:\d{2}),(\d)", "$1.$2")      # decimal comma
-    # HH:MM directly followed by a zone needs seconds for the parser
+    # HH or HH:MM directly followed by a zone needs minutes and seconds for the parser
+    t = F.regexp_replace(t, r"T(\d{2})(?=[+\-Zz])", "T$1:00:00")
     return F.regexp_replace(t, r"T(\d{2}):(\d{2})(?=[+\-Zz])", "T$1:$2:00")
 
 
