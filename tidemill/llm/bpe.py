@@ -2,9 +2,9 @@
 
 A pre-token's symbols form a doubly linked list. Every adjacent pair whose bytes have a rank waits in
 that rank's bucket, a heap of list positions (the leftmost pair of the lowest rank merges first, as
-in the usual definition). Three levels of 64-bit words mark the buckets that hold anything, so
-find-first-set gives the next rank in three steps whatever the vocabulary's size; entries whose pair
-has changed since are skipped when they surface. A pre-token of n bytes costs O(n log n), so very
+in the usual definition). Two levels of 256-bit words mark the buckets that hold anything, so
+find-first-set gives the next rank in two steps; entries whose pair has changed since are skipped
+when they surface. A pre-token of n bytes costs O(n log n), so very
 long ones are no special case.
 
 ``encoded`` adds ids per text; ``decoded`` turns ids back into bytes with vectorised gathers. Neither
@@ -26,8 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemill.llm import common
-from tidemill.llm.pretokens import RunCache
+from tidemill.llm.pretokens import RunCache, packed
 
+#: Words of the bitmap have 2 to this many bits: Python's integers give find-first-set on any width.
+WORD = 8
+MASK = (1 << WORD) - 1
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -35,40 +38,36 @@ class RankQueue:
     """Priority queue of (rank, position) over a fixed range of ranks."""
 
     def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (ranks // 4096 + 1)
-        self.top = 0                                   # one bit per word of ``mid``
+        self.buckets: list[list[int] | None] = [None] * ranks
+        self.low = [0] * ((ranks >> WORD) + 1)         # one bit per bucket that holds anything
+        self.top = 0                                   # one bit per word of ``low``
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
+        bucket = self.buckets[rank]
         if bucket is None:
             self.buckets[rank] = [position]
-            self.low[rank >> 6] |= 1 << (rank & 63)
-            self.mid[rank >> 12] |= 1 << ((rank >> 6) & 63)
-            self.top |= 1 << (rank >> 12)
+            word = rank >> WORD
+            if not self.low[word]:
+                self.top |= 1 << word
+            self.low[word] |= 1 << (rank & MASK)
         else:
             heapq.heappush(bucket, position)
 
-    def pop(self) -> tuple[int, int] | None:
-        """The smallest rank's leftmost position."""
-        if not self.top:
-            return None
-        a = (self.top & -self.top).bit_length() - 1
-        word = self.mid[a]
-        b = (a << 6) + (word & -word).bit_length() - 1
-        word = self.low[b]
-        rank = (b << 6) + (word & -word).bit_length() - 1
+    def pop(self) -> tuple[int, int]:
+        """The smallest rank's leftmost position; only while ``top`` is not zero."""
+        top = self.top
+        at = (top & -top).bit_length() - 1
+        word = self.low[at]
+        bit = word & -word
+        rank = (at << WORD) + bit.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] &= ~(1 << (rank & 63))
-            if not self.low[b]:
-                self.mid[a] &= ~(1 << (b & 63))
-                if not self.mid[a]:
-                    self.top &= ~(1 << a)
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        self.buckets[rank] = None
+        self.low[at] = word = word ^ bit
+        if not word:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class Encoder:
@@ -93,8 +92,9 @@ class Encoder:
             if rank is not None:
                 waits[at] = rank
                 queue.push(rank, at)
-        while (item := queue.pop()) is not None:
-            rank, at = item
+        pop, push = queue.pop, queue.push
+        while queue.top:
+            rank, at = pop()
             if waits[at] != rank:
                 continue                               # stale
             middle = end[at]
@@ -106,14 +106,14 @@ class Encoder:
                 far = end[after]
                 if far - at <= longest and (rank := ranks.get(word[at:far])) is not None:
                     waits[at] = rank
-                    queue.push(rank, at)
+                    push(rank, at)
             before = back[at]
             if before >= 0:
                 rank = ranks.get(word[before:after]) if after - before <= longest else None
                 waits[before] = -1
                 if rank is not None:
                     waits[before] = rank
-                    queue.push(rank, before)
+                    push(rank, before)
         out, at = [], 0
         while at < n:
             out.append(ranks[word[at:end[at]]])
@@ -121,7 +121,7 @@ class Encoder:
         return out
 
     def all(self, words: list[str]) -> list[bytes]:
-        return [np.array(self.ids(w.encode()), dtype="<u4").tobytes() for w in words]
+        return [packed(self.ids(w.encode())) for w in words]
 
 
 def ranks_of(raw: bytes) -> dict[bytes, int]:
@@ -158,7 +158,7 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(shared.value)
         cache, decoder = RunCache(pattern, Encoder(ranks).all), Decoder(ranks)
-        for part in common.slices(batches, most=2 << 20):
+        for part in common.slices(batches, most=4 << 20):
             ids = cache.encode([t or "" for t in part.column("text").to_pylist()])
             cols = [part.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),

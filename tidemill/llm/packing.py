@@ -20,6 +20,7 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tidemill.llm import common
-from tidemill.llm.pretokens import RunCache
+from tidemill.llm.pretokens import RunCache, packed
 
 LENGTH = 1024
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -85,6 +86,25 @@ class Packer:
                     pieces = []
 
 
+def encode_pieces(tokenizer, pieces: list[str]) -> list[bytes]:
+    """The packed ids of each pre-token. Those without a line end are encoded as the lines of one text:
+    the line end is a pre-token of its own there, so its id marks where each piece's ids stop.
+    """
+    lines = [p for p in pieces if "\n" not in p and not p.isspace()]
+    found: dict[str, bytes] = {}
+    if lines:
+        end = tokenizer.encode("\n", add_special_tokens=False).ids
+        ids = np.array(tokenizer.encode("\n".join(lines) + "\n", add_special_tokens=False).ids, dtype="<u4")
+        at = np.flatnonzero(ids == end[0])
+        if len(end) == 1 and len(at) == len(lines):
+            raw = ids.tobytes()
+            for piece, a, b in zip(lines, chain((0,), (at + 1).tolist()), at.tolist(), strict=False):
+                found[piece] = raw[4 * a:4 * b]
+    rest = [p for p in pieces if p not in found]
+    found.update((p, packed(e.ids)) for p, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+    return [found[p] for p in pieces]
+
+
 def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """One row per piece: its place in its document and in its sequence, and its ids if asked for."""
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -96,8 +116,7 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGT
 
         tokenizer = Tokenizer.from_str(shared.value)
         tokenizer.encode_special_tokens = True
-        cache = RunCache(pattern, lambda words: [np.array(e.ids, dtype="<u4").tobytes() for e in
-                                                 tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        cache = RunCache(pattern, lambda words: encode_pieces(tokenizer, words))
         packer, rows, base = Packer(length), [], TaskContext.get().partitionId() << 40
 
         def close(pieces: list[tuple]) -> None:
@@ -117,7 +136,7 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGT
             rows.clear()
             return pa.RecordBatch.from_arrays(cols, names=names)
 
-        for part in common.slices(batches, most=2 << 20):
+        for part in common.slices(batches, most=4 << 20):
             texts = [t or "" for t in part.column("text").to_pylist()]
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), cache.encode(texts), strict=True):
                 doc = (doc_id, ids + b"\0\0\0\0")

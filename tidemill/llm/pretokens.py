@@ -1,67 +1,93 @@
 """Texts to token ids by cached runs: a text is cut at single spaces, each run's ids are kept.
 
-A run is the text between two single spaces with the space before it. When a run begins and ends
+A run is the text between two single spaces, with the space before it. When a run begins and ends
 with visible characters, no pre-token crosses its ends, so its ids do not depend on its neighbours.
 A text with any other run (double spaces, white space beside a space) is cut by the pattern itself.
-The cache holds at most ``MOST_CACHED`` runs a task and is emptied beyond that; results never depend
-on it.
+Two generations of at most ``MOST_CACHED`` runs each are kept; results never depend on them.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable
+from itertools import chain
 
 import regex
 
-#: Runs that one task remembers.
+#: Runs that one generation of a task's cache holds.
 MOST_CACHED = 400_000
+_FIRST = "\0"                                   # marks a run that no space precedes
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit unsigned numbers (little-endian, as on every machine that Spark supports)."""
+    return array("I", ids).tobytes()
 
 
 class RunCache:
-    """Ids of texts, as little-endian 32-bit bytes. ``encode_all`` maps pre-split strings to such bytes."""
+    """Ids of texts as packed bytes. ``encode_all`` maps pre-tokens to the packed ids of each."""
 
     def __init__(self, pattern: str, encode_all: Callable[[list[str]], list[bytes]], most: int = MOST_CACHED):
         self._find = regex.compile(pattern).findall
         self._encode_all, self._most = encode_all, most
         self._runs: dict[str, bytes | None] = {}
+        self._older: dict[str, bytes | None] = {}
+        self._pieces: dict[str, bytes] = {}
+
+    def _cut(self, run: str) -> list[str]:
+        """The pre-tokens of a run."""
+        body, lead = (run[1:], "") if run[:1] == _FIRST else (run, " ")
+        if body.isalpha():
+            return [lead + body]
+        if body[-1] in ".," and body[:-1].isalpha():
+            return [lead + body[:-1], body[-1]]
+        return self._find(lead + body)
 
-    def _learn(self, runs: set[str]) -> None:
+    def _learn(self, runs: list[str]) -> None:
         if len(self._runs) + len(runs) > self._most:
-            self._runs.clear()
-        plain, parts = [], []
+            self._older, self._runs = self._runs, {}
+        if len(self._pieces) > self._most:
+            self._pieces = {}
+        known, cut = self._runs, {}
         for run in runs:
-            body = run[1:] if run[:1] == " " else run
+            if run in self._older:
+                known[run] = self._older[run]
+                continue
+            body = run[1:] if run[:1] == _FIRST else run
             if not body or body[0].isspace() or body[-1].isspace():
-                self._runs[run] = None
+                known[run] = None
             else:
-                plain.append(run)
-                parts.append(self._find(run))
-        flat = list({p for each in parts for p in each})
-        ids = dict(zip(flat, self._encode_all(flat), strict=True))
-        for run, each in zip(plain, parts, strict=True):
-            self._runs[run] = b"".join([ids[p] for p in each])
+                cut[run] = self._cut(run)
+        pieces = self._pieces
+        flat = list({p for each in cut.values() for p in each if p not in pieces})
+        pieces.update(zip(flat, self._encode_all(flat), strict=True))
+        for run, each in cut.items():
+            known[run] = pieces[each[0]] if len(each) == 1 else b"".join([pieces[p] for p in each])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
+        """The packed ids of each text."""
         cut = []
         for text in texts:
-            runs = text.replace(" ", "\n\0 ").split("\n\0") if "\0" not in text else None
-            if runs is not None and not runs[0]:
-                runs = runs[1:] if len(runs) == 1 else None
+            runs = text.split(" ") if text and _FIRST not in text else []
+            if runs:
+                runs[0] = _FIRST + runs[0]
             cut.append(runs)
-        known = self._runs
-        new = {r for runs in cut if runs for r in runs if r not in known}
-        if new:
-            before = len(known)
-            self._learn(new)
-            if len(known) < before + len(new):                  # emptied: learn what this call needs
-                self._learn({r for runs in cut if runs for r in runs if r not in known})
-        out = []
+        wanted = set(chain.from_iterable(cut))
+        if new := wanted.difference(self._runs):
+            before = self._runs
+            self._learn(list(new))
+            if self._runs is not before:                        # a new generation: fetch the rest of this call's runs
+                self._learn(list(wanted.difference(self._runs)))
+        known, out = self._runs.__getitem__, []
         for text, runs in zip(texts, cut, strict=True):
-            ids = list(map(known.__getitem__, runs)) if runs is not None else [None]
-            if None in ids:
+            try:
+                ids = b"".join(map(known, runs)) if runs or not text else None
+            except TypeError:                                   # a run that its neighbours change
+                ids = None
+            if ids is None:
                 pieces = self._find(text)
-                table = dict(zip(set(pieces), self._encode_all(list(set(pieces))), strict=True)) if pieces else {}
-                ids = [table[p] for p in pieces]
-            out.append(b"".join(ids))
+                distinct = list(set(pieces))
+                table = dict(zip(distinct, self._encode_all(distinct), strict=True))
+                ids = b"".join([table[p] for p in pieces])
+            out.append(ids)
         return out
