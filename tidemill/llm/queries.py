@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, ngram_join, packing, quality, sharding, url_lists, warc
+from tidemill.llm import bpe, ngram_join, packing, quality, repeats, sharding, url_lists, warc
 from tidemill.llm.common import table
 
 #: Vocabulary files; a path on the driver, their content is broadcast.
@@ -26,6 +26,10 @@ def op2_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), size=4, percent=85)
 
 
+def op3_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_table(warc.captures_of(table(spark, sf_dir, "pages", "page_id", "url", "html")))
 
@@ -121,6 +125,7 @@ FROM cap LEFT JOIN (SELECT * FROM hits WHERE best = 1) USING (capture)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_count_vector_join": op2_count_vector_join,
+    "op3_suffix_trees": op3_suffix_trees,
     "op4_warc_transactions": op4_warc_transactions,
     "op6_sum_of_squares": op6_sum_of_squares,
     "op7_rank_queue_bpe": op7_rank_queue_bpe,
