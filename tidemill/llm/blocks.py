@@ -102,15 +102,17 @@ def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Arra
             yield row["block"].as_py(), row.pop("texts").values, row.pop("doc_ids").values, row
 
 
-def with_answers(table: DataFrame, answers: DataFrame) -> DataFrame:
-    """Every block with its answers (a list of ``(grp, bits)``), which may be none."""
-    listed = answers.groupBy("block").agg(F.collect_list(F.struct("grp", "bits")).alias("answers"))
-    return table.select("block", "texts", "doc_ids").join(listed, "block", "left")
+def with_answers(table: DataFrame, **answers: DataFrame) -> DataFrame:
+    """Every block with its answers by name (lists of ``(grp, bits)``), which may be none."""
+    out = table.select("block", "texts", "doc_ids")
+    for name, given in answers.items():
+        out = out.join(given.groupBy("block").agg(F.collect_list(F.struct("grp", "bits")).alias(name)), "block", "left")
+    return out
 
 
-def answers_of(row: dict) -> dict[int, bytes]:
+def answers_of(row: dict, name: str) -> dict[int, bytes]:
     """Group to bits of one row of ``with_answers``."""
-    return {a["grp"]: a["bits"] for a in row["answers"].as_py() or ()}
+    return {a["grp"]: a["bits"] for a in row[name].as_py() or ()}
 
 
 def bits(flags: np.ndarray) -> bytes:

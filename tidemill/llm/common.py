@@ -46,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
+BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _BASE = 0x9FB21C651E98DF25
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
@@ -63,6 +63,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of every span; spans come in order of their ends, none is empty."""
+    hashes = np.empty(starts.size, dtype=np.uint64)
+    at = 0
+    while at < starts.size:
+        low = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, low + _SPAN, side="right")))
+        low, high = int(starts[at:to].min()), int(ends[to - 1])
+        up, down = _powers(high - low + 1)
+        total = np.zeros(high - low + 1, dtype=np.uint64)
+        np.cumsum(BYTE_CODES[raw[low:high]] * up[:high - low], out=total[1:])
+        s, e = starts[at:to] - low, ends[at:to] - low
+        hashes[at:to] = (total[e] - total[s]) * down[s]
+        at = to
+    return mix(hashes)
+
+
 class Words:
     """The words of a slice of texts: their hashes in order, and where each document's words begin."""
 
@@ -103,19 +120,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     before[1:] = solid[:-1]
     starts = np.flatnonzero(solid & (~before | first))
     ends = np.flatnonzero(before & (~solid | first))
-    hashes = np.empty(starts.size, dtype=np.uint64)
-    at = 0
-    while at < starts.size:
-        low = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(ends, low + _SPAN, side="right")))
-        high = int(ends[to - 1])
-        up, down = _powers(high - low + 1)
-        total = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[raw[low:high]] * up[:high - low], out=total[1:])
-        s, e = starts[at:to] - low, ends[at:to] - low
-        hashes[at:to] = (total[e] - total[s]) * down[s]
-        at = to
-    return Words(mix(hashes), np.searchsorted(starts, offsets), starts, ends)
+    return Words(span_hashes(raw, starts, ends), np.searchsorted(starts, offsets), starts, ends)
 
 
 _STEP = 0xD6E8FEB86659FD93
@@ -147,11 +152,11 @@ def starts_inside(offsets: np.ndarray, size: int) -> np.ndarray:
 
 
 def covered(starts: np.ndarray, size: int, total: int) -> np.ndarray:
-    """Mask of the positions that a run of ``size`` beginning at one of ``starts`` covers."""
-    edge = np.zeros(total + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + size, -1)
-    return np.cumsum(edge[:total]) > 0
+    """Mask of the positions that a run of ``size`` beginning at one of the (distinct) ``starts`` covers."""
+    edge = np.zeros(total + 1, np.int32)
+    edge[starts] += 1
+    edge[starts + size] -= 1
+    return np.cumsum(edge[:total], dtype=np.int32) > 0
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, ngram_join, packing, quality, repeats, sharding, url_lists, warc
+from tidemill.llm import bpe, bwt_repeats, ngram_join, packing, quality, repeats, sharding, url_lists, warc
 from tidemill.llm.common import table
 
 #: Vocabulary files; a path on the driver, their content is broadcast.
@@ -42,6 +42,10 @@ def op7_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), RANK_FILE, PATTERN)
 
 
+def op8_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_repeats.removed(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -129,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_transactions": op4_warc_transactions,
     "op6_sum_of_squares": op6_sum_of_squares,
     "op7_rank_queue_bpe": op7_rank_queue_bpe,
+    "op8_bwt_merge": op8_bwt_merge,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_temporal_lists": op10_temporal_lists,
 }

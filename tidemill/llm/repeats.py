@@ -153,7 +153,7 @@ def removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, doc_ids, row in blocks.each_block(batches):
-            r = Removal(texts, groups, blocks.answers_of(row), window)
+            r = Removal(texts, groups, blocks.answers_of(row, "deep"), window)
             offsets = r.s.words.offsets
             yield pa.RecordBatch.from_arrays([
                 doc_ids, pa.array(np.diff(offsets), pa.int64()), pa.array(common.per_document(r.gone, offsets), pa.int64()),
@@ -161,7 +161,7 @@ def removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 pa.array([hashlib.sha256(r.kept(k)).hexdigest() for k in range(len(texts))], pa.string())],
                 names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return blocks.with_answers(table, answers).mapInArrow(run, SCHEMA)
+    return blocks.with_answers(table, deep=answers).mapInArrow(run, SCHEMA)
 
 
 def texts_without(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -170,9 +170,9 @@ def texts_without(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, doc_ids, row in blocks.each_block(batches):
-            r = Removal(texts, groups, blocks.answers_of(row), window)
+            r = Removal(texts, groups, blocks.answers_of(row, "deep"), window)
             left = [r.spared(k) for k in range(len(texts))]
             changed = pa.array([x is not None for x in left], pa.bool_())
             yield pa.RecordBatch.from_arrays([doc_ids, pa.array(left, pa.string())], names=["doc_id", "text"]).filter(changed)
 
-    return blocks.with_answers(table, answers).mapInArrow(run, "doc_id long, text string")
+    return blocks.with_answers(table, deep=answers).mapInArrow(run, "doc_id long, text string")
