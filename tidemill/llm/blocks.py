@@ -27,26 +27,38 @@ BLOCK_BYTES = 4 << 20
 CELLS = 1024
 
 
-def blocked(docs: DataFrame, cells_of: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+def blocked(docs: DataFrame, cells_of: Callable[[pa.Array], np.ndarray], others: list[str] | None = None) -> DataFrame:
     """A table (block, texts, doc_ids, cells) over ``docs`` (doc_id, text), bucketed by block.
 
-    ``cells_of`` gives the cell of every code of some texts; a block carries their histogram.
+    ``cells_of`` gives the cell of every code of some texts; a block carries their histogram. With
+    ``others`` (names of more columns, maybe none) it also carries those columns as a list of rows, and
+    which texts are null.
     """
     spark = docs.sparkSession
+    rest = others or []
+    wide = others is not None
+    row_type = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in rest) or "_none: int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
+        one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
         for part in common.slices(batches, most=BLOCK_BYTES):
-            texts = part.column("text").cast(pa.string()).fill_null("")
+            given = part.column("text").cast(pa.string())
+            texts = given.fill_null("")
             counts = np.bincount(cells_of(texts), minlength=CELLS).astype(np.int64)
-            one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), one(texts), one(part.column("doc_id").cast(pa.int64())), pa.array([counts.tobytes()], pa.binary())],
-                names=["block", "texts", "doc_ids", "cells"])
+            cols = [pa.array([block], pa.int64()), one(texts), one(part.column("doc_id")), pa.array([counts.tobytes()], pa.binary())]
+            names = ["block", "texts", "doc_ids", "cells"]
+            if wide:
+                fields = [part.column(c) for c in rest] or [pa.nulls(len(given), pa.int32())]
+                cols += [one(pa.StructArray.from_arrays(fields, names=rest or ["_none"])), one(given.is_null())]
+                names += ["others", "nulls"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
             block += 1
 
     name = f"blocks_{uuid.uuid4().hex}"
-    (docs.select("doc_id", "text").mapInArrow(run, "block long, texts array<string>, doc_ids array<long>, cells binary")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"block long, texts array<string>, doc_ids array<{id_type}>, cells binary" + f", others array<struct<{row_type}>>, nulls array<boolean>" * wide
+    (docs.select("doc_id", "text", *rest).mapInArrow(run, schema)
      .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("compression", "zstd")
      .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
     return spark.table(name)
@@ -102,9 +114,9 @@ def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Arra
             yield row["block"].as_py(), row.pop("texts").values, row.pop("doc_ids").values, row
 
 
-def with_answers(table: DataFrame, **answers: DataFrame) -> DataFrame:
-    """Every block with its answers by name (lists of ``(grp, bits)``), which may be none."""
-    out = table.select("block", "texts", "doc_ids")
+def with_answers(table: DataFrame, more: list[str] | None = None, **answers: DataFrame) -> DataFrame:
+    """Every block (and ``more`` of its columns) with its answers by name, lists of ``(grp, bits)`` or null."""
+    out = table.select("block", "texts", "doc_ids", *(more or []))
     for name, given in answers.items():
         out = out.join(given.groupBy("block").agg(F.collect_list(F.struct("grp", "bits")).alias(name)), "block", "left")
     return out

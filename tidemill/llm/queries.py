@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, bwt_repeats, ngram_join, packing, quality, repeats, sharding, url_lists, warc
+from tidemill.llm import bpe, bwt_repeats, fingerprints, ngram_join, packing, quality, repeats, sharding, url_lists, warc
 from tidemill.llm.common import table
-
-#: Vocabulary files; a path on the driver, their content is broadcast.
-TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
-RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-PATTERN = public_tokenizers.PATTERN
+from tidemill.llm.tokenizers import PATTERN, RANK_FILE, TOKENIZER_FILE
 
 
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +29,10 @@ def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_table(warc.captures_of(table(spark, sf_dir, "pages", "page_id", "url", "html")))
 
 
+def op5_weighted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER_FILE, PATTERN)
 
@@ -126,16 +125,24 @@ SELECT page_id, url, host, fetch_time, coalesce(action, 'unlisted') AS verdict,
 FROM cap LEFT JOIN (SELECT * FROM hits WHERE best = 1) USING (capture)
 """
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_count_vector_join": op2_count_vector_join,
     "op3_suffix_trees": op3_suffix_trees,
     "op4_warc_transactions": op4_warc_transactions,
+    "op5_weighted_samples": op5_weighted_samples,
     "op6_sum_of_squares": op6_sum_of_squares,
     "op7_rank_queue_bpe": op7_rank_queue_bpe,
     "op8_bwt_merge": op8_bwt_merge,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_temporal_lists": op10_temporal_lists,
+    "pipeline": pipeline,
 }
 
 #: Not expressible: op1 (a fitted chain), op6 (an online placement), op7 (BPE), op9 (probed boundaries).

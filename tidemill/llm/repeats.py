@@ -25,6 +25,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemill.llm import blocks, common
 
@@ -164,15 +165,27 @@ def removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return blocks.with_answers(table, deep=answers).mapInArrow(run, SCHEMA)
 
 
-def texts_without(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text) of the documents that lose words, with what is left of their text."""
-    table, groups, answers = _plan(docs, window)
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with all columns and rows; the words of repeated windows are cut out of ``text`` and
+    ``n_chars`` (if there is one) counts what is left. A null text stays null.
+
+    The other columns travel beside the block's texts, so rows are never matched by id.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    table = blocks.blocked(docs, _cells(window), others)
+    groups = blocks.Groups(blocks.histogram(table), GROUP)
+    answers = common.staged(_send(table, groups, window).groupBy("grp").applyInArrow(_deep_nodes, "grp int, block long, bits binary"), "answers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, doc_ids, row in blocks.each_block(batches):
             r = Removal(texts, groups, blocks.answers_of(row, "deep"), window)
-            left = [r.spared(k) for k in range(len(texts))]
-            changed = pa.array([x is not None for x in left], pa.bool_())
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(left, pa.string())], names=["doc_id", "text"]).filter(changed)
-
-    return blocks.with_answers(table, deep=answers).mapInArrow(run, "doc_id long, text string")
+            rest = row["others"].values
+            left = [None if null else r.spared(k) for k, null in enumerate(row["nulls"].values.to_pylist())]
+            kept = [None if null else (old if new is None else new) for old, new, null in
+                    zip(texts.to_pylist(), left, row["nulls"].values.to_pylist(), strict=True)]
+            cols = {"doc_id": doc_ids, "text": pa.array(kept, pa.string())} | {c: rest.field(k) for k, c in enumerate(others)}
+            yield pa.RecordBatch.from_arrays([cols[c] for c in docs_columns], names=docs_columns)
+
+    docs_columns = docs.columns
+    out = blocks.with_answers(table, ["others", "nulls"], deep=answers).mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in others else out
