@@ -22,7 +22,7 @@ from tidemill.llm import common
 from tidemill.session import ensure_checkpoint_dir
 
 #: Bytes of text in a block (a longer text is a block of its own).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Cells of the histogram of codes that a block counts.
 CELLS = 1024
 

@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame
 
 from tidemill.llm import blocks, common
 
-WINDOW, GRAM = 50, 16
-#: Anchors of one group, and symbols of one shard.
-GROUP, SHARD = 1_000_000, 1 << 16
+WINDOW, GRAM = 50, 24
+#: Anchors of one group, symbols merged at once, and symbols of one shard.
+GROUP, BATCH, SHARD = 250_000, 1 << 20, 1 << 16
 #: Documents from which on an anchor's runs travel as single windows.
 HOT = 4096
 _SPAN, _PLACE = 1 << 20, 21
@@ -188,8 +188,7 @@ def _send_runs(joined: DataFrame, groups: blocks.Groups, window: int) -> DataFra
                 head = a + np.flatnonzero(e.new_content[a:b])
                 held = a + np.flatnonzero(e.new_occurrence[a:b])
                 size = e.count[head] + window - 1
-                to = np.cumsum(size)
-                at = np.repeat(e.first[head] - (to - size), size) + np.arange(int(to[-1]))
+                at = _ranges(e.first[head], size)
                 holders = np.diff(np.append(np.searchsorted(held, head), held.size))
                 rows.append((int(e.group[a]), block, e.key[head].tobytes(), e.code[head].tobytes(), size.astype(np.uint16).tobytes(),
                              runs.raw[at].tobytes(), holders.astype(np.uint32).tobytes(), e.doc[held].tobytes()))
@@ -272,8 +271,8 @@ def _smallest_holder(strings: np.ndarray, sizes: np.ndarray, least: np.ndarray,
     inner = np.ones(symbols.size, bool)
     inner[to - 1] = False
     symbols[inner] = strings.astype(np.uint16) + 1
-    owner = np.repeat(np.arange(sizes.size), total)
-    left = np.repeat(to, total) - np.arange(symbols.size)
+    owner = np.repeat(np.arange(sizes.size, dtype=np.int32), total)
+    left = (np.repeat(to, total) - np.arange(symbols.size)).astype(np.int32)
     cut = np.unique(np.append(np.searchsorted(to, np.arange(0, symbols.size, SHARD), side="left"), sizes.size))
     shards, place = [], []
     for a, b in zip(cut[:-1], cut[1:]):
@@ -292,6 +291,23 @@ def _smallest_holder(strings: np.ndarray, sizes: np.ndarray, least: np.ndarray,
     return out[left > window]
 
 
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of all spans, one after another."""
+    to = np.cumsum(size)
+    return np.repeat(begin - (to - size), size) + np.arange(int(to[-1]) if to.size else 0)
+
+
+def _batches(key: np.ndarray, symbols: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of the sorted keys with about ``BATCH`` symbols each; a key is never divided."""
+    head = np.flatnonzero(_heads(key))
+    to = np.cumsum(np.add.reduceat(symbols, head))
+    a = 0
+    while a < head.size:
+        b = max(a + 1, int(np.searchsorted(to, (to[a - 1] if a else 0) + BATCH, side="right")))
+        yield int(head[a]), int(head[b]) if b < head.size else key.size
+        a = b
+
+
 def _decide(window: int):
     def run(group: pa.Table) -> pa.Table:
         col = lambda name, kind: [np.frombuffer(x, kind) for x in group.column(name).to_pylist()]
@@ -318,11 +334,10 @@ def _decide(window: int):
         mask = np.where(least[of_doc] < doc, _U(0xFFFFFFFFFFFFFFFF), _U(0))
         pick = np.flatnonzero(several)
         if pick.size:
-            begin = np.cumsum(size) - size
+            begin = (np.cumsum(size) - size)[one[pick]]
             s = size[one[pick]]
-            to = np.cumsum(s)
-            at = np.repeat(begin[one[pick]] - (to - s), s) + np.arange(int(to[-1]))
-            best = _smallest_holder(text[at], s, least[pick], window)
+            best = np.concatenate([_smallest_holder(text[_ranges(begin[a:b], s[a:b])], s[a:b], least[pick[a:b]], window)
+                                   for a, b in _batches(k[pick], s + 1)])
             n_windows = s - window + 1
             first = np.cumsum(n_windows) - n_windows
             slot = np.full(n, -1, np.int64)
