@@ -34,21 +34,21 @@ def _unit(bits: Column, width: int) -> Column:
     return (bits + 0.5) / float(1 << width)
 
 
-def samples_of(term: Column, weights: dict[str, Column], sample: Column) -> dict[str, Column]:
-    """For each weight, one long whose order is that of a and whose low 32 bits name (term, t); null for no weight."""
+def draws_of(term: Column, sample: Column) -> dict[str, Column]:
+    """The numbers r, ln c and b that a term has in a sample, whatever its weight."""
     x, y = F.xxhash64(term, sample), F.xxhash64(sample, term)
     part = lambda v, shift: F.shiftrightunsigned(v, shift).bitwiseAND(F.lit((1 << 24) - 1))
     low = lambda v: v.bitwiseAND(F.lit(0xFFFF))
-    r = -F.log(_unit(part(x, 40), 24) * _unit(part(x, 16), 24))
-    ln_c = F.log(-F.log(_unit(part(y, 40), 24) * _unit(part(y, 16), 24)))
-    b = _unit(low(x) * 65536 + low(y), 32)
-    out = {}
-    for name, w in weights.items():
-        t = F.floor(F.log(w.cast("double")) / r + b)
-        ln_a = ln_c - r * (t - b + 1.0)
-        rank = ((ln_a + 128.0) * float(1 << 23)).cast("long")
-        out[name] = F.when(w > 0, F.shiftleft(rank, 32).bitwiseOR(F.hash(term, t).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
-    return out
+    return {"r": -F.log(_unit(part(x, 40), 24) * _unit(part(x, 16), 24)),
+            "ln_c": F.log(-F.log(_unit(part(y, 40), 24) * _unit(part(y, 16), 24))),
+            "b": _unit(low(x) * 65536 + low(y), 32)}
+
+
+def sample_of(term: Column, ln_weight: Column, r: Column, ln_c: Column, b: Column) -> Column:
+    """One long whose order is that of a and whose low 32 bits name (term, t); null for no weight."""
+    t = F.floor(ln_weight / r + b)
+    rank = ((ln_c - r * (t - b + 1.0) + 128.0) * float(1 << 23)).cast("long")
+    return F.shiftleft(rank, 32).bitwiseOR(F.hash(term, t).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def _below(bounds: list[int], value: Column) -> Column:
@@ -81,9 +81,10 @@ def in_order(docs: DataFrame) -> DataFrame:
         first_rank[h["range"]], total = total, total + h["n"]
     follows = [(h["head"]["doc_id"], h["head"]["tie"], heads[k - 1]["range"]) for k, h in enumerate(heads)]
     wanted = F.broadcast(spark.createDataFrame(follows, "doc_id long, tie long, before int"))
-    seam = (rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["tie"] == wanted["tie"]))
+    # at most a row a range, written out so that the rows below differ in nothing and are exchanged once
+    seam = common.staged(rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["tie"] == wanted["tie"]))
             .dropDuplicates(["before"]).select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("tie"),
-                                               F.col("before").alias("range"), F.lit(1).alias("seam")))
+                                               F.col("before").alias("range"), F.lit(1).alias("seam")), "seam")
     low = min(first_rank)
     base = F.expr("array(" + ",".join(f"{first_rank.get(k, 0)}L" for k in range(low, max(first_rank) + 1)) + ")")
     order = Window.partitionBy("range").orderBy("seam", F.desc_nulls_last("doc_id"), F.desc("tie"))
@@ -114,11 +115,16 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
              .select("range", "rank", "side", F.explode(F.split("t", _WORD_GAP)).alias("w")).where("w <> ''"))
     terms = words.groupBy("range", "rank", F.xxhash64("w").alias("term")).agg(
         F.sum(F.lit(1) - F.col("side")).alias("own"), F.sum("side").alias("edited"))
-    drawn = terms.select("range", "rank", "term", "own", "edited", F.explode(F.sequence(F.lit(0), F.lit(samples // TOGETHER - 1))).alias("g"))
+    # a weight's logarithm once per term, a term's draws once for both weights
+    weight = lambda name: F.when(F.col(name) > 0, F.log(F.col(name).cast("double"))).alias(f"ln_{name}")
+    drawn = (terms.select("range", "rank", "term", weight("own"), weight("edited"))
+             .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(samples // TOGETHER - 1)))))
     least = []
     for k in range(TOGETHER):
-        each = samples_of(F.col("term"), {"own": F.col("own"), "edited": F.col("edited")}, F.col("g") * TOGETHER + k)
-        least += [F.min(c).alias(f"{name}_{k}") for name, c in each.items()]
+        numbers = draws_of(F.col("term"), F.col("g") * TOGETHER + k)
+        drawn = drawn.withColumns({f"{name}_{k}": c for name, c in numbers.items()})
+        least += [F.min(sample_of(F.col("term"), F.col(f"ln_{name}"), *(F.col(f"{n}_{k}") for n in numbers))).alias(f"{name}_{k}")
+                  for name in ("own", "edited")]
     found = drawn.groupBy("range", "rank", "g").agg(*least)
     part = lambda name: F.transform(F.array(*[F.col(f"{name}_{k}") for k in range(TOGETHER)]),
                                     lambda v: F.shiftright(F.shiftleft(v, 32), 32).cast("int"))
