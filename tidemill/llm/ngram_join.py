@@ -11,7 +11,7 @@ shingle form a group:
 2. groups that still hold several components get the index: tokens are hashed into ``DIMENSIONS``
    token groups, a class is the point of its counts, and a bulk-loaded R-tree is joined with itself,
    descending only where the overlap bound (the sum of the coordinates' minima) reaches what the
-   sizes ask for. Groups above ``BLOCK`` classes are cut into blocks, and every pair of blocks is one
+   sizes ask for; the tree works on coordinates folded by ``FOLD``, its results are held against all. Groups above ``BLOCK`` classes are cut into blocks, and every pair of blocks is one
    task's work, so no group is collected whole;
 3. surviving pairs are verified on the full sets.
 
@@ -39,14 +39,16 @@ SHINGLE, PERCENT = 5, 80
 #: Counters of the shingle sketch; a power of two. 2 to this many.
 SKETCH_BITS = 18
 SKETCH_ROWS = 16
-#: Token groups, that is coordinates of a point.
-DIMENSIONS = 32
+#: Token groups, that is coordinates of a point, and how many of them the index folds into one.
+DIMENSIONS, FOLD = 128, 4
+#: The largest count a coordinate holds; it stands for any number from there on.
+MOST = (1 << 15) - 1
 #: Children of an R-tree node, and classes of one block.
 FANOUT, BLOCK = 16, 1024
 #: Prefix shingles as common as this share of all counted shingles (2 to the minus this) are dealt in
 #: ``SALTS`` parts first.
 HOT_BITS, SALTS = 12, 64
-#: Bits of the filter that tells which texts' sets a verification needs (2 to this many); false hits cost time only.
+#: Bits of the filter that tells which rows' sets a verification needs (2 to this many); false hits cost time only.
 FILTER_BITS = 23
 _U = np.uint64
 
@@ -80,7 +82,13 @@ def identity(codes: np.ndarray) -> tuple[int, int]:
 
 def points_of(codes: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     """How many of the set's tokens fall into each token group."""
-    return np.bincount((codes >> _U(40)).astype(np.int64) % dimensions, minlength=dimensions)
+    counts = np.bincount((codes >> _U(40)).astype(np.int64) % dimensions, minlength=dimensions)
+    return np.minimum(counts, MOST).astype(np.int16)
+
+
+def unfolded(points: np.ndarray) -> np.ndarray:
+    """Counts to compute with: a full coordinate bounds nothing."""
+    return np.where(points == MOST, 1 << 30, points.astype(np.int64))
 
 
 def _first_pass(docs: DataFrame, size: int) -> DataFrame:
@@ -127,31 +135,36 @@ def _sketch(first: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def _row_hash():
+    """Tells the row that gave a class from other rows, but for rows that repeat it."""
+    return F.xxhash64("doc_id", "text").alias("row_hash")
+
+
 def _classes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
     """One row per class, with its prefix (shingle, salt) and its point; fixed in a table with a unique id."""
     total = max(1, int(counts.sum()))
     weight = np.zeros(counts.size, np.uint8)
     weight[counts > 0] = np.log2(counts[counts > 0]).astype(np.uint8) + 1
     shared = docs.sparkSession.sparkContext.broadcast((weight, (counts << HOT_BITS) > total + (64 << HOT_BITS)))
-    schema = "n long, c1 long, c2 long, text_hash long, point array<int>, prefix array<long>, hot array<boolean>"
+    schema = "n long, c1 long, c2 long, row_hash long, point array<smallint>, prefix array<long>, hot array<boolean>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, hot = shared.value
         mask = _U((1 << SKETCH_BITS) - 1)
         for part in common.slices(batches):
             rows = []
-            for codes, text_hash in zip(sets_of(part, size), part.column("text_hash").to_pylist(), strict=True):
+            for codes, row_hash in zip(sets_of(part, size), part.column("row_hash").to_pylist(), strict=True):
                 n = codes.size
                 if n:
                     cell = (codes & mask).astype(np.int64)
                     order = np.argsort(weights[cell], kind="stable")[:n - -(-percent * n // 100) + 1]
-                    rows.append((n, *identity(codes), text_hash, points_of(codes), codes[order].view(np.int64), hot[cell[order]]))
+                    rows.append((n, *identity(codes), row_hash, points_of(codes), codes[order].view(np.int64), hot[cell[order]]))
             if rows:
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_())]
+                kinds = [pa.int64()] * 4 + [pa.list_(pa.int16()), pa.list_(pa.int64()), pa.list_(pa.bool_())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                                  names=[c.split()[0] for c in schema.split(", ")])
 
-    found = docs.select("text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, schema)
+    found = docs.select("text", _row_hash()).mapInArrow(run, schema)
     return common.staged(found.dropDuplicates(["c1", "c2"]).withColumn("class", F.monotonically_increasing_id()), "classes")
 
 
@@ -182,8 +195,9 @@ def _stars(rows: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets reach the threshold; the bound on points goes first."""
     side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"),
-                                       F.col("point").alias(f"p_{name}"), F.struct("c1", "c2").alias(f"id_{name}"), F.col("text_hash").alias(f"h_{name}"))
-    bound = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+                                       F.col("point").alias(f"p_{name}"), F.struct("c1", "c2").alias(f"id_{name}"), F.col("row_hash").alias(f"h_{name}"))
+    least = lambda x, y: F.least(x, y).cast("int")
+    bound = F.aggregate(F.zip_with("p_a", "p_b", least), F.lit(0), lambda s, x: s + F.when(x == MOST, 1 << 20).otherwise(x))
     enough = lambda common_: 100 * common_ >= percent * (F.col("n_a") + F.col("n_b") - common_)
     asked = common.staged(pairs.join(side("a"), "a").join(side("b"), "b").where(enough(bound))
                           .select("a", "b", "n_a", "n_b", "id_a", "id_b", "h_a", "h_b"), "pairs")
@@ -200,7 +214,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shared.value.view(np.uint64)
         for batch in batches:
-            at = batch.column("text_hash").to_numpy(zero_copy_only=False) & mask
+            at = batch.column("row_hash").to_numpy(zero_copy_only=False) & mask
             hit = (have[at >> 6] >> (at & 63).astype(np.uint64)) & _U(1) == 1
             for part in common.slices(iter([batch.filter(pa.array(hit))])):
                 rows = [(*identity(s), s.view(np.int64)) for s in sets_of(part, size) if s.size]
@@ -209,12 +223,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
                         zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["c1", "c2", "codes"])
 
     wanted = asked.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct().select("id.*")
-    found = (docs.select("text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "c1 long, c2 long, codes array<long>")
-             .dropDuplicates(["c1", "c2"]).join(wanted, ["c1", "c2"]))
+    found = docs.select("text", _row_hash()).mapInArrow(run, "c1 long, c2 long, codes array<long>").join(wanted, ["c1", "c2"])
     found = common.staged(found.select(F.struct("c1", "c2").alias("id"), "codes"), "sets")
     left, right = (found.select(F.col("id").alias(f"id_{s}"), F.col("codes").alias(f"s_{s}")) for s in "ab")
     both = F.size(F.array_intersect("s_a", "s_b"))
-    return asked.join(left, "id_a").join(right, "id_b").where(enough(both)).select("a", "b")
+    return asked.join(left, "id_a").join(right, "id_b").where(enough(both)).select("a", "b").distinct()
 
 
 class CountTree:
@@ -271,22 +284,72 @@ def _indexed(members: DataFrame, percent: int) -> DataFrame:
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"low": F.least("own", "with"), "high": F.greatest("own", "with")})
              .select("key", "low", "high", "own", "class", "comp", "n", "point"))
+    names = ("key", "low", "high", "own", "class", "comp", "n")
 
-    def run(group: pa.Table) -> pa.Table:
-        col = {k: group.column(k).to_numpy() for k in ("own", "low", "high", "class", "comp", "n")}
-        points = np.array(group.column("point").to_pylist(), dtype=np.int64).reshape(group.num_rows, -1)
-        first = col["own"] == col["low"]
-        second = col["own"] == col["high"]
-        one, two = np.flatnonzero(first), np.flatnonzero(second)
-        a = b = np.zeros(0, np.int64)
-        if one.size and two.size:
-            a, b = CountTree(points[one], col["n"][one]).join(CountTree(points[two], col["n"][two]), percent)
-            a, b = one[a], two[b]
-            real = col["comp"][a] != col["comp"][b]
-            a, b = col["class"][a[real]], col["class"][b[real]]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-    return dealt.groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 20_000):
+                held.append(batch.slice(at, 20_000))
+                table = pa.Table.from_batches(held)
+                cut = _last_start(table)
+                if cut:
+                    yield _group_pairs(table.slice(0, cut), names, percent)
+                    held = table.slice(cut).to_batches()
+        if held:
+            yield _group_pairs(pa.Table.from_batches(held), names, percent)
+
+    order = ["key", "low", "high"]
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
+
+
+def _last_start(table: pa.Table) -> int:
+    """Where the last group of the sorted rows begins."""
+    new = _changes(table)
+    at = np.flatnonzero(new)
+    return int(at[-1]) if at.size else 0
+
+
+def _changes(table: pa.Table) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    for name in ("key", "low", "high"):
+        c = table.column(name).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def _group_pairs(table: pa.Table, names: tuple[str, ...], percent: int) -> pa.RecordBatch:
+    """The pairs of all groups of some sorted rows: a group of one leaf by its pairs' bounds, others by a tree."""
+    col = {k: table.column(k).to_numpy() for k in names}
+    points = unfolded(table.column("point").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1))
+    group = np.cumsum(_changes(table))
+    size = np.bincount(group)[group]
+    pairs = []
+    for step in range(1, FANOUT):                              # the pairs inside a leaf
+        a = np.flatnonzero((group[:-step] == group[step:]) & (size[:-step] <= FANOUT) & (col["low"][:-step] == col["high"][:-step]))
+        pairs.append((a, a + step))
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    for at, to in zip(first.tolist(), np.append(first[1:], group.size).tolist()):
+        if to - at > FANOUT or col["low"][at] != col["high"][at]:
+            own, low, high = (col[k][at:to] for k in ("own", "low", "high"))
+            one, two = at + np.flatnonzero(own == low), at + np.flatnonzero(own == high)
+            if one.size and two.size:
+                folded = points[at:to].reshape(to - at, -1, FOLD).sum(2)
+                a, b = (CountTree(folded[x - at], col["n"][x]) for x in (one, two))
+                a, b = a.join(b, percent)
+                pairs.append((one[a], two[b]))
+    out_a, out_b = [], []
+    for a, b in pairs:
+        for at in range(0, a.size, 50_000):
+            x, y = a[at:at + 50_000], b[at:at + 50_000]
+            x, y = (v[col["comp"][x] != col["comp"][y]] for v in (x, y))
+            total = col["n"][x] + col["n"][y]
+            most = np.minimum(points[x], points[y]).sum(1)
+            real = most * (100 + percent) >= percent * total
+            out_a.append(col["class"][x[real]])
+            out_b.append(col["class"][y[real]])
+    a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (out_a, out_b))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
