@@ -189,7 +189,7 @@ def captures_of(pages: DataFrame, with_payload: bool = False) -> DataFrame:
 
 def page_table(captures: DataFrame) -> DataFrame:
     """page_id, payload size and digest, record type, and the page that a revisit refers to."""
-    flat = captures.select(F.get("metadata", F.lit(0))["fields"]["page-id"].cast("long").alias("page_id"),
+    flat = captures.select(F.get("metadata", F.lit(0))["fields"]["page-id"].try_cast("long").alias("page_id"),
                            F.col("response.payload_bytes").alias("payload_bytes"),
                            F.col("response.payload_digest").alias("payload_digest"), "record_type", "target_uri")
     origin = (flat.where("record_type = 'response'").groupBy("payload_digest").agg(F.min("page_id").alias("origin")))
