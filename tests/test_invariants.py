@@ -52,26 +52,26 @@ def test_min_samples_gate(spark):
 
 
 def edges(spark, rows):
-    return spark.createDataFrame([(p, c, q, "s") for p, c, q in rows],
-                                 "parent long, component long, qty long, produced_at string")
+    return spark.createDataFrame([(p, c, float(q), "s") for p, c, q in rows],
+                                 "parent long, component long, qty double, produced_at string")
 
 
 def test_bom_one_level_is_the_edge_list(spark):
     e = edges(spark, [(1, 2, 3), (1, 3, 1), (2, 3, 2)])
-    got = sorted((r.root, r.component, r.qty, r.paths) for r in B.bom_explode(e, 1).collect())
+    got = sorted((r.root, r.component, r.qty, r.paths) for r in B.bom_explode(e, 1, include_produced_at=False).collect())
     assert got == [(1, 2, 3, 1), (1, 3, 1, 1), (2, 3, 2, 1)]
 
 
 def test_bom_sums_over_paths(spark):
     e = edges(spark, [(1, 2, 3), (1, 3, 1), (2, 3, 2), (3, 4, 5)])
-    got = {(r.root, r.component): (r.qty, r.paths, r.min_level, r.max_level) for r in B.bom_explode(e, 5).collect()}
+    got = {(r.root, r.component): (r.qty, r.paths, r.min_level, r.max_level) for r in B.bom_explode(e, 5, include_produced_at=False).collect()}
     assert got[(1, 3)] == (1 + 3 * 2, 2, 1, 2)
     assert got[(1, 4)] == ((1 + 6) * 5, 2, 2, 3)
 
 
 def test_bom_cycle_terminates_and_is_reported(spark):
     e = edges(spark, [(1, 2, 1), (2, 3, 1), (3, 1, 1), (3, 4, 2), (5, 5, 1)])
-    ex = {(r.root, r.component): r.paths for r in B.bom_explode(e, 10).collect()}
+    ex = {(r.root, r.component): r.paths for r in B.bom_explode(e, 10, include_produced_at=False).collect()}
     assert ex[(1, 4)] == 1 and (1, 1) not in ex
     cyc = sorted((r.root, r.parent, r.component) for r in B.bom_cycles(e, 10).collect())
     assert (1, 3, 1) in cyc and (5, 5, 5) in cyc and (2, 1, 2) in cyc
@@ -90,15 +90,17 @@ def test_truncation_flag(spark):
     assert got == [(1, 3)]
 
 
-def test_component_demand_same_with_and_without_broadcast(spark):
-    from tests.conftest import SF_SMALL
-    from tidemill.sources import fixtures as fx
-    sales = fx.sales(spark, SF_SMALL)
-    ex = B.bom_explode(fx.bom(spark, SF_SMALL), 3)
-    a = B.component_demand(sales, ex)                          # exploded BOM fits: broadcast path
-    b = B.component_demand(sales, ex, max_broadcast_rows=0)    # bound fails: shuffle join path
-    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
-    assert sorted(a.collect()) == sorted(b.collect())
+def test_bom_keeps_fractions_and_large_quantities(spark):
+    e = edges(spark, [(1, 2, 0.25), (2, 3, 1.5), (10, 11, 1e6), (11, 12, 1e6), (12, 13, 1e6), (13, 14, 1e6)])
+    got = {(r.root, r.component): r.qty for r in B.bom_explode(e, 5).collect()}
+    assert got[(1, 3)] == 0.375 and got[(10, 14)] == 1e24
+
+
+def test_bom_sites_are_kept_by_default(spark):
+    e = spark.createDataFrame([(1, 2, 1.0, "a"), (1, 2, 2.0, "b"), (2, 3, 1.0, "a")],
+                              "parent long, component long, qty double, produced_at string")
+    got = sorted((r.component, r.produced_at, r.qty) for r in B.bom_explode(e, 5).filter("root = 1").collect())
+    assert got == [(2, "a", 1.0), (2, "b", 2.0), (3, "a", 3.0)]
 
 
 def test_fill_zero_events_equal_dense_frames(spark):

@@ -22,6 +22,17 @@ def test_rerun_replaces_only_the_months_it_writes(spark, tmp_path):
     assert got == [(1, dt.date(2024, 1, 5), 1.0), (1, dt.date(2024, 2, 7), 9.0), (2, dt.date(2024, 1, 6), 2.0)]
 
 
+def test_rerun_of_one_client_keeps_the_others_of_its_month(spark, tmp_path):
+    path = str(tmp_path / "features")
+    schema = "client_id long, ds date, qty double"
+    first = spark.createDataFrame([(1, dt.date(2024, 2, 5), 1.0), (2, dt.date(2024, 2, 6), 2.0)], schema)
+    P.write_monthly(first, path, ts_col="ds", cluster_by=("client_id",), unit=("client_id",))
+    rerun = spark.createDataFrame([(1, dt.date(2024, 2, 7), 9.0)], schema)
+    P.write_monthly(rerun, path, ts_col="ds", cluster_by=("client_id",), unit=("client_id",))
+    got = sorted((r.client_id, r.ds, r.qty) for r in spark.read.parquet(path).collect())
+    assert got == [(1, dt.date(2024, 2, 7), 9.0), (2, dt.date(2024, 2, 6), 2.0)]
+
+
 def test_tenant_split_reconciles(spark, tmp_path):
     out = T.split_tenant(fx.tenant_usage(spark, SF_SMALL), 3, str(tmp_path / "t3")).collect()
     assert out and all(r.match for r in out)

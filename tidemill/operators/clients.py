@@ -152,7 +152,7 @@ def active_clients(clients: DataFrame) -> DataFrame:
 
 def feature_flag(features_json: Column, feature: str) -> Column:
     """``(features_enabled->>feature)::boolean`` with PostgreSQL's boolean input (T4)."""
-    return bool_text(F.get_json_object(features_json, f"$.{feature}"))
+    return bool_text(F.from_json(features_json, "map<string,string>")[feature])
 
 
 def clients_with_feature(clients: DataFrame, feature: str) -> DataFrame:

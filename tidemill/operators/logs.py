@@ -10,6 +10,8 @@ from tidemill.functions.text import source_path
 
 # The log levels that keep a stack trace / count as severe.
 SEVERE_LEVELS = ("error", "fatal", "panic")
+# The event categories.
+CATEGORIES = ("feature_engineering", "bom_explosion", "database", "messenger", "pipeline", "starrocks", "cache", "security")
 
 
 def log_stats(logs: DataFrame, as_of: Column, hours_back: int = 24) -> DataFrame:
@@ -37,19 +39,22 @@ def normalise_logs(raw: DataFrame) -> DataFrame:
     ``raw`` carries ``base_context`` and ``call_fields`` (``map<string,string>``),
     ``file_path`` and ``stack_trace`` next to the fixed columns.
 
-    * context = base fields overlaid by call fields (call wins); ``_category``
-      moves out and replaces the category; ``duration_ms`` moves out and is
+    * context = base fields overlaid by call fields (call wins; null maps are
+      empty); ``_category`` moves out and, if it comes with the call and is a
+      known one, replaces the category; ``duration_ms`` moves out and is
       cast to int; an empty context is null;
     * the source path keeps the part from the first ``src`` folder on, else
       the file name;
     * a stack trace is kept only for severe levels.
     """
-    base, call = F.col("base_context"), F.col("call_fields")
+    nothing = F.create_map().cast("map<string,string>")
+    base, call = F.coalesce("base_context", nothing), F.coalesce("call_fields", nothing)
+    category = F.when(call["_category"].isin(*CATEGORIES), call["_category"])
     merged = F.map_concat(F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(call), k)), call)
     ctx = F.map_filter(merged, lambda k, v: ~k.isin("_category", "duration_ms"))
     return raw.select(
         "ts", "service_name", "environment", "level",
-        F.coalesce(merged["_category"], F.col("category")).alias("category"),
+        F.coalesce(category, F.col("category")).alias("category"),
         "trace_id", "message",
         F.when(F.size(ctx) > 0, ctx).alias("context"),
         merged["duration_ms"].try_cast("double").try_cast("int").alias("duration_ms"),
@@ -77,7 +82,7 @@ def logs_for_trace(logs: DataFrame, trace_id: str) -> DataFrame:
 
 def logs_for_context(logs: DataFrame, key: str, value: str) -> DataFrame:
     """Rows whose JSON context has ``key = value``."""
-    return logs.filter(F.get_json_object(F.col("context"), f"$.{key}") == value)
+    return logs.filter(F.from_json("context", "map<string,string>")[key] == value)
 
 
 def recent_logs(logs: DataFrame, category: str, as_of: Column, minutes: int) -> DataFrame:

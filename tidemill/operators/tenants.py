@@ -8,8 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Tenant modes, the shared database, and the data types stored per tenant.
-SHARED_DATABASE = "autoorder_data"
+# Tenant modes and the data types stored per tenant; the shared database is a parameter.
+SHARED_DATABASE = "shared"
 DATA_TYPES = ("features", "bom", "timeseries")
 TENANT_MODES = ("prefixed_tables", "dedicated_db", "shared")
 # Documented upgrade triggers.
@@ -28,7 +28,8 @@ def run_sql(spark: SparkSession, query: str, args: Mapping[str, object] | None =
     return spark.sql(query, args=dict(args or {}), **tables)
 
 
-def tenant_routes(clients: DataFrame, data_types: tuple[str, ...] = DATA_TYPES) -> DataFrame:
+def tenant_routes(clients: DataFrame, data_types: tuple[str, ...] = DATA_TYPES,
+                  shared_database: str = SHARED_DATABASE) -> DataFrame:
     """(tenant_mode, organization_id, data_type) -> database, table and row filter.
 
     Unknown or missing modes use the default ``prefixed_tables``. The data-type
@@ -42,7 +43,7 @@ def tenant_routes(clients: DataFrame, data_types: tuple[str, ...] = DATA_TYPES)
     return rows.select(
         "id", "organization_id", "tenant_mode", "data_type",
         F.when(F.col("tenant_mode") == "dedicated_db", F.concat(F.lit("client_"), org))
-         .otherwise(F.lit(SHARED_DATABASE)).alias("database"),
+         .otherwise(F.lit(shared_database)).alias("database"),
         F.when(F.col("tenant_mode") == "prefixed_tables", F.concat(F.lit("c"), org, F.lit("_"), dt))
          .otherwise(dt).alias("table"),
         F.when(F.col("tenant_mode") == "shared", F.concat(F.lit("tenant_id = "), org)).alias("row_filter"),
@@ -54,7 +55,7 @@ def split_tenant(shared: DataFrame, tenant_id, path: str, ts_col: str = "day") -
     and reconcile row counts per month (source vs written)."""
     part = (shared.filter(F.col("tenant_id") == F.lit(tenant_id)).drop("tenant_id")
                   .withColumn("month", F.trunc(F.col(ts_col), "month")))
-    part.repartition("month").write.mode("overwrite").partitionBy("month").parquet(path)
+    part.repartitionByRange("month", ts_col).write.mode("overwrite").partitionBy("month").parquet(path)
     spark = shared.sparkSession
     written = (spark.read.schema(part.schema).parquet(path)
                     .groupBy("month").agg(F.count(F.lit(1)).alias("written_rows")))

@@ -27,14 +27,14 @@ def _explode_sql(edges: str, site: bool) -> str:
     sel = "root, node as component, site as produced_at" if site else "root, node as component"
     return f"""
 with recursive {_walk(edges).strip()}
-select {sel}, cast(sum(q) as bigint) as qty, cast(count(*) as bigint) as paths,
+select {sel}, sum(q) as qty, cast(count(*) as bigint) as paths,
   cast(min(lvl) as int) as min_level, cast(max(lvl) as int) as max_level
 from walk group by {key}"""
 
 
 @register("bom_explode", sql=with_views(_explode_sql("bom", False), "bom"))
 def q_bom_explode(spark, sf_dir):
-    return B.bom_explode(fx.bom(spark, sf_dir), LEVELS)
+    return B.bom_explode(fx.bom(spark, sf_dir), LEVELS, include_produced_at=False)
 
 
 @register("bom_by_site", sql=with_views(_explode_sql("bom", True), "bom"))
@@ -44,7 +44,7 @@ def q_bom_by_site(spark, sf_dir):
 
 @register("bom_explode_cyclic", sql=with_views(_explode_sql("bom_cyclic", False), "bom_cyclic"))
 def q_bom_explode_cyclic(spark, sf_dir):
-    return B.bom_explode(fx.bom(spark, sf_dir, with_cycle=True), LEVELS)
+    return B.bom_explode(fx.bom(spark, sf_dir, with_cycle=True), LEVELS, include_produced_at=False)
 
 
 @register("bom_cycles", sql=with_views(f"""
@@ -77,7 +77,7 @@ dem as (select s.client_id, ex.component, s.ds, round(sum(s.qty * ex.per_unit),
 
 @register("component_demand", sql=with_views(f"{_DEMAND} select * from dem", "bom", "sales"))
 def q_component_demand(spark, sf_dir):
-    d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS))
+    d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS, include_produced_at=False))
     return d.withColumn("demand", F.round("demand", 4))
 
 
@@ -86,5 +86,5 @@ select client_id, count(*) as records_processed, max(ds) as last_processed_at,
   case when count(*) > 0 then 'ok' else 'empty' end as status, cast(null as varchar) as error_message
 from dem group by 1""", "bom", "sales"))
 def q_bom_run_status(spark, sf_dir):
-    d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS))
+    d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS, include_produced_at=False))
     return B.bom_run_status(d)

@@ -123,14 +123,13 @@ def q_clients_with_feature(spark, sf_dir):
 
 
 @register("sales_enriched", sql=with_views(f"""
-with {norm_with(SALES_SQL.strip(), ROWS_SQL.strip().replace("from cl where", "from cl where arrival_seq < 500 and"), FOLD_SQL.strip())}
+with {norm_with(SALES_SQL.strip(), ROWS_SQL.strip(), FOLD_SQL.strip())}
 select s.event_id, s.client_id, s.table_name, s.record_count,
   coalesce(f.name, 'unknown') as client_name, coalesce(f.status, 'not_found') as client_status
 from sales_n s left join clients_fold f on f.id = lower(s.client_id)""", "raw_messages"))
 def q_sales_enriched(spark, sf_dir):
     raw = fx.raw_messages(spark, sf_dir)
-    # Static side: the fold of the first 500 arrivals, so some ids match and some do not.
-    clients = CL.clients_upsert(_rows(spark, sf_dir, raw.filter(F.col("arrival_seq") < 500)))
+    clients = CL.clients_upsert(_rows(spark, sf_dir, raw))
     return CL.sales_enriched(MS.sales_notifications(MS.normalise_messages(raw)), clients)
 
 

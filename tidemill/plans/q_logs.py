@@ -83,13 +83,13 @@ def q_logs_by_month(spark, sf_dir):
 
 @register("month_calendar", sql=with_views(f"""
 with c as (select cast(date_trunc('month', ts) as date) as month, count(*) as rows from logs group by 1),
-cal as (select cast(unnest(generate_series((select min(month) from c),
-          cast(date_trunc('month', {AS_OF_SQL}) + interval 4 month as date), interval 1 month)) as date) as month)
+cal as (select cast(unnest(generate_series(cast(date_trunc('month', {AS_OF_SQL}) as date),
+          cast(date_trunc('month', {AS_OF_SQL}) + interval 3 month as date), interval 1 month)) as date) as month)
 select 'logs_' || strftime(cal.month, '%Y_%m') as partition, cal.month as start,
   cast(cal.month + interval 1 month as date) as "end", coalesce(c.rows, 0) as rows
 from cal left join c on c.month = cal.month""", "logs"))
 def q_month_calendar(spark, sf_dir):
-    return P.month_calendar(_logs(spark, sf_dir), as_of_ntz(), 4)
+    return P.month_calendar(_logs(spark, sf_dir), as_of_ntz(), 3)
 
 
 RETENTION_DAYS = 10

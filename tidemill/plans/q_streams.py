@@ -51,7 +51,7 @@ from (select client_id, ds from sales group by 1, 2) d group by 1, 2""", "sales"
 def q_features_month_counts(spark, sf_dir):
     feats = FE.rolling_features(_daily(spark, sf_dir), KEYS)
     out = T.scratch_dir(spark, "features")
-    P.write_monthly(feats, out, ts_col="ds", cluster_by=("client_id",))
+    P.write_monthly(feats, out, ts_col="ds", cluster_by=("client_id",), unit=("client_id",))
     back = spark.read.schema(P.with_month(feats, "ds").schema).parquet(out)
     return back.groupBy("client_id", "month").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -21,7 +21,7 @@ def q_param_sql(spark, sf_dir):
 
 @register("tenant_routes", sql=with_views("""
 select id, organization_id, tenant_mode, data_type,
-  case when tenant_mode = 'dedicated_db' then 'client_' || organization_id else 'autoorder_data' end as database,
+  case when tenant_mode = 'dedicated_db' then 'client_' || organization_id else 'shared' end as database,
   case when tenant_mode = 'prefixed_tables' then 'c' || organization_id || '_' || data_type else data_type end as "table",
   case when tenant_mode = 'shared' then 'tenant_id = ' || organization_id end as row_filter
 from clients, (values ('features'), ('bom'), ('timeseries')) t(data_type)""", "clients"))

@@ -52,14 +52,14 @@ select l_suppkey as client_id, l_partkey as product_id, cast(l_shipdate as date)
 from lineitem group by 1, 2, 3""",
     "bom": """
 select p_partkey as parent, cast(floor(p_partkey / 3) as bigint) as component,
-  cast(1 + p_partkey % 4 as bigint) as qty, 'site-' || cast(p_partkey % 5 as varchar) as produced_at
+  (1 + p_partkey % 4) * cast(0.25 as double) as qty, 'site-' || cast(p_partkey % 5 as varchar) as produced_at
 from part where p_partkey >= 1
 union all
-select p_partkey, cast(floor(p_partkey / 7) as bigint), cast(1 + p_partkey % 3 as bigint),
+select p_partkey, cast(floor(p_partkey / 7) as bigint), (1 + p_partkey % 3) * cast(0.5 as double),
   'site-' || cast(p_partkey % 5 as varchar)
 from part where p_partkey >= 1 and floor(p_partkey / 7) <> floor(p_partkey / 3)""",
     "bom_cyclic": """
-select * from bom union all select cast(0 as bigint), cast(5 as bigint), cast(1 as bigint), 'site-0'""",
+select * from bom union all select cast(0 as bigint), cast(5 as bigint), cast(1 as double), 'site-0'""",
     "feature_configs": """
 select o_orderkey as id, o_custkey as client_id,
   case o_orderkey % 3 when 0 then 'ema' when 1 then 'lags' else 'seasonality' end as feature_type,

@@ -129,14 +129,14 @@ def bom(spark: SparkSession, sf_dir: str, with_cycle: bool = False) -> DataFrame
     by3 = F.floor(key / 3).cast("bigint")
     by7 = F.floor(key / 7).cast("bigint")
     first = p.select(key.alias("parent"), by3.alias("component"),
-                     (1 + key % 4).alias("qty"), site.alias("produced_at"))
+                     ((1 + key % 4) * 0.25).alias("qty"), site.alias("produced_at"))
     second = (p.filter(by7 != by3)
                .select(key.alias("parent"), by7.alias("component"),
-                       (1 + key % 3).alias("qty"), site.alias("produced_at")))
+                       ((1 + key % 3) * 0.5).alias("qty"), site.alias("produced_at")))
     edges = first.unionByName(second)
     if with_cycle:
         spark_ = p.sparkSession
-        extra = spark_.createDataFrame([(0, 5, 1, "site-0")], "parent bigint, component bigint, qty bigint, produced_at string")
+        extra = spark_.createDataFrame([(0, 5, 1.0, "site-0")], "parent bigint, component bigint, qty double, produced_at string")
         edges = edges.unionByName(extra)
     return edges
 

@@ -4,7 +4,8 @@
   (``dropDuplicatesWithinWatermark``) before additive sinks; the client fold
   itself is idempotent and needs no dedup.
 * ``outcome_sink``: each micro-batch is decoded once, cached for the batch,
-  and written to two tables: acknowledged outcomes and dead letters.
+  and written to two tables: acknowledged outcomes and dead letters, partitioned by batch, so a
+  retried batch replaces its own rows.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ def outcome_sink(outcomes_path: str, dead_path: str, as_of: Column):
         try:
             _, err = CL.client_fields(F.col("p"), as_of)
             out = MS.message_outcomes(norm, err).withColumn("batch", F.lit(batch_id))
-            out.filter(F.col("outcome") != "failed").write.mode("append").parquet(outcomes_path)
-            out.filter(F.col("outcome") == "failed").write.mode("append").parquet(dead_path)
+            for rows, path in ((F.col("outcome") != "failed", outcomes_path), (F.col("outcome") == "failed", dead_path)):
+                (out.filter(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("batch").parquet(path))
         finally:
             norm.unpersist()
     return sink
