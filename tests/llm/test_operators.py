@@ -126,9 +126,11 @@ def test_count_trees_lose_no_pair():
 def test_group_pairs_of_large_and_blocked_groups(spark):
     rng = np.random.default_rng(2)
     points = np.repeat(rng.poisson(4, size=(60, ngram_join.DIMENSIONS)), 40, axis=0)
-    rows = [(5, k, k, int(p.sum()), [int(x) for x in p], len(points)) for k, p in enumerate(points)]
-    df = spark.createDataFrame(rows, "key long, class long, comp long, n long, point array<smallint>, members long")
+    rows = [(5, k, k, int(p.sum()), [int(x) for x in p], len(points), [5, 9]) for k, p in enumerate(points)]
+    rows += [(9, *r[1:]) for r in rows]
+    df = spark.createDataFrame(rows, "key long, class long, comp long, n long, point array<smallint>, members long, keys array<long>")
     got = {tuple(r) for r in ngram_join._indexed(df, 95).collect()}
+    assert ngram_join._indexed(df.where("key = 9"), 95).count() == 0       # they are given out by key 5
     assert {(a, b) for k in range(60) for a in range(40 * k, 40 * k + 40) for b in range(a + 1, 40 * k + 40)} <= got
 
 

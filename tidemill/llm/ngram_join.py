@@ -6,7 +6,7 @@ rarest shingles (the prefix of each set under one fixed order; a sketch of shing
 size puts common shingles last, and any order gives the same pairs). Classes that share such a
 shingle form a group:
 
-1. every class of a group is held against the group's smallest class, so near copies of one text, however
+1. every class of a group is held against one class of it, the hub, so near copies of one text, however
    many, give as many pairs as there are members; verified links are joined into components;
 2. groups that still hold several components get the index: tokens are hashed into ``DIMENSIONS``
    token groups, a class is the point of its counts, and a bulk-loaded R-tree is joined with itself,
@@ -48,6 +48,9 @@ FANOUT, BLOCK = 16, 1024
 #: Prefix shingles as common as this share of all counted shingles (2 to the minus this) are dealt in
 #: ``SALTS`` parts first.
 HOT_BITS, SALTS = 12, 64
+#: Orders from which groups take their hub: near copies of one text meet about that many hubs, so that most
+#: of them are connected before the index is asked.
+HUBS = 8
 #: Bits of the filter that tells which rows' sets a verification needs (2 to this many); false hits cost time only.
 FILTER_BITS = 23
 _U = np.uint64
@@ -168,6 +171,11 @@ def _classes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> Da
     return common.staged(found.dropDuplicates(["c1", "c2"]).withColumn("class", F.monotonically_increasing_id()), "classes")
 
 
+def _turn():
+    """Puts a group's classes in one of ``HUBS`` random orders, chosen by its shingle."""
+    return F.xxhash64("class", F.pmod(F.col("key"), F.lit(HUBS)))
+
+
 def _stars(rows: DataFrame) -> DataFrame:
     """(key, hub, other, members) of every run of equal (key, part) with two classes or more; rows come sorted."""
 
@@ -276,14 +284,14 @@ class CountTree:
 def _indexed(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components inside each group, from joined R-trees over its blocks.
 
-    ``members``: key, class, comp, n, point, members (the group's size).
+    ``members``: key, class, comp, n, point, members (the group's size), keys (all keys of the class, sorted).
     """
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), blocks).cast("int")
     dealt = (members.withColumn("own", own).withColumn("blocks", blocks)
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"low": F.least("own", "with"), "high": F.greatest("own", "with")})
-             .select("key", "low", "high", "own", "class", "comp", "n", "point"))
+             .select("key", "low", "high", "own", "class", "comp", "n", "point", "keys"))
     names = ("key", "low", "high", "own", "class", "comp", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,10 +326,37 @@ def _changes(table: pa.Table) -> np.ndarray:
     return new
 
 
+def _first_shared(key: np.ndarray, x: np.ndarray, y: np.ndarray, keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Mask of the pairs of rows that share no key below ``key``; a row's sorted keys begin at ``begin``."""
+    many = np.diff(begin)
+    out = np.ones(x.size, bool)
+    rows = np.unique(y)
+    at = np.repeat(begin[rows] - (np.cumsum(many[rows]) - many[rows]), many[rows]) + np.arange(int(many[rows].sum()))
+    owned = np.sort(common.mix(keys[at].astype(np.uint64)) + np.repeat(rows, many[rows]).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+    step = 0
+    live = np.arange(x.size)
+    while live.size:
+        live = live[many[x[live]] > step]
+        mine = keys[begin[x[live]] + step]
+        live, mine = live[mine < key[live]], mine[mine < key[live]]
+        code = common.mix(mine.astype(np.uint64)) + y[live].astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+        found = np.searchsorted(owned, code)
+        hit = (found < owned.size) & (owned[np.minimum(found, owned.size - 1)] == code)
+        out[live[hit]] = False
+        live = live[~hit]
+        step += 1
+    return out
+
+
 def _group_pairs(table: pa.Table, names: tuple[str, ...], percent: int) -> pa.RecordBatch:
-    """The pairs of all groups of some sorted rows: a group of one leaf by its pairs' bounds, others by a tree."""
+    """The pairs of all groups of some sorted rows: a group of one leaf by its pairs' bounds, others by a tree.
+
+    A pair that shares several keys is given out by the group of the smallest one only.
+    """
     col = {k: table.column(k).to_numpy() for k in names}
     points = unfolded(table.column("point").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1))
+    listed = table.column("keys").combine_chunks()
+    keys, begin = listed.flatten().to_numpy(), listed.offsets.to_numpy() - listed.offsets[0].as_py()
     group = np.cumsum(_changes(table))
     size = np.bincount(group)[group]
     pairs = []
@@ -345,11 +380,17 @@ def _group_pairs(table: pa.Table, names: tuple[str, ...], percent: int) -> pa.Re
             x, y = (v[col["comp"][x] != col["comp"][y]] for v in (x, y))
             total = col["n"][x] + col["n"][y]
             most = np.minimum(points[x], points[y]).sum(1)
-            real = most * (100 + percent) >= percent * total
+            real = np.flatnonzero(most * (100 + percent) >= percent * total)
+            real = real[_first_shared(col["key"][x[real]], x[real], y[real], keys, begin)]
             out_a.append(col["class"][x[real]])
             out_b.append(col["class"][y[real]])
     a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (out_a, out_b))
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+    a, b = np.minimum(a, b), np.maximum(a, b)                  # neighbouring groups often hold the same pair
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(a.size, bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(a[new], pa.int64()), pa.array(b[new], pa.int64())], names=["a", "b"])
 
 
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -359,11 +400,11 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     classes = _classes(docs, size, percent, _sketch(first))
     entry = (classes.select("class", F.explode(F.arrays_zip("prefix", "hot")).alias("e"))
              .select(F.col("e.prefix").alias("key"), F.when(F.col("e.hot"), F.pmod(F.col("class"), F.lit(SALTS)) + 1).otherwise(F.lit(0)).cast("int").alias("part"), "class"))
-    stars = common.staged(_stars(entry.repartition("key", "part").sortWithinPartitions("key", "part", "class")), "stars")
+    stars = common.staged(_stars(entry.repartition("key", "part").sortWithinPartitions("key", "part", _turn(), "class")), "stars")
     # the smallest class of each part of a hot shingle stands for the part
-    heads = (entry.where("part > 0").groupBy("key", "part").agg(F.min("class").alias("class"))
+    heads = (entry.where("part > 0").groupBy("key", "part").agg(F.min(F.struct(_turn().alias("turn"), "class"))["class"].alias("class"))
              .select("key", F.lit(0).alias("part"), "class"))
-    upper = _stars(heads.repartition("key").sortWithinPartitions("key", "class"))
+    upper = _stars(heads.repartition("key").sortWithinPartitions("key", _turn(), "class"))
     stars = stars.unionByName(common.staged(upper, "stars"))
     tried = stars.select(F.col("hub").alias("a"), F.col("other").alias("b")).distinct()
     links = common.staged(_verified(tried, classes, docs, size, percent), "links")
@@ -374,8 +415,10 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
               .join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("comp", F.coalesce("root", "class")))
     mixed = (inside.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"))
              .where("lo <> hi").select("key", "members"))
-    left = (inside.join(mixed, "key").join(classes.select("class", "n", "point"), "class")
-            .select("key", "class", "comp", "n", "point", "members"))
+    mixed = common.staged(inside.join(mixed, "key").select("key", "class", "comp", "members"), "mixed")
+    own = mixed.groupBy("class").agg(F.array_sort(F.collect_list("key")).alias("keys"))      # at most a class's prefix
+    left = (mixed.join(classes.select("class", "n", "point").join(own, "class"), "class")
+            .select("key", "class", "comp", "n", "point", "members", "keys"))
     again = _indexed(left, percent).join(tried, ["a", "b"], "left_anti")
     more = common.staged(_verified(common.staged(again, "candidates"), classes, docs, size, percent), "links")
     roots = components(links.unionByName(more))
