@@ -158,7 +158,7 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(shared.value)
         cache, decoder = RunCache(pattern, Encoder(ranks).all), Decoder(ranks)
-        for part in common.slices(batches, most=4 << 20):
+        for part in common.slices(batches, most=1 << 20):
             ids = cache.encode([t or "" for t in part.column("text").to_pylist()])
             cols = [part.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),

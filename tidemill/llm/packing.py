@@ -123,7 +123,7 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGT
             offset = 0
             for (doc_id, ids), start, size in pieces:
                 part = ids[4 * start:4 * (start + size)]
-                rows.append((doc_id, start, size, zlib.crc32(part), len(ids) // 4, base + packer.made, offset, part))
+                rows.append((doc_id, start, size, zlib.crc32(part), len(ids) // 4, base + packer.made, offset, part if with_ids else None))
                 offset += size
             packer.made += 1
 
@@ -136,7 +136,7 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGT
             rows.clear()
             return pa.RecordBatch.from_arrays(cols, names=names)
 
-        for part in common.slices(batches, most=4 << 20):
+        for part in common.slices(batches, most=1 << 20):
             texts = [t or "" for t in part.column("text").to_pylist()]
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), cache.encode(texts), strict=True):
                 doc = (doc_id, ids + b"\0\0\0\0")

@@ -15,7 +15,7 @@ from itertools import chain
 import regex
 
 #: Runs that one generation of a task's cache holds.
-MOST_CACHED = 400_000
+MOST_CACHED = 250_000
 _FIRST = "\0"                                   # marks a run that no space precedes
 
 
