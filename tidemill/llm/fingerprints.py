@@ -31,7 +31,7 @@ _WORD_GAP = r"[\x20\x09-\x0D]+"
 
 def _unit(bits: Column, width: int) -> Column:
     """A number strictly inside (0, 1) from ``width`` random bits."""
-    return (bits + 0.5) / float(1 << width)
+    return (bits + 0.5) * (1.0 / float(1 << width))
 
 
 def draws_of(term: Column, sample: Column) -> dict[str, Column]:
