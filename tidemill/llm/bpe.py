@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemill.llm import common
-from tidemill.llm.pretokens import RunCache, packed
+from tidemill.llm.pretokens import RunCache, kept, packed
 
 #: Words of the bitmap have 2 to this many bits: Python's integers give find-first-set on any width.
 WORD = 8
@@ -156,8 +156,11 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = Fals
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = ranks_of(shared.value)
-        cache, decoder = RunCache(pattern, Encoder(ranks).all), Decoder(ranks)
+        def coders() -> tuple[RunCache, Decoder]:
+            ranks = ranks_of(shared.value)
+            return RunCache(pattern, Encoder(ranks).all), Decoder(ranks)
+
+        cache, decoder = kept(("ranks", hashlib.sha256(shared.value).digest(), pattern), coders)
         for part in common.slices(batches, most=1 << 20):
             ids = cache.encode([t or "" for t in part.column("text").to_pylist()])
             cols = [part.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i in ids], pa.int64()),

@@ -16,6 +16,7 @@ null ``doc_id`` passes through. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import zlib
 from collections import defaultdict
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tidemill.llm import common
-from tidemill.llm.pretokens import RunCache, packed
+from tidemill.llm.pretokens import RunCache, kept, packed
 
 LENGTH = 1024
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -114,9 +115,12 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGT
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True
-        cache = RunCache(pattern, lambda words: encode_pieces(tokenizer, words))
+        def fresh() -> RunCache:
+            tokenizer = Tokenizer.from_str(shared.value)
+            tokenizer.encode_special_tokens = True
+            return RunCache(pattern, lambda words: encode_pieces(tokenizer, words))
+
+        cache = kept(("tokenizer", hashlib.sha256(shared.value.encode()).digest(), pattern), fresh)
         packer, rows, base = Packer(length), [], TaskContext.get().partitionId() << 40
 
         def close(pieces: list[tuple]) -> None:

@@ -4,6 +4,7 @@ A run is the text between two single spaces, with the space before it. When a ru
 with visible characters, no pre-token crosses its ends, so its ids do not depend on its neighbours.
 A text with any other run (double spaces, white space beside a space) is cut by the pattern itself.
 Two generations of at most ``MOST_CACHED`` runs each are kept; results never depend on them.
+A Python worker runs one task after another, so its tasks share one cache (``kept``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,20 @@ MOST_CACHED = 250_000
 _FIRST = "\0"                                   # marks a run that no space precedes
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """``make()`` for the first task of a Python worker, the same object for later ones with that key.
+
+    Only one key's object is held, so a worker's memory does not grow with the tables it has met.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def packed(ids: list[int]) -> bytes:
     """Ids as 32-bit unsigned numbers (little-endian, as on every machine that Spark supports)."""
     return array("I", ids).tobytes()
