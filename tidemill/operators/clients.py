@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import json as J
+from tidemill.functions.barrier import computed_once
 from tidemill.functions.text import bool_text, canonical_uuid
 from tidemill.functions.time import parse_iso_timestamp
 from tidemill.operators.messages import CLIENTS_EVENT
@@ -103,11 +104,10 @@ def enabled_list(features: Column) -> Column:
 def client_rows(norm: DataFrame, as_of: Column) -> DataFrame:
     """One typed client row per ``clients_updated`` message with a non-empty object payload."""
     fields, err = client_fields(F.col("p"), as_of)
-    rows = (norm.filter((F.col("event_type") == CLIENTS_EVENT) & F.col("payload_truthy")
-                        & (F.col("payload_kind") == "object"))
-                .select("event_id", "arrival_seq", *[fields[c].alias(c) for c in CLIENT_COLUMNS],
-                        err.alias("error")))
-    return rows
+    rows = norm.filter((F.col("event_type") == CLIENTS_EVENT) & F.col("payload_truthy")
+                       & (F.col("payload_kind") == "object"))
+    return computed_once(rows, ["event_id", "arrival_seq"],
+                         [*[fields[c].alias(c) for c in CLIENT_COLUMNS], err.alias("error")])
 
 
 def clients_upsert(rows: DataFrame) -> DataFrame:
@@ -201,10 +201,11 @@ def gate_eligible(rows: DataFrame, clients: DataFrame, key: str = "client_id") -
 
 def gate_blocked(rows: DataFrame, clients: DataFrame, key: str = "client_id") -> DataFrame:
     """Clients whose rows are held back, with the reason and the number of rows."""
-    ok = eligible_clients(clients).select(F.col("id").alias(key))
-    held = rows.join(ok, key, "left_anti").groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     c = clients.select(F.col("id").alias(key), "status", "config_confirmed")
-    return (held.join(c, key, "left")
+    eligible = (F.col("status") == "active") & F.coalesce(F.col("config_confirmed"), F.lit(False))
+    return (counts.join(c, key, "left")
+                .filter(~F.coalesce(eligible, F.lit(False)))
                 .select(key, "n_rows",
                         F.when(F.col("status").isNull(), "not_found")
                          .when(F.col("status") != "active", "inactive")
@@ -220,7 +221,12 @@ def new_rows(rows: DataFrame, state: DataFrame, key: str = "client_id", ts: str
 
 
 def advance_state(rows: DataFrame, state: DataFrame, key: str = "client_id", ts: str = "ds") -> DataFrame:
-    """New ``last_processed_at``: the newest processed row, or the old value if none is new (C4)."""
-    newest = new_rows(rows, state, key, ts).groupBy(key).agg(F.max(ts).alias("_new"))
+    """New ``last_processed_at``: the newest processed row, or the old value if none is new (C4).
+
+    The facts become one row per client before the join.
+    """
+    never = F.lit("0001-01-01").cast("date")
+    newest = rows.groupBy(key).agg(F.max(ts).alias("_new")).filter(F.col("_new") > never)
+    ahead = F.col("_new") > F.coalesce(F.col("last_processed_at"), never)
     return (state.join(newest, key, "full")
-                 .select(key, F.coalesce(F.col("_new"), F.col("last_processed_at")).alias("last_processed_at")))
+                 .select(key, F.when(ahead, F.col("_new")).otherwise(F.col("last_processed_at")).alias("last_processed_at")))

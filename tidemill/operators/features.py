@@ -379,10 +379,17 @@ def seasonality(daily: DataFrame, holidays: DataFrame, include_day_of_week: bool
     return out
 
 
-def weather_features(daily: DataFrame, weather: DataFrame) -> DataFrame:
-    """Attach temperature, precipitation and wind by date (C6); weather has one row per day."""
-    w = weather.select("ds", "temperature", "precipitation", "wind")
-    return daily.join(F.broadcast(w), "ds", "left")
+def weather_features(daily: DataFrame, weather: DataFrame, site: str | None = None) -> DataFrame:
+    """Attach temperature, precipitation and wind by date, or by date and ``site``.
+
+    Repeated readings of one day (and site) count once: the largest row stays. By
+    date alone the dimension is one row per calendar day and is broadcast; with
+    sites it grows with them, and the join strategy is left to AQE.
+    """
+    keys = ["ds"] + ([site] if site else [])
+    values = ["temperature", "precipitation", "wind"]
+    w = weather.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_w")).select(*keys, *[F.col(f"_w.{v}") for v in values])
+    return daily.join(w if site else F.broadcast(w), keys, "left")
 
 
 def promo_days(promos: DataFrame) -> DataFrame:
@@ -400,15 +407,15 @@ def promo_features(daily: DataFrame, promos: DataFrame) -> DataFrame:
 
 
 def feature_metadata(features: DataFrame, feature_types: dict[str, str]) -> DataFrame:
-    """One row per feature column: type, rows, nulls and null share."""
-    names = list(feature_types)
-    stacked = features.select(
-        F.explode(F.array(*[F.struct(F.lit(n).alias("feature"),
-                                     F.lit(feature_types[n]).alias("feature_type"),
-                                     F.col(n).cast("double").alias("v")) for n in names])).alias("s"))
-    return (stacked.groupBy(F.col("s.feature").alias("feature"), F.col("s.feature_type").alias("feature_type"))
-                   .agg(F.count(F.lit(1)).alias("n_rows"),
-                        F.count_if(F.col("s.v").isNull()).alias("n_null"))
+    """One row per feature column: type, rows, nulls and null share.
+
+    One aggregate counts all columns; only its single row is unpivoted.
+    """
+    counted = features.agg(F.count(F.lit(1)).alias("n_rows"),
+                           *[F.count_if(F.col(n).isNull()).alias(f"null_{n}") for n in feature_types])
+    rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(t).alias("feature_type"), F.col("n_rows"),
+                              F.col(f"null_{n}").alias("n_null")) for n, t in feature_types.items()])
+    return (counted.filter("n_rows > 0").select(F.inline(rows))
                    .withColumn("null_share", F.round(F.col("n_null") / F.col("n_rows"), ROUND)))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import json as J
+from tidemill.functions.barrier import computed_once
 from tidemill.functions.text import canonical_uuid, pg_uuid
 from tidemill.functions.time import parse_iso_timestamp
 
@@ -82,17 +83,17 @@ def message_outcomes(norm: DataFrame, client_error: Column) -> DataFrame:
 
     ``client_error`` is the first error of the client row built from the
     payload (see ``clients.client_fields``); it is consulted for the clients
-    route only. The two reasons are computed in a projection of their own and
-    the outcome is derived from those columns, so each rule runs once per row.
+    route only. The two reasons are computed in a step of their own, below
+    which no later filter is pushed, so each rule runs once per row.
     """
     _, s_reason = sales_outcome(norm)
     kind = F.col("payload_kind")
     c_reason = (F.when(~F.col("payload_truthy"), "empty_data")
                  .when(kind != "object", "payload_not_object")
                  .otherwise(client_error))
-    staged = norm.select("event_id", "arrival_seq", "stream", "event_type",
-                         route_of(F.col("event_type")).alias("route"),
-                         c_reason.alias("_c_reason"), s_reason.alias("_s_reason"))
+    staged = computed_once(norm, ["event_id", "arrival_seq", "stream", "event_type"],
+                           [route_of(F.col("event_type")).alias("route"),
+                            c_reason.alias("_c_reason"), s_reason.alias("_s_reason")])
     route, c, sr = F.col("route"), F.col("_c_reason"), F.col("_s_reason")
     c_out = F.when(c == "empty_data", "skipped").when(c.isNotNull(), "failed").otherwise("processed")
     s_out = F.when(sr == "missing_client_id", "skipped").when(sr.isNotNull(), "failed").otherwise("processed")
@@ -126,7 +127,7 @@ def sales_notifications(norm: DataFrame) -> DataFrame:
                         upd.alias("updated_at")))
 
 
-def failed_messages(norm: DataFrame, outcomes: DataFrame) -> DataFrame:
+def failed_messages(outcomes: DataFrame) -> DataFrame:
     """Dead-letter rows: failed messages with their error (K3)."""
     return (outcomes.filter(F.col("outcome") == "failed")
                     .select("event_id", "arrival_seq", "stream", "event_type", F.col("reason").alias("error")))
@@ -142,15 +143,17 @@ def stream_length(messages: DataFrame) -> DataFrame:
     return messages.groupBy("stream").agg(F.count(F.lit(1)).alias("length"))
 
 
-def consumer_lag(messages: DataFrame, processed: DataFrame) -> DataFrame:
+def consumer_lag(messages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Per stream: last id, last processed id, and how many messages lie beyond it.
 
-    The per-stream maxima are one row per stream (bounded by the number of
-    streams), so joining them back is a broadcast; zero when nothing is behind.
+    Both marks come from one pass over the outcomes; only the count reads the
+    (undecoded) messages again. The marks are one row per stream (bounded by the
+    number of streams), so joining them back is a broadcast; zero when nothing
+    is behind.
     """
-    last = messages.groupBy("stream").agg(F.max("arrival_seq").alias("last_id"))
-    done = processed.groupBy("stream").agg(F.max("arrival_seq").alias("last_processed_id"))
-    marks = last.join(done, "stream", "left")
+    marks = outcomes.groupBy("stream").agg(
+        F.max("arrival_seq").alias("last_id"),
+        F.max(F.when(F.col("outcome") != "failed", F.col("arrival_seq"))).alias("last_processed_id"))
     behind = (messages.select("stream", "arrival_seq")
                       .join(F.broadcast(marks), "stream")
                       .groupBy("stream", "last_id", "last_processed_id")

@@ -83,17 +83,41 @@ def volume_signals(usage: DataFrame, as_of: Column, days: int = 90) -> DataFrame
                    .withColumn("ingress_flag", F.col("max_day_bytes") > INGRESS_DAY_BYTES))
 
 
+def daily_median(usage: DataFrame) -> DataFrame:
+    """Exact median latency of each day over all tenants, without a day in one buffer.
+
+    Rows are counted per (day, whole milliseconds); cumulative counts over these
+    few rows name the cells that hold the two middle ranks, and only values of
+    those cells are counted and ranked one by one.
+    """
+    rows = usage.filter(F.col("latency_ms").isNotNull()).select("day", "latency_ms", F.floor("latency_ms").alias("cell"))
+    day = Window.partitionBy("day")
+    upto = day.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    holds = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+    cells = (rows.groupBy("day", "cell").agg(F.count(F.lit(1)).alias("n"))
+                 .withColumn("before", F.sum("n").over(upto) - F.col("n"))
+                 .withColumn("total", F.sum("n").over(day))
+                 .filter(holds(low) | holds(high)).select("day", "cell", "before", "total"))
+    inside = Window.partitionBy("day", "cell").orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = (rows.join(F.broadcast(cells), ["day", "cell"])               # at most two rows a day
+                  .groupBy("day", "cell", "before", "total", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("before", F.col("before") + F.sum("n").over(inside) - F.col("n")))
+    at = lambda rank: F.max(F.when(holds(rank), F.col("latency_ms")))
+    return values.groupBy("day").agg((F.lit(0.5) * at(low) + F.lit(0.5) * at(high)).alias("cluster_median"))
+
+
 def p95_breaches(usage: DataFrame, factor: float = P95_FACTOR, days_in_a_row: int = P95_DAYS_IN_A_ROW) -> DataFrame:
     """Runs of at least ``days_in_a_row`` consecutive days on which a tenant's p95 latency
     exceeds ``factor`` x the cluster median of that day (D7).
 
-    Exact percentiles are partial aggregates whose buffers hold distinct values
-    with counts, so memory follows the value domain (quantised latencies), not
-    the row count of a hot tenant. The daily medians are one row per day and
-    are broadcast. Consecutive days are grouped by ``day - row_number``.
+    A tenant's p95 is an exact percentile, a partial aggregate whose buffer holds
+    that tenant-day's distinct values with counts. The medians of whole days
+    (``daily_median``) never gather a day; they are one row per day and are
+    broadcast. Consecutive days are grouped by ``day - row_number``.
     """
     p95 = usage.groupBy("tenant_id", "day").agg(F.percentile("latency_ms", 0.95).alias("p95"))
-    med = usage.groupBy("day").agg(F.median("latency_ms").alias("cluster_median"))
+    med = daily_median(usage)
     bad = (p95.join(F.broadcast(med), "day")
               .filter(F.col("p95") > F.lit(factor) * F.col("cluster_median")))
     w = Window.partitionBy("tenant_id").orderBy("day")

@@ -21,7 +21,7 @@ _DAILY = "daily as (select client_id, ds, sum(qty) as qty from sales group by 1,
 
 
 def _daily(spark, sf_dir):
-    return FE.daily_demand(fx.sales(spark, sf_dir), KEYS)
+    return FE.daily_demand(fx.sale_lines(spark, sf_dir), KEYS)     # one aggregation of the facts
 
 
 def _rolling_sql(series: str, weight: str, n_expr: str = "count(b.obs)") -> str:

@@ -128,7 +128,7 @@ def q_sales_notifications(spark, sf_dir):
 with {norm_with()} select event_id, arrival_seq, stream, event_type, reason as error from outcomes where outcome = 'failed'""",
     "raw_messages"))
 def q_dead_letters(spark, sf_dir):
-    return MS.failed_messages(_norm(spark, sf_dir), _outcomes(spark, sf_dir))
+    return MS.failed_messages(_outcomes(spark, sf_dir))
 
 
 @register("pending_messages", sql=with_views(f"""
@@ -156,9 +156,7 @@ select k.stream, k.last_id, k.last_processed_id,
   count(*) filter (where o.arrival_seq > coalesce(k.last_processed_id, -1)) as lag
 from outcomes o join marks k on k.stream = o.stream group by 1, 2, 3""", "raw_messages"))
 def q_consumer_lag(spark, sf_dir):
-    out = _outcomes(spark, sf_dir)
-    return MS.consumer_lag(out.select("stream", "arrival_seq"),
-                           out.filter(F.col("outcome") != "failed").select("stream", "arrival_seq"))
+    return MS.consumer_lag(fx.raw_messages(spark, sf_dir), _outcomes(spark, sf_dir))
 
 
 # Fixed value: retention length of a stream.

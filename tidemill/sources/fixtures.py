@@ -112,13 +112,16 @@ def logs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> D
     )
 
 
+def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sold quantities (client_id, product_id, ds, qty), a row per order line."""
+    li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity")
+    return li.select(F.col("l_suppkey").alias("client_id"), F.col("l_partkey").alias("product_id"),
+                     F.to_date("l_shipdate").alias("ds"), F.col("l_quantity").alias("qty"))
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily quantity per (client_id, product_id, ds); one aggregation with map-side combine."""
-    li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity")
-    return (li.groupBy(F.col("l_suppkey").alias("client_id"),
-                       F.col("l_partkey").alias("product_id"),
-                       F.to_date("l_shipdate").alias("ds"))
-              .agg(F.sum("l_quantity").alias("qty")))
+    return sale_lines(spark, sf_dir).groupBy("client_id", "product_id", "ds").agg(F.sum("qty").alias("qty"))
 
 
 def bom(spark: SparkSession, sf_dir: str, with_cycle: bool = False) -> DataFrame:
