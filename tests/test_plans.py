@@ -1,15 +1,18 @@
 """Physical-plan checks: pushdown, pruning, partition pruning, top-k, broadcast of bounded dimensions."""
 
 import datetime as dt
+import statistics
 
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidemill.functions.time import time_range
+from tidemill.operators import clients as CL
 from tidemill.operators import features as FE
 from tidemill.operators import logs as L
 from tidemill.operators import messages as MS
 from tidemill.operators import partitions as P
+from tidemill.operators import tenants as T
 from tidemill.plans import registry
 from tidemill.plans.params import as_of_ntz
 from tidemill.sources import fixtures as fx
@@ -71,3 +74,45 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     assert df.count() >= 0 and len(df.columns) > 0
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_messages_are_decoded_once_under_later_filters(spark):
+    q = registry.queries()
+    decodes = optimized(q["message_outcomes"](spark, SF_SMALL)).count("from_json")
+    assert decodes > 0
+    for key in ("dead_letters", "pending_messages", "consumer_lag"):
+        assert optimized(q[key](spark, SF_SMALL)).count("from_json") <= decodes, key
+
+
+def test_weather_rows_that_repeat_a_day_do_not_repeat_demand(spark):
+    day = dt.date(2024, 1, 1)
+    daily = spark.createDataFrame([(1, day, "a", 2.0)], "client_id int, ds date, site string, qty double")
+    weather = spark.createDataFrame([(day, "a", 1.0, 0.0, 3.0), (day, "a", 2.0, 0.0, 1.0), (day, "b", 9.0, 0.0, 1.0)],
+                                    "ds date, site string, temperature double, precipitation double, wind double")
+    assert [r["temperature"] for r in FE.weather_features(daily, weather).collect()] == [9.0]
+    assert [r["temperature"] for r in FE.weather_features(daily, weather, site="site").collect()] == [2.0]
+
+
+def test_daily_median_is_exact(spark):
+    days = [(dt.date(2024, 1, d), [((7 * k * d) % 31) / 4 for k in range(n)]) for d, n in ((1, 1), (2, 2), (3, 99), (4, 100))]
+    rows = [(d, v) for d, values in days for v in values] + [(dt.date(2024, 1, 4), None), (dt.date(2024, 1, 5), None)]
+    usage = spark.createDataFrame(rows, "day date, latency_ms double")
+    found = {r["day"]: r["cluster_median"] for r in T.daily_median(usage).collect()}
+    assert found == {d: statistics.median(values) for d, values in days}
+
+
+def test_gates_and_state_after_aggregation(spark):
+    clients = spark.createDataFrame([(1, "active", True), (2, "active", None), (3, "archived", True)],
+                                    "id int, status string, config_confirmed boolean")
+    day = lambda d: dt.date(2024, 1, d)
+    rows = spark.createDataFrame([(1, day(3)), (1, day(5)), (2, day(2)), (3, day(1)), (4, day(4)), (4, None), (None, day(1))],
+                                 "client_id int, ds date")
+    held = {r["client_id"]: (r["n_rows"], r["reason"]) for r in CL.gate_blocked(rows, clients).collect()}
+    assert held == {2: (1, "not_confirmed"), 3: (1, "inactive"), 4: (2, "not_found"), None: (1, "not_found")}
+    state = spark.createDataFrame([(1, day(4)), (2, day(9)), (5, None)], "client_id int, last_processed_at date")
+    now = {r["client_id"]: r["last_processed_at"] for r in CL.advance_state(rows, state).collect()}
+    assert now == {1: day(5), 2: day(9), 3: day(1), 4: day(4), 5: None, None: day(1)}

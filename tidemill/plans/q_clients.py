@@ -35,8 +35,9 @@ rows as (
     c_reason as error
   from cl where event_type = 'clients_updated' and payload_truthy and payload_kind = 'object'),
 typed as (
-  select * exclude (h), substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
-    || substr(h, 17, 4) || '-' || substr(h, 21, 12) as id from rows)"""
+  select * exclude (h), case when regexp_matches(h, '^[0-9a-f]{{32}}$') then
+    substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
+    || substr(h, 17, 4) || '-' || substr(h, 21, 12) end as id from rows)"""
 
 FOLD_SQL = """
 fold as (

@@ -13,9 +13,11 @@ select cast(event_id as varchar) as event_id, event_id as arrival_seq, ts as eve
        else 'other-updates' end as stream,
   case event_type when 'signup' then 'clients_updated' when 'purchase' then 'sales_updated'
        when 'click' then 'stock_updated' when 'view' then 'bom_updated' else 'mystery' end as event_type,
-  case when event_id % 40 = 7 then null
+  case when event_id % 40 = 7 then null when event_id % 40 = 9 then 'not-a-uuid'
        else '00000000-0000-4000-8000-' || lpad(cast(user_id as varchar), 12, '0') end as client_id,
-  case when event_id % 50 = 0 then 'not json' when event_id % 50 = 1 then '{}'
+  case when event_id % 50 = 0 then 'not json' when event_id % 50 = 1 then '{}' when event_id % 50 = 2 then '[1]'
+       when event_id % 50 = 3 then '{"id":"nope","name":"x","organization_id":"1"}'
+       when event_id % 50 = 4 then '{"name":"x","organization_id":"1"}'
        when event_type = 'signup' then
          '{"id":"00000000-0000-4000-8000-' || lpad(cast(user_id as varchar), 12, '0')
          || '","name":"client ' || cast(user_id as varchar)

@@ -20,7 +20,8 @@ def _uuid_of(col: Column) -> Column:
 
 
 def raw_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """Message envelopes from ``events``: bad JSON, empty payloads, unknown types, no client id.
+    """Message envelopes from ``events``: bad JSON, empty payloads, unknown types, no client id,
+    and failures (payload not an object, unusable or missing id, client id that is no UUID).
 
     ``events`` may be given instead (e.g. a streaming read of the same table).
     """
@@ -55,9 +56,12 @@ def raw_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = No
          .when(etype == "click", "stock_updated")
          .when(etype == "view", "bom_updated")
          .otherwise("mystery").alias("event_type"),
-        F.when(eid % 40 == 7, F.lit(None).cast("string")).otherwise(uuid).alias("client_id"),
+        F.when(eid % 40 == 7, F.lit(None).cast("string")).when(eid % 40 == 9, "not-a-uuid").otherwise(uuid).alias("client_id"),
         F.when(eid % 50 == 0, "not json")
          .when(eid % 50 == 1, "{}")
+         .when(eid % 50 == 2, "[1]")
+         .when(eid % 50 == 3, '{"id":"nope","name":"x","organization_id":"1"}')
+         .when(eid % 50 == 4, '{"name":"x","organization_id":"1"}')
          .when(etype == "signup", signup)
          .otherwise(other).alias("data"),
     )
