@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tidemill.llm import (bpe, bwt_repeats, common, fingerprints, ngram_join, packing, quality, queries, repeats, sharding,
                           url_lists, warc)
+from tidemill.llm.pretokens import RunCache
 from tidemill.llm.tokenizers import PATTERN, RANK_FILE, TOKENIZER_FILE
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -246,6 +247,41 @@ def test_rank_queue_bpe(spark, odd, none):
     assert bpe.encoded(none, RANK_FILE, PATTERN).count() == 0
 
 
+def plain_merges(word, ranks):
+    """The usual definition: the leftmost pair of the lowest rank merges first."""
+    if word in ranks:
+        return [ranks[word]]
+    parts = [word[k:k + 1] for k in range(len(word))]
+    while True:
+        found = [(ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not found:
+            return [ranks[p] for p in parts]
+        k = min(found)[1]
+        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+
+
+@pytest.mark.parametrize("few", [1, 96])
+def test_rank_queue_merges_in_the_usual_order(monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
+    rng = np.random.default_rng(5)
+    for table in range(30):                                     # ranks in any order: merges often give a smaller rank
+        words = sorted({"".join(rng.choice(list("abc"), n)).encode() for n in rng.integers(2, 5, 12)})
+        order = rng.permutation(len(words))
+        ranks = {bytes([b]): b for b in range(256)} | {w: 256 + int(k) for w, k in zip(words, order)}
+        texts = ["".join(rng.choice(list("abcd"), n)) for n in rng.integers(1, 30, 300)] + ["a" * 5000]
+        got = bpe.Encoder(ranks).all(texts)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got[:-1]] == [plain_merges(t.encode(), ranks) for t in texts[:-1]]
+
+
+def test_run_cache_turns_over_within_a_call():
+    with open(RANK_FILE, "rb") as f:
+        coder = bpe.Encoder(bpe.ranks_of(f.read()))
+    cache = RunCache(PATTERN, coder.all, most=10)
+    for call in range(4):
+        texts = [" ".join(f"w{call * 15 + k}" for k in range(40)), "w1  w2 w70", ""]
+        assert cache.encode(texts) == [ids.tobytes() for ids in tiktoken_ids(texts)]
+
+
 def test_packing(spark, odd, none):
     texts = [(k + 100, t) for k, t in enumerate(SPACED)] + [(k, t) for k, (_, t) in enumerate(rows_of(odd))]
     ids = {i: np.append(x, 0).astype("<u4") for (i, _), x in zip(texts, tiktoken_ids([t for _, t in texts]))}

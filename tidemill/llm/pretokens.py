@@ -59,8 +59,6 @@ class RunCache:
         return self._find(lead + body)
 
     def _learn(self, runs: list[str]) -> None:
-        if len(self._runs) + len(runs) > self._most:
-            self._older, self._runs = self._runs, {}
         if len(self._pieces) > self._most:
             self._pieces = {}
         known, cut = self._runs, {}
@@ -89,20 +87,20 @@ class RunCache:
             cut.append(runs)
         wanted = set(chain.from_iterable(cut))
         if new := wanted.difference(self._runs):
-            before = self._runs
+            if len(self._runs) + len(new) > self._most:             # a new generation, with all of this call's runs
+                self._older, self._runs, new = self._runs, {}, wanted
             self._learn(list(new))
-            if self._runs is not before:                        # a new generation: fetch the rest of this call's runs
-                self._learn(list(wanted.difference(self._runs)))
-        known, out = self._runs.__getitem__, []
-        for text, runs in zip(texts, cut, strict=True):
+        known, out, whole = self._runs.__getitem__, [], {}
+        for k, (text, runs) in enumerate(zip(texts, cut, strict=True)):
             try:
                 ids = b"".join(map(known, runs)) if runs or not text else None
             except TypeError:                                   # a run that its neighbours change
                 ids = None
             if ids is None:
-                pieces = self._find(text)
-                distinct = list(set(pieces))
-                table = dict(zip(distinct, self._encode_all(distinct), strict=True))
-                ids = b"".join([table[p] for p in pieces])
+                whole[k] = self._find(text)
             out.append(ids)
+        new = list(set(chain.from_iterable(whole.values())).difference(self._pieces))
+        table = dict(zip(new, self._encode_all(new), strict=True))
+        for k, pieces in whole.items():
+            out[k] = b"".join([table[p] if p in table else self._pieces[p] for p in pieces])
         return out
