@@ -94,8 +94,8 @@ def encode_pieces(tokenizer, pieces: list[str]) -> list[bytes]:
     lines = [p for p in pieces if "\n" not in p and not p.isspace()]
     found: dict[str, bytes] = {}
     if lines:
-        end = tokenizer.encode("\n", add_special_tokens=False).ids
-        ids = np.array(tokenizer.encode("\n".join(lines) + "\n", add_special_tokens=False).ids, dtype="<u4")
+        end, ids = (e.ids for e in tokenizer.encode_batch_fast(["\n", "\n".join(lines) + "\n"], add_special_tokens=False))
+        ids = np.array(ids, dtype="<u4")
         at = np.flatnonzero(ids == end[0])
         if len(end) == 1 and len(at) == len(lines):
             raw = ids.tobytes()

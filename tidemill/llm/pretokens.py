@@ -18,6 +18,7 @@ import regex
 #: Runs that one generation of a task's cache holds.
 MOST_CACHED = 250_000
 _FIRST = "\0"                                   # marks a run that no space precedes
+_ENDS = (".", ",")
 
 
 _KEPT: dict[tuple, object] = {}
@@ -49,33 +50,33 @@ class RunCache:
         self._older: dict[str, bytes | None] = {}
         self._pieces: dict[str, bytes] = {}
 
-    def _cut(self, run: str) -> list[str]:
-        """The pre-tokens of a run."""
-        body, lead = (run[1:], "") if run[:1] == _FIRST else (run, " ")
-        if body.isalpha():
-            return [lead + body]
-        if body[-1] in ".," and body[:-1].isalpha():
-            return [lead + body[:-1], body[-1]]
-        return self._find(lead + body)
-
-    def _learn(self, runs: list[str]) -> None:
+    def _learn(self, wanted: set[str]) -> None:
+        """Ids of new runs. Letters alone are one pre-token, letters and a full stop or comma are two."""
         if len(self._pieces) > self._most:
             self._pieces = {}
-        known, cut = self._runs, {}
-        for run in runs:
-            if run in self._older:
-                known[run] = self._older[run]
-                continue
-            body = run[1:] if run[:1] == _FIRST else run
-            if not body or body[0].isspace() or body[-1].isspace():
-                known[run] = None
+        known, pieces = self._runs, self._pieces
+        words, ended, others = [], [], {}
+        if self._older:
+            old = wanted.intersection(self._older)
+            known.update((run, self._older[run]) for run in old)
+            wanted = wanted - old
+        for run in wanted:
+            if run.isalpha():
+                words.append(run)
+            elif run[-1:] in _ENDS and run[:-1].isalpha():
+                ended.append(run)
             else:
-                cut[run] = self._cut(run)
-        pieces = self._pieces
-        flat = list({p for each in cut.values() for p in each if p not in pieces})
-        pieces.update(zip(flat, self._encode_all(flat), strict=True))
-        for run, each in cut.items():
-            known[run] = pieces[each[0]] if len(each) == 1 else b"".join([pieces[p] for p in each])
+                body, lead = (run[1:], "") if run[:1] == _FIRST else (run, " ")
+                if not body or body[0].isspace() or body[-1].isspace():
+                    known[run] = None
+                else:
+                    others[run] = self._find(lead + body)
+        spaced, stems = [" " + run for run in words], [" " + run[:-1] for run in ended]
+        new = list({*spaced, *stems, *_ENDS, *chain.from_iterable(others.values())}.difference(pieces))
+        pieces.update(zip(new, self._encode_all(new), strict=True))
+        known.update(zip(words, map(pieces.__getitem__, spaced), strict=True))
+        known.update((run, pieces[stem] + pieces[run[-1]]) for run, stem in zip(ended, stems, strict=True))
+        known.update((run, b"".join([pieces[p] for p in each])) for run, each in others.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
@@ -89,7 +90,7 @@ class RunCache:
         if new := wanted.difference(self._runs):
             if len(self._runs) + len(new) > self._most:             # a new generation, with all of this call's runs
                 self._older, self._runs, new = self._runs, {}, wanted
-            self._learn(list(new))
+            self._learn(new)
         known, out, whole = self._runs.__getitem__, [], {}
         for k, (text, runs) in enumerate(zip(texts, cut, strict=True)):
             try:
