@@ -33,6 +33,11 @@ HEADLINE = [
     "log_stats",
     "config_current",
     "slo_p95_breach",
+    "bom_cycles",           # paths back to their root
+    "config_history",
+    "dead_letters",
+    "pending_messages",
+    "consumer_lag",
 ]
 
 
