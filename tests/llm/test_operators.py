@@ -111,6 +111,45 @@ def test_ngram_join(spark, odd, none, docs, monkeypatch):
     assert {1, 7, 9, 14} <= kept and not kept & {2, 3} and None in kept
 
 
+def brute_links(rows, size, percent):
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(t.encode().lower())
+        sets.append(frozenset(tuple(w[k:k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else []))
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    return sets, pairs
+
+
+@pytest.mark.parametrize("block", [ngram_join.LINK_BLOCK, 7])
+def test_ngram_join_counts_every_link(spark, odd, none, monkeypatch, block):
+    """Near copies in a dense group: links between two members that a hub connects are counted and given out."""
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        words[rng.randrange(120)] = f"x{k}"
+        rows += [(100 + k, " ".join(words))] * (1 + k % 3 // 2)
+    df = odd.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    rows = rows_of(df)
+    sets, pairs = brute_links(rows, 4, 85)
+    n = Counter(x for pair in pairs for x in pair)
+    assert Counter((r["doc_id"], r["n_links"]) for r in ngram_join.join(df, 4, 85).collect()) == Counter((i, n[k]) for k, (i, _) in enumerate(rows))
+    least = {s: min((i for (i, _), x in zip(rows, sets) if x == s and i is not None), default=None) for s in sets}
+    want = {(frozenset((least[sets[a]], least[sets[b]])), len(sets[a] & sets[b])) for a, b in pairs if sets[a] != sets[b]}
+    got = ngram_join.links(df, 4, 85).collect()
+    assert len(got) == len(want) > 300 and {(frozenset((r["doc_id_a"], r["doc_id_b"])), r["n_shared"]) for r in got} == want
+    assert ngram_join.links(none).count() == 0
+
+
+def test_shared_codes():
+    rng = np.random.default_rng(4)
+    one, two = ([np.unique(rng.integers(0, 4000, n).astype(np.uint64) ** 2 // 4000) for n in rng.integers(0, 300, m)] for m in (150, 130))
+    want = [[np.intersect1d(a, b).size for b in two] for a in one]
+    assert (ngram_join.shared_codes(one, two) == np.array(want)).all()
+
+
 def test_count_trees_lose_no_pair():
     rng = np.random.default_rng(1)
     points = rng.poisson(3, size=(300, 8))

@@ -15,8 +15,11 @@ shingle form a group:
    task's work, so no group is collected whole;
 3. surviving pairs are verified on the full sets.
 
-Nothing is capped: a pair is left out only if it shares no prefix shingle, fails the bound, or its
-ends are already known to be connected.
+Nothing is capped: a pair is left out of this only if it shares no prefix shingle, fails the bound, or
+its ends are already known to be connected, so the components are exact. Every link lies inside a
+component; ``join`` counts them all and ``links`` gives them out: a component's classes are cut into
+blocks, and each pair of blocks is held against each other on the full sets. Counting gives a row a
+class and block pair, never a row a link.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; fewer words
 than a shingle make one shingle; equal texts, and repeated rows, are one class; a null ``doc_id`` never
@@ -45,6 +48,8 @@ DIMENSIONS, FOLD = 128, 4
 MOST = (1 << 15) - 1
 #: Children of an R-tree node, and classes of one block.
 FANOUT, BLOCK = 16, 1024
+#: Classes, and shingles of all of them, of one block when links are counted.
+LINK_BLOCK, LINK_SHINGLES = 1024, 1 << 20
 #: Prefix shingles as common as this share of all counted shingles (2 to the minus this) are dealt in
 #: ``SALTS`` parts first.
 HOT_BITS, SALTS = 12, 64
@@ -200,19 +205,11 @@ def _stars(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, hub long, other long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold; the bound on points goes first."""
-    side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"),
-                                       F.col("point").alias(f"p_{name}"), F.struct("c1", "c2").alias(f"id_{name}"), F.col("row_hash").alias(f"h_{name}"))
-    least = lambda x, y: F.least(x, y).cast("int")
-    bound = F.aggregate(F.zip_with("p_a", "p_b", least), F.lit(0), lambda s, x: s + F.when(x == MOST, 1 << 20).otherwise(x))
-    enough = lambda common_: 100 * common_ >= percent * (F.col("n_a") + F.col("n_b") - common_)
-    asked = common.staged(pairs.join(side("a"), "a").join(side("b"), "b").where(enough(bound))
-                          .select("a", "b", "n_a", "n_b", "id_a", "id_b", "h_a", "h_b"), "pairs")
+def _sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(id, codes): the full sets of the ``wanted`` classes (c1, c2, h), staged; ``wanted`` may repeat a class."""
     mask = (1 << FILTER_BITS) - 1
     bit = F.col("h").bitwiseAND(F.lit(mask))
-    hashes = asked.select(F.explode(F.array("h_a", "h_b")).alias("h"))
-    words = (hashes.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+    words = (wanted.groupBy(F.shiftright(bit, 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast((h & {mask}) & 63 as int))")).alias("bits")).collect())
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     for row in words:                                          # at most 2**(FILTER_BITS - 6) rows
@@ -230,9 +227,22 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
                         zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["c1", "c2", "codes"])
 
-    wanted = asked.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct().select("id.*")
-    found = docs.select("text", _row_hash()).mapInArrow(run, "c1 long, c2 long, codes array<long>").join(wanted, ["c1", "c2"])
-    found = common.staged(found.select(F.struct("c1", "c2").alias("id"), "codes"), "sets")
+    found = (docs.select("text", _row_hash()).mapInArrow(run, "c1 long, c2 long, codes array<long>")
+             .join(wanted.select("c1", "c2").distinct(), ["c1", "c2"]))
+    return common.staged(found.select(F.struct("c1", "c2").alias("id"), "codes"), "sets")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold; the bound on points goes first."""
+    side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"),
+                                       F.col("point").alias(f"p_{name}"), F.struct("c1", "c2").alias(f"id_{name}"), F.col("row_hash").alias(f"h_{name}"))
+    least = lambda x, y: F.least(x, y).cast("int")
+    bound = F.aggregate(F.zip_with("p_a", "p_b", least), F.lit(0), lambda s, x: s + F.when(x == MOST, 1 << 20).otherwise(x))
+    enough = lambda common_: 100 * common_ >= percent * (F.col("n_a") + F.col("n_b") - common_)
+    asked = common.staged(pairs.join(side("a"), "a").join(side("b"), "b").where(enough(bound))
+                          .select("a", "b", "n_a", "n_b", "id_a", "id_b", "h_a", "h_b"), "pairs")
+    found = _sets(asked.select(F.explode(F.array(*[F.struct(F.col(f"id_{s}.c1"), F.col(f"id_{s}.c2"), F.col(f"h_{s}").alias("h"))
+                                                   for s in "ab"])).alias("c")).select("c.*"), docs, size)
     left, right = (found.select(F.col("id").alias(f"id_{s}"), F.col("codes").alias(f"s_{s}")) for s in "ab")
     both = F.size(F.array_intersect("s_a", "s_b"))
     return asked.join(left, "id_a").join(right, "id_b").where(enough(both)).select("a", "b").distinct()
@@ -393,8 +403,8 @@ def _group_pairs(table: pa.Table, names: tuple[str, ...], percent: int) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(a[new], pa.int64()), pa.array(b[new], pa.int64())], names=["a", "b"])
 
 
-def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), n_copies (documents with its set)."""
+def _connected(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents (doc_id, n, c1, c2), the classes, and (node, root) of the classes that have a link."""
     first = common.staged(_first_pass(docs, size), "shingle-counts")
     members = first.where("slot = -1").select("doc_id", "n", "c1", "c2")
     classes = _classes(docs, size, percent, _sketch(first))
@@ -421,25 +431,150 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
             .select("key", "class", "comp", "n", "point", "members", "keys"))
     again = _indexed(left, percent).join(tried, ["a", "b"], "left_anti")
     more = common.staged(_verified(common.staged(again, "candidates"), classes, docs, size, percent), "links")
-    roots = components(links.unionByName(more))
+    return members, classes, components(links.unionByName(more))
+
 
-    by_class = (members.where("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-                .join(classes.select("c1", "c2", "class"), ["c1", "c2"])
-                .join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
-    named = by_class.join(by_class.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("c1", "c2", "copies", "component_id")
+def _of_classes(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(c1, c2, class, n, row_hash, least doc_id, copies, root) of every class; ``root`` is the class itself without a link."""
+    return (members.where("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+            .join(classes.select("c1", "c2", "class", "n", "row_hash"), ["c1", "c2"])
+            .join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
+
+
+def _per_document(members: DataFrame, by_class: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_copies and the columns ``more`` of its class; 0 there for an empty set."""
+    named = (by_class.join(by_class.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+             .select("c1", "c2", "copies", "component_id", *more))
     known = members.where("n > 0").join(named, ["c1", "c2"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("copies").alias("n_copies"))
-    empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"))
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("copies").alias("n_copies"), *more)
+    empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                          F.lit(1).cast("long").alias("n_copies"), *[F.lit(0).cast("long").alias(c) for c in more])
     return known.unionByName(empty)
 
 
+def shared_codes(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many codes every set of ``one`` shares with every set of ``two``; no set holds a code twice."""
+    out = np.zeros(len(one) * len(two), np.int64)
+    codes = np.concatenate([*one, *two])
+    row = np.repeat(np.arange(len(one) + len(two)), [s.size for s in (*one, *two)])
+    order = np.argsort(codes, kind="stable")                   # of one code, the rows of ``one`` come first
+    codes, row = codes[order], row[order]
+    start = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if codes.size else np.zeros(0, np.int64)
+    n_one = np.add.reduceat((row < len(one)).astype(np.int64), start) if start.size else start
+    n_two = np.diff(np.append(start, codes.size)) - n_one
+    both = n_one * n_two
+    common_ = both > (out.size >> 7)                           # a column of a matrix product costs less than its pairs
+    few = np.flatnonzero((both > 0) & ~common_)
+    ends = np.cumsum(both[few])
+    at = 0
+    while at < few.size:                                       # rare codes pair by pair, some millions at a time
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 22), side="right")))
+        code = np.repeat(few[at:to], both[few[at:to]])
+        k = np.arange(code.size) - np.repeat(ends[at:to] - both[few[at:to]] - (ends[at - 1] if at else 0), both[few[at:to]])
+        x, y = row[start[code] + k // n_two[code]], row[start[code] + n_one[code] + k % n_two[code]]
+        out += np.bincount(x * len(two) + y - len(one), minlength=out.size)
+        at = to
+    many = np.flatnonzero(common_)
+    out = out.reshape(len(one), len(two))
+    for at in range(0, many.size, 2048):                       # common codes as columns; sums below 2**24 are exact
+        of = many[at:at + 2048]
+        size = n_one[of] + n_two[of]
+        column = np.repeat(np.arange(of.size), size)
+        cells = row[np.repeat(start[of] - (np.cumsum(size) - size), size) + np.arange(column.size)]
+        has = np.zeros((len(one) + len(two), of.size), np.float32)
+        has[cells, column] = 1
+        out += (has[:len(one)] @ has[len(one):].T).astype(np.int64)
+    return out
+
+
+def _block_links(by_class: DataFrame, docs: DataFrame, size: int, percent: int, counts: bool) -> DataFrame:
+    """All links between classes: as pairs (a, b, n_shared), or (class, linked), the documents linked in one block pair."""
+    linked = by_class.join(by_class.groupBy("root").agg(F.count("*").alias("of")).where("of > 1"), "root", "left_semi")
+    found = _sets(linked.select("c1", "c2", F.col("row_hash").alias("h")), docs, size).dropDuplicates(["id"])
+    # only components of several blocks come to all tasks
+    blocks = (linked.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / LINK_BLOCK, F.sum("n") / LINK_SHINGLES)).cast("int").alias("blocks"))
+              .where("blocks > 1"))
+    dealt = (linked.join(F.broadcast(blocks), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+             .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+             .select(F.struct("c1", "c2").alias("id"), F.col("root").alias("key"), "class", "copies", "own", "blocks").join(found, "id")
+             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "class", "copies", "codes"))
+
+    def of_group(own: np.ndarray, low: int, high: int, cls: np.ndarray, copies: np.ndarray, sets: list[np.ndarray]):
+        one, two = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        if not one.size or not two.size:
+            return
+        both = shared_codes([sets[k] for k in one], [sets[k] for k in two])
+        n = np.array([s.size for s in sets])
+        link = 100 * both >= percent * (n[one][:, None] + n[two] - both)
+        if low == high:
+            np.fill_diagonal(link, False)
+        if counts:
+            yield cls[one], link @ copies[two]
+            if low != high:
+                yield cls[two], copies[one] @ link
+        else:
+            x, y = np.nonzero(np.triu(link) if low == high else link)
+            yield cls[one[x]], cls[two[y]], both[x, y]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            own, low, high, cls, copies = (table.column(k).to_numpy() for k in ("own", "low", "high", "class", "copies"))
+            first = np.flatnonzero(np.append(True, _changes(table)[1:]))
+            out = []
+            for at, to in zip(first.tolist(), np.append(first[1:], table.num_rows).tolist()):
+                codes = [x.values.to_numpy().view(np.uint64) for x in table.column("codes").slice(at, to - at)]
+                out += of_group(own[at:to], low[at], high[at], cls[at:to], copies[at:to], codes)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], names=names)
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                table = pa.Table.from_batches(held)
+                cut = _last_start(table)
+                if cut:
+                    yield from done(table.slice(0, cut))
+                    held = table.slice(cut).to_batches()
+        if held:
+            yield from done(pa.Table.from_batches(held))
+
+    names = ["class", "linked"] if counts else ["a", "b", "n_shared"]
+    order = ["key", "low", "high"]
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), n_copies (documents with its set)
+    and n_links (other documents that reach the threshold with it, those with its set included).
+    """
+    members, classes, roots = _connected(docs, size, percent)
+    by_class = common.staged(_of_classes(members, classes, roots), "by-class")
+    linked = _block_links(by_class, docs, size, percent, counts=True).groupBy("class").agg(F.sum("linked").alias("linked"))
+    by_class = by_class.join(linked, "class", "left").withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("copies") - 1)
+    return _per_document(members, by_class, "n_links")
+
+
+def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Every pair of different sets that reaches the threshold, once: smallest doc_id, size and copies of both, and n_shared."""
+    by_class = common.staged(_of_classes(*_connected(docs, size, percent)), "by-class")
+    side = lambda name: by_class.select(F.col("class").alias(name), F.col("least").alias(f"doc_id_{name}"),
+                                        F.col("n").alias(f"n_{name}"), F.col("copies").alias(f"copies_{name}"))
+    return (_block_links(by_class, docs, size, percent, counts=False).join(side("a"), "a").join(side("b"), "b")
+            .select("doc_id_a", "doc_id_b", "n_a", "n_b", "copies_a", "copies_b", "n_shared"))
+
+
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest ``doc_id``.
 
     Rows that repeat a ``doc_id`` count as one document, of which the first row stays; rows with a null
     ``doc_id`` are not compared by id and stay.
     """
-    keep = join(docs, size, percent).where("doc_id = component_id").select("doc_id").distinct()
+    members, classes, roots = _connected(docs, size, percent)
+    keep = (_per_document(members, _of_classes(members, classes, roots))
+            .where("doc_id = component_id").select("doc_id").distinct())
     once = (docs.join(keep, "doc_id", "left_semi").withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id")))
             .where("_row = 1").drop("_row"))
     return once.select(docs.columns).unionByName(docs.where("doc_id is null"))
