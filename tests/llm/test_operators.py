@@ -143,6 +143,17 @@ def test_ngram_join_counts_every_link(spark, odd, none, monkeypatch, block):
     assert ngram_join.links(none).count() == 0
 
 
+def test_sets_of_repeated_rows_come_once(spark, docs):
+    """Repeated rows, inside a task and across tasks, and every row a hit of the filter."""
+    some = docs.limit(20).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("k")
+    some = common.staged(some.repartition(3), "repeated")
+    classes = ngram_join._classes(some, 4, 85, np.ones(1 << ngram_join.SKETCH_BITS, np.int64))
+    wanted = classes.select("c1", "c2", F.col("row_hash").alias("h"))
+    got = ngram_join._sets(wanted.unionByName(wanted), some, 4)
+    assert got.count() == classes.count() > 10
+    assert {tuple(r["id"]): len(r["codes"]) for r in got.collect()} == {(r["c1"], r["c2"]): r["n"] for r in classes.collect()}
+
+
 def test_shared_codes():
     rng = np.random.default_rng(4)
     one, two = ([np.unique(rng.integers(0, 4000, n).astype(np.uint64) ** 2 // 4000) for n in rng.integers(0, 300, m)] for m in (150, 130))

@@ -56,7 +56,7 @@ HOT_BITS, SALTS = 12, 64
 #: Orders from which groups take their hub: near copies of one text meet about that many hubs, so that most
 #: of them are connected before the index is asked.
 HUBS = 8
-#: Bits of the filter that tells which rows' sets a verification needs (2 to this many); false hits cost time only.
+#: Bits of the filter that tells which rows' sets a verification needs (2 to this many); false hits cost their hashing only.
 FILTER_BITS = 23
 _U = np.uint64
 
@@ -206,7 +206,10 @@ def _stars(rows: DataFrame) -> DataFrame:
 
 
 def _sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(id, codes): the full sets of the ``wanted`` classes (c1, c2, h), staged; ``wanted`` may repeat a class."""
+    """(id, codes): the full sets of the ``wanted`` classes (c1, c2, h), each once, staged; ``wanted`` may repeat a class.
+
+    A task sends a set once, however many of its rows repeat it or are false hits of the filter.
+    """
     mask = (1 << FILTER_BITS) - 1
     bit = F.col("h").bitwiseAND(F.lit(mask))
     words = (wanted.groupBy(F.shiftright(bit, 6).alias("word")).agg(
@@ -217,18 +220,20 @@ def _sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = shared.value.view(np.uint64)
+        have, sent = shared.value.view(np.uint64), set()
         for batch in batches:
             at = batch.column("row_hash").to_numpy(zero_copy_only=False) & mask
             hit = (have[at >> 6] >> (at & 63).astype(np.uint64)) & _U(1) == 1
             for part in common.slices(iter([batch.filter(pa.array(hit))])):
-                rows = [(*identity(s), s.view(np.int64)) for s in sets_of(part, size) if s.size]
+                rows = {identity(s): s.view(np.int64) for s in sets_of(part, size) if s.size}
+                rows = [(*name, s) for name, s in rows.items() if name not in sent]
+                sent.update(row[:2] for row in rows)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
                         zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["c1", "c2", "codes"])
 
     found = (docs.select("text", _row_hash()).mapInArrow(run, "c1 long, c2 long, codes array<long>")
-             .join(wanted.select("c1", "c2").distinct(), ["c1", "c2"]))
+             .join(wanted.select("c1", "c2").distinct(), ["c1", "c2"]).dropDuplicates(["c1", "c2"]))
     return common.staged(found.select(F.struct("c1", "c2").alias("id"), "codes"), "sets")
 
 
@@ -490,7 +495,7 @@ def shared_codes(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
 def _block_links(by_class: DataFrame, docs: DataFrame, size: int, percent: int, counts: bool) -> DataFrame:
     """All links between classes: as pairs (a, b, n_shared), or (class, linked), the documents linked in one block pair."""
     linked = by_class.join(by_class.groupBy("root").agg(F.count("*").alias("of")).where("of > 1"), "root", "left_semi")
-    found = _sets(linked.select("c1", "c2", F.col("row_hash").alias("h")), docs, size).dropDuplicates(["id"])
+    found = _sets(linked.select("c1", "c2", F.col("row_hash").alias("h")), docs, size)
     # only components of several blocks come to all tasks
     blocks = (linked.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / LINK_BLOCK, F.sum("n") / LINK_SHINGLES)).cast("int").alias("blocks"))
               .where("blocks > 1"))
