@@ -433,3 +433,18 @@ def test_pipeline_stages_take_odd_and_empty_tables(spark, odd, none):
             out = stage(spark, docs, SF_SMALL)
             assert out.columns == docs.columns and out.count() <= docs.count()
         corpus_pipeline.packed(spark, docs, SF_SMALL).count()
+
+
+def test_temporal_lists_of_deep_prefixes_and_user_names(spark):
+    """A prefix of any depth decides, the longest first; the host is what follows the user name."""
+    pages = ["http://h.example/a/b/c/x", "http://h.example/a/b/c/d/e/x", "http://h.example/a/b/x", "http://bob@h.example/a/b/c/x",
+             "http://bob:p@ss@h.example:80/", "http://bob@/x", "http://h.example?q=me@other.example"]
+    captures = spark.createDataFrame([(k, u, 10) for k, u in enumerate(pages)], "page_id long, url string, fetch_time long")
+    entries = spark.createDataFrame([("prefix", "h.example/a/b/c/", 0, "block", 0), ("prefix", "h.example/a/b/c/d/e/", 0, "allow", 0),
+                                     ("host", "h.example", 0, "allow", 0), ("host", "bob", 0, "block", 0)],
+                                    "kind string, pattern string, effective long, action string, seq long")
+    got = {r["page_id"]: (r["host"], r["verdict"], r["rule_pattern"]) for r in url_lists.judge(captures, entries).collect()}
+    deep, host = ("h.example", "block", "h.example/a/b/c/"), ("h.example", "allow", "h.example")
+    assert got == {0: deep, 1: ("h.example", "allow", "h.example/a/b/c/d/e/"), 2: host, 3: deep, 4: host, 5: ("", "unlisted", None), 6: host}
+    none = url_lists.judge(captures, entries.where("kind = 'host'")).collect()
+    assert {r["verdict"] for r in none if r["host"]} == {"allow"}

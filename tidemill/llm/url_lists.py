@@ -4,15 +4,16 @@ A list is a log of dated entries ``(kind, pattern, effective, action, seq)``: ``
 (a registered domain or any parent of a host), ``host`` or ``prefix`` (host plus leading path
 segments); ``action`` is ``block``, ``allow`` or ``remove``. ``validity`` turns the log into
 half-open intervals, of two entries with one date the larger ``seq`` wins. ``judge`` looks every
-capture's keys up as of its fetch time; the most specific active entry decides (prefix, then host,
-then the longest domain).
+capture's keys up as of its fetch time; the most specific active entry decides (the longest
+prefix, then host, then the longest domain). Prefix keys are made for every depth that the list names.
 
 Scale: intervals are cut into time slices, so the join's key is (kind, pattern, slice) and a host or
 domain with a third of all captures, or with a very long history, is spread over the slices and split
 further by the skew-join rule; each capture and key meets at most one interval. Only built-in
 functions run.
 
-Defined cases: a null or unparsable URL has no keys and is ``unlisted``; a null fetch time matches
+Defined cases: a null or unparsable URL has no keys and is ``unlisted``; user
+names and ports are not part of the host; a null fetch time matches
 nothing; entries with a null pattern, date or action are ignored; repeated captures are judged each
 on its own; an empty list leaves every capture ``unlisted``. Extra columns of the captures are not
 carried.
@@ -25,10 +26,8 @@ from pyspark.sql import functions as F
 
 #: Seconds in one time slice.
 SLICE = 30 * 86_400
-_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)"
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?+([^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)"
-#: Leading path segments that a prefix entry may name.
-PREFIX_SEGMENTS = 2
 
 
 def validity(entries: DataFrame, slice_seconds: int = SLICE) -> DataFrame:
@@ -50,14 +49,21 @@ def validity(entries: DataFrame, slice_seconds: int = SLICE) -> DataFrame:
                     F.coalesce("next_in", "next_head").alias("valid_to")))
 
 
-def keys_of(captures: DataFrame) -> DataFrame:
-    """Every capture once for each key that a list entry could name; ``level`` grows with specificity."""
+def prefix_depths(entries: DataFrame) -> list[int]:
+    """The numbers of path segments that the list's prefix entries name."""
+    found = (entries.where("kind = 'prefix' and pattern like '%/'")
+             .select((F.size(F.split("pattern", "/")) - 2).alias("depth")).where("depth > 0").distinct())
+    return sorted(r["depth"] for r in found.collect())
+
+
+def keys_of(captures: DataFrame, depths: list[int]) -> DataFrame:
+    """Every capture once for each key that a list entry could name, prefixes of the ``depths``; ``level`` grows with specificity."""
     host = F.lower(F.regexp_extract("url", _HOST, 1))
     labels = F.split("host", r"\.")
     path = F.split(F.regexp_extract("url", _PATH, 1), "/")
     domains = F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(labels))), lambda n: F.struct(
         F.lit("domain").alias("kind"), F.array_join(F.slice(labels, -n, n), ".").alias("pattern"), n.cast("int").alias("level")))
-    prefixes = F.transform(F.sequence(F.lit(1), F.lit(PREFIX_SEGMENTS)), lambda n: F.struct(
+    prefixes = F.transform(F.array(*map(F.lit, depths)).cast("array<int>"), lambda n: F.struct(
         F.lit("prefix").alias("kind"),
         F.concat(F.col("host"), F.lit("/"), F.array_join(F.slice(path, F.lit(1), n), "/"), F.lit("/")).alias("pattern"),
         (n + 1000).cast("int").alias("level")))
@@ -84,7 +90,7 @@ def judge(captures: DataFrame, entries: DataFrame, slice_seconds: int = SLICE) -
     spans = (spans.where((F.col("valid_from") <= high) & (F.col("valid_to").isNull() | (F.col("valid_to") > low)))
              .withColumn("part", F.explode(F.sequence(
                  part(F.greatest("valid_from", F.lit(low))), part(F.least(F.coalesce(F.col("valid_to") - 1, F.lit(high)), F.lit(high)))))))
-    asked = keys_of(captures).withColumn("part", part(F.col("fetch_time")))
+    asked = keys_of(captures, prefix_depths(entries)).withColumn("part", part(F.col("fetch_time")))
     hits = (asked.join(spans, ["kind", "pattern", "part"], "left")
             .withColumn("hit", F.when((F.col("valid_from") <= F.col("fetch_time"))
                                       & (F.col("valid_to").isNull() | (F.col("fetch_time") < F.col("valid_to"))),
