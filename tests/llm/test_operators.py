@@ -161,6 +161,16 @@ def test_shared_codes():
     assert (ngram_join.shared_codes(one, two) == np.array(want)).all()
 
 
+def test_one_of_each_judges_rows_of_one_id_apart(spark):
+    """Of a repeated id the copy of a smaller one goes and the unrelated texts stay, repeated rows once."""
+    text = lambda k: " ".join(f"{k}w{j}" for j in range(50))
+    rows = [(1, text(k), k) for k in range(5)] + [(9, text(k), k) for k in range(20)] + [(4, text(30), 30)] * 7 + [(4, " ", 31), (4, "", 32), (None, text(0), 33)]
+    got = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, k int").repartition(3)).collect()
+    want = Counter([(1, k) for k in range(5)] + [(9, k) for k in range(5, 20)] + [(4, 30), (None, 33)])
+    assert Counter((r["doc_id"], r["k"]) for r in got if r["k"] not in (31, 32)) == want
+    assert sum(r["k"] in (31, 32) for r in got) == 1 and list(got[0].asDict()) == ["doc_id", "text", "k"]
+
+
 def test_count_trees_lose_no_pair():
     rng = np.random.default_rng(1)
     points = rng.poisson(3, size=(300, 8))

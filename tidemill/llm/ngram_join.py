@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import common
@@ -101,7 +101,7 @@ def unfolded(points: np.ndarray) -> np.ndarray:
 
 def _first_pass(docs: DataFrame, size: int) -> DataFrame:
     """A row per document (``slot`` -1) and the task's shingle counts in ``SKETCH_ROWS`` rows."""
-    names = ["slot", "doc_id", "n", "c1", "c2", "counts"]
+    names = ["slot", "doc_id", "n", "c1", "c2", "row_hash", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
@@ -114,13 +114,13 @@ def _first_pass(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 pa.array([-1] * len(sets), pa.int32()), part.column("doc_id").cast(pa.int64()),
                 pa.array([s.size for s in sets], pa.int64()), pa.array([a for a, _ in ids], pa.int64()),
-                pa.array([b for _, b in ids], pa.int64()), pa.nulls(len(sets), pa.binary())], names=names)
+                pa.array([b for _, b in ids], pa.int64()), part.column("row_hash"), pa.nulls(len(sets), pa.binary())], names=names)
         cut = np.split(counts, SKETCH_ROWS)
         nothing = pa.nulls(SKETCH_ROWS, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_ROWS), pa.int32()), nothing, nothing, nothing, nothing,
+        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_ROWS), pa.int32()), nothing, nothing, nothing, nothing, nothing,
                                           pa.array([c.tobytes() for c in cut], pa.binary())], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "slot int, doc_id long, n long, c1 long, c2 long, counts binary")
+    return docs.select("doc_id", "text", _row_hash()).mapInArrow(run, "slot int, doc_id long, n long, c1 long, c2 long, row_hash long, counts binary")
 
 
 def _sketch(first: DataFrame) -> np.ndarray:
@@ -409,9 +409,9 @@ def _group_pairs(table: pa.Table, names: tuple[str, ...], percent: int) -> pa.Re
 
 
 def _connected(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The documents (doc_id, n, c1, c2), the classes, and (node, root) of the classes that have a link."""
+    """The documents (doc_id, n, c1, c2, row_hash), the classes, and (node, root) of the classes that have a link."""
     first = common.staged(_first_pass(docs, size), "shingle-counts")
-    members = first.where("slot = -1").select("doc_id", "n", "c1", "c2")
+    members = first.where("slot = -1").select("doc_id", "n", "c1", "c2", "row_hash")
     classes = _classes(docs, size, percent, _sketch(first))
     entry = (classes.select("class", F.explode(F.arrays_zip("prefix", "hot")).alias("e"))
              .select(F.col("e.prefix").alias("key"), F.when(F.col("e.hot"), F.pmod(F.col("class"), F.lit(SALTS)) + 1).otherwise(F.lit(0)).cast("int").alias("part"), "class"))
@@ -572,14 +572,21 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataF
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest ``doc_id``.
+    """``docs`` with one row of each component: the smallest by ``doc_id``, then the set's two numbers, then the row's hash.
 
-    Rows that repeat a ``doc_id`` count as one document, of which the first row stays; rows with a null
-    ``doc_id`` are not compared by id and stay.
+    Rows with one ``doc_id`` and different sets are judged apart; without words they are one document. Of
+    rows that repeat ``doc_id`` and text the one with the smallest hash of all columns stays. Rows with a
+    null ``doc_id`` are not compared by id and stay.
     """
     members, classes, roots = _connected(docs, size, percent)
-    keep = (_per_document(members, _of_classes(members, classes, roots))
-            .where("doc_id = component_id").select("doc_id").distinct())
-    once = (docs.join(keep, "doc_id", "left_semi").withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id")))
-            .where("_row = 1").drop("_row"))
-    return once.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    named = members.where("doc_id is not null")
+    of = _of_classes(members, classes, roots).select("c1", "c2", "root")
+    keep = (named.where("n > 0").join(of, ["c1", "c2"]).groupBy("root").agg(F.min(F.struct("doc_id", "c1", "c2", "row_hash")).alias("one"))
+            .select("one.doc_id", "one.row_hash")
+            .unionByName(named.where("n = 0").groupBy("doc_id").agg(F.min("row_hash").alias("row_hash"))))
+    # repeated rows become one in each task before they move
+    whole = (docs.where("doc_id is not null").select("doc_id", _row_hash(), F.struct(*docs.columns).alias("row"))
+             .groupBy("doc_id", "row_hash").agg(F.min_by("row", F.xxhash64("row")).alias("row")))
+    once = whole.join(keep.withColumnRenamed("doc_id", "id").withColumnRenamed("row_hash", "hash"),
+                      (F.col("doc_id") == F.col("id")) & (F.col("row_hash") == F.col("hash")), "left_semi").select("row.*")
+    return once.unionByName(docs.where("doc_id is null"))
