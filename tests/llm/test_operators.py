@@ -285,6 +285,20 @@ def test_fingerprints_estimate_generalised_jaccard(spark, docs):
     assert abs(np.mean(error)) < 0.02 and np.std(error) < 0.08
 
 
+def test_fingerprints_error_on_near_copies(spark):
+    """The standard error is sqrt(J (1 - J) / SAMPLES) at likeness J: near 0.07 at 0.8 and 0.09 at 0.5."""
+    rows = []
+    for k in range(600):
+        own, other = (10, 80) if k % 2 else (30, 60)           # words of one text only, words of both
+        both = [f"s{k}x{j}" for j in range(other)]
+        rows += [(2 * k + side, " ".join(both + [f"u{k}x{side}x{j}" for j in range(own)])) for side in (0, 1)]
+    near = {r["doc_id"]: r["near_next"] for r in fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for odd_, true in ((1, 0.8), (0, 0.5)):
+        got = np.array([near[2 * k + 1] for k in range(600) if k % 2 == odd_])
+        error = (true * (1 - true) / fingerprints.SAMPLES) ** 0.5
+        assert abs(got.mean() - true) < 4 * error / got.size ** 0.5 and 0.85 * error < got.std() < 1.15 * error
+
+
 def tiktoken_ids(texts):
     import tiktoken
     with open(RANK_FILE, "rb") as f:

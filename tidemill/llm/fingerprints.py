@@ -4,6 +4,8 @@ A text's terms are its words, weighted by how often they occur. For every term a
 numbers are drawn from hashes of the term alone: r and c from Gamma(2, 1) and b from (0, 1). A weight w
 gives t = floor(ln w / r + b) and ln a = ln c - r (t - b + 1); the term with the smallest a is the sample,
 and (term, t) is its value. Two texts agree in a sample with the probability sum(min w) / sum(max w).
+With ``SAMPLES`` samples a likeness moves in steps of 1 / SAMPLES and its standard error at a true
+likeness J is sqrt(J (1 - J) / SAMPLES): 0.07 at 0.8 and 0.09 at 0.5 with 32.
 
 Everything is built-in functions. Rows are put in descending ``doc_id`` order by ranges (boundaries are
 quantiles of the ids, at most ``RANGES_PER_PARTITION`` times the shuffle partitions), each range also gets
