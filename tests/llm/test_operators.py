@@ -472,3 +472,33 @@ def test_temporal_lists_of_deep_prefixes_and_user_names(spark):
     assert got == {0: deep, 1: ("h.example", "allow", "h.example/a/b/c/d/e/"), 2: host, 3: deep, 4: host, 5: ("", "unlisted", None), 6: host}
     none = url_lists.judge(captures, entries.where("kind = 'host'")).collect()
     assert {r["verdict"] for r in none if r["host"]} == {"allow"}
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Kept ids of the join, texts of the substring dedup and packed ids, each stage on the rows of the one before."""
+    import corpus_pipeline
+
+    def stage(k, df):
+        return common.staged(corpus_pipeline.STAGES[k][1](spark, df, SF_SMALL), f"brute-{k}")
+
+    first = stage(0, spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    second = stage(1, first)
+    rows = rows_of(first)
+    components = brute_components(rows, corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT)
+    keep = {i for i, _, c in components if i == c}
+    assert len(dict(rows)) == len(rows) and Counter(rows_of(second)) == Counter((i, t) for i, t in rows if i in keep)
+    third, size = stage(2, second), corpus_pipeline.WINDOW
+    words = {i: WORD.findall(t.encode()) for i, t in rows_of(second)}
+    seen = Counter(tuple(w[k:k + size]) for w in words.values() for k in range(len(w) - size + 1))
+    left = {}
+    for i, w in words.items():
+        gone = {j for k in range(len(w) - size + 1) if seen[tuple(w[k:k + size])] > 1 for j in range(k, k + size)}
+        left[i] = [x for k, x in enumerate(w) if k not in gone]
+    texts = rows_of(third)
+    assert len(texts) == len(left) and {i: WORD.findall(t.encode()) for i, t in texts} == left
+    ids = {i: np.append(x, 0).astype("<u4").tolist() for (i, _), x in zip(texts, tiktoken_ids([t for _, t in texts]))}
+    got = {}
+    for r in stage(3, third).orderBy("doc_id", "start").collect():
+        assert r["start"] == len(got.setdefault(r["doc_id"], []))
+        got[r["doc_id"]] += list(r["ids"])
+    assert got == ids
