@@ -109,11 +109,11 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return np.frombuffer(raw.tobytes().lower(), dtype=np.uint8)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
-    """Split every text into words and hash each (64 bits, by its bytes alone)."""
+def words(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> Words:
+    """Split every text into words and hash each (64 bits, by its bytes alone); ``gap`` marks the bytes between."""
     n = raw.size
     solid = np.zeros(n + 1, dtype=bool)
-    np.logical_not(SPACE[raw], out=solid[:n])
+    np.logical_not(gap[raw], out=solid[:n])
     first = np.zeros(n + 1, dtype=bool)          # a text begins here: no word crosses it
     first[offsets] = True
     before = np.zeros(n + 1, dtype=bool)

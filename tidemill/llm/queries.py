@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, bwt_repeats, fingerprints, ngram_join, packing, quality, repeats, sharding, url_lists, warc
+from tidemill.llm import (bpe, bwt_repeats, fingerprints, inner_products, lexical, ngram_join, packing, quality, repeats, sharding,
+                          spelling, url_lists, warc)
 from tidemill.llm.common import table
 from tidemill.llm.tokenizers import PATTERN, RANK_FILE, TOKENIZER_FILE
 
@@ -125,6 +126,91 @@ SELECT page_id, url, host, fetch_time, coalesce(action, 'unlisted') AS verdict,
 FROM cap LEFT JOIN (SELECT * FROM hits WHERE best = 1) USING (capture)
 """
 
+
+def op11_norm_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+"""
+
+
+def op12_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.search(lexical.index(docs), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+OP12_SQL = r"""
+WITH words AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT row_number() OVER () AS d, doc_id, text FROM documents)),
+postings AS (SELECT d, any_value(doc_id) AS doc_id, t, count(*) AS tf FROM words GROUP BY d, t),
+docs AS (SELECT d, sum(tf)::BIGINT AS n FROM postings GROUP BY d),
+total AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM docs),
+weight AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+           FROM (SELECT t, count(*) AS df FROM postings GROUP BY t), total),
+items AS (
+  SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+asked AS (SELECT i, any_value(item_id) AS item_id, t, count(*) AS repeats FROM items GROUP BY i, t),
+scored AS (
+  SELECT i, any_value(item_id) AS item_id, d, any_value(p.doc_id) AS doc_id,
+         sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN postings p USING (t) JOIN weight USING (t) JOIN docs USING (d), total GROUP BY i, d)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
+
+def op13_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE byte_codes AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b::BIGINT) ORDER BY b) AS codes
+  FROM range(256) r(b)),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT row_number() OVER () AS d, doc_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents) WHERE length(run) >= 6 GROUP BY doc_id, run),
+digested AS (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(list_transform(range(octet_length(s)), lambda k: ('0x' || substr(hex(s), 2 * k + 1, 2))::BIGINT),
+         lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS h
+  FROM (SELECT run, n, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS s FROM runs), byte_codes),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+    FROM digested) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (
+  SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS n_other FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.k = b.k WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(less := -n_other, form := other)) AS best FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, CASE WHEN -best.less >= 5 * n THEN best.form END AS form, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+chain(word, root, step) AS (
+  SELECT word, word, 0 FROM formed UNION ALL
+  SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -142,11 +228,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bwt_merge": op8_bwt_merge,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_temporal_lists": op10_temporal_lists,
+    "op11_norm_sorted": op11_norm_sorted,
+    "op12_max_sketches": op12_max_sketches,
+    "op13_reduced_alphabet": op13_reduced_alphabet,
     "pipeline": pipeline,
 }
 
 #: Not expressible: op1 (a fitted chain), op6 (an online placement), op7 (BPE), op9 (probed boundaries).
-ORACLES: dict[str, str] = {"op10_temporal_lists": OP10_SQL}
+ORACLES: dict[str, str] = {"op10_temporal_lists": OP10_SQL, "op11_norm_sorted": OP11_SQL, "op12_max_sketches": OP12_SQL,
+                           "op13_reduced_alphabet": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
