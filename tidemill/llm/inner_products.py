@@ -283,8 +283,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
                              "vec_id": ids.take(pa.array(c, pa.int64())), "score": pa.array(s, pa.int64())})
 
         asking = cells.join(seeded.select("grp", "rows", "ids", "ints", "beat", "beat_id"), "grp").repartition(parts, "grp", "stripe")
-        asked_of = cells.join(stripes.select("stripe", "rows", "ids", "ints"), "stripe").repartition(parts, "grp", "stripe")
-        found = found.unionByName(asking.groupBy("grp", "stripe").cogroup(asked_of.groupBy("grp", "stripe")).applyInArrow(cell, out))
+        asked_of = (cells.join(stripes.select("stripe", "rows", "ids", "ints"), "stripe")
+                    .select(F.col("grp").alias("of_grp"), F.col("stripe").alias("of_stripe"), "rows", "ids", "ints").repartition(parts, "of_grp", "of_stripe"))
+        found = found.unionByName(asking.groupBy("grp", "stripe").cogroup(asked_of.groupBy("of_grp", "of_stripe")).applyInArrow(cell, out))
 
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
