@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tests.conftest import SF_SMALL
 from tidemill.operators import partitions as P
@@ -76,7 +77,7 @@ def test_outcome_sink_splits_dead_letters(spark, tmp_path):
     spark.createDataFrame(rows, "event_id string, arrival_seq long, stream string, event_type string, "
                                 "client_id string, event_ts timestamp_ntz, data string").write.parquet(src)
     from tidemill.sources.messages import MESSAGE_SCHEMA
-    stream = spark.readStream.schema(MESSAGE_SCHEMA.add("stream", "string")).parquet(src)
+    stream = spark.readStream.schema(StructType([*MESSAGE_SCHEMA.fields, StructField("stream", StringType())])).parquet(src)
     ok_path, dead_path = str(tmp_path / "ok"), str(tmp_path / "dead")
     sink = outcome_sink(ok_path, dead_path, F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz"))
     from tidemill.streaming.runner import run_available
@@ -116,3 +117,54 @@ def test_client_versions_compaction(spark, tmp_path):
     last = CS.compact(spark, out, str(tmp_path / "base"))
     after = {tuple(r) for r in CS.read_current(spark, out, str(tmp_path / "base"), last).collect()}
     assert before == after and len(before) > 0
+
+
+
+
+def test_retries_wait_for_their_time_and_end(spark, tmp_path):
+    """Backoff by the batches' clock, give-up, a fatal failure, an empty batch, a repeated batch."""
+    from tidemill.streaming import redelivery as RD
+    from tidemill.streaming import sinks as SK
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    schema = "event_id string, arrival_seq long, event_ts timestamp_ntz"
+    open_from = {"a": 0, "b": 3, "c": 99, "d": -1}           # hour from which the handler succeeds; -1 never, fatal
+
+    def handle(rows, batch_id):
+        hour = batch_id * 2                                  # batch n arrives at hour 2n
+        known = spark.createDataFrame(list(open_from.items()), "event_id string, since int")
+        return (rows.join(F.broadcast(known), "event_id", "left").withColumn("result", F.when(F.col("since") < 0, RD.FATAL)
+                .when(F.coalesce("since", F.lit(0)) <= hour, RD.OK).otherwise(RD.RETRY)).withColumn("reason", F.lit("closed")).select(*rows.columns, "result", "reason"))
+
+    path, tried = str(tmp_path / "deliveries"), []
+    sink = RD.retry_sink(path, lambda rows, n: tried.append((n, sorted(r[0] for r in rows.select("event_id").collect()))) or handle(rows, n), 3, 3600)
+    SK_query, RD.query_id = RD.query_id, lambda batch: "q"
+    try:
+        batches = [[("a", 1, at(0)), ("b", 2, at(0)), ("c", 3, at(0)), ("d", 4, at(0))], [("e", 5, at(2))], [], [("f", 6, at(6)), ("c", 3, at(0))]]
+        for n, rows in enumerate(batches):
+            for _ in range(2 if n == 1 else 1):
+                sink(spark.createDataFrame(rows, schema), n)
+    finally:
+        RD.query_id = SK_query
+    assert tried == [(0, ["a", "b", "c", "d"]), (1, ["b", "c", "e"]), (1, ["b", "c", "e"]), (3, ["b", "c", "f"])]
+    state = {r.event_id: (r.status, r.attempts, r.reason) for r in RD.delivery_state(spark, path).collect()}
+    assert state == {"a": ("acked", 1, "closed"), "b": ("acked", 3, "closed"), "c": ("dead", 3, "retries_exhausted: closed"),
+                     "d": ("dead", 1, "closed"), "e": ("acked", 1, "closed"), "f": ("acked", 1, "closed")}
+    assert RD.pending_now(spark, path).count() == 0
+    assert SK.read_batches(spark, str(tmp_path / "nothing")) is None
+
+
+def test_a_new_checkpoint_keeps_older_outcomes(spark, tmp_path):
+    """Both queries write their batch 0; neither replaces the other's rows."""
+    from tidemill.sources.messages import MESSAGE_SCHEMA
+    from tidemill.streaming.messages_stream import outcome_sink
+    from tidemill.streaming.runner import run_available
+    schema = StructType([*MESSAGE_SCHEMA.fields, StructField("stream", StringType())])
+    ok, dead = str(tmp_path / "ok"), str(tmp_path / "dead")
+    sink = outcome_sink(ok, dead, F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz"))
+    for n in (1, 2):
+        src = str(tmp_path / f"src{n}")
+        rows = [(str(n * 10 + k), k, "sales_updated", "00000000-0000-4000-8000-000000000001" if k else "bad", dt.datetime(2024, 1, 1), "{}", "s") for k in (0, 1)]
+        spark.createDataFrame(rows, schema).write.parquet(src)
+        run_available(spark.readStream.schema(schema).parquet(src).writeStream.foreachBatch(sink), str(tmp_path / f"ckpt{n}"))
+    assert sorted(r.event_id for r in spark.read.parquet(ok).collect()) == ["11", "21"]
+    assert sorted(r.event_id for r in spark.read.parquet(dead).collect()) == ["10", "20"]

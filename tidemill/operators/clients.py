@@ -110,14 +110,15 @@ def client_rows(norm: DataFrame, as_of: Column) -> DataFrame:
                          [*[fields[c].alias(c) for c in CLIENT_COLUMNS], err.alias("error")])
 
 
-def clients_upsert(rows: DataFrame) -> DataFrame:
+def clients_upsert(rows: DataFrame, with_seq: bool = False) -> DataFrame:
     """Fold full-state rows by id: the last arrival wins, ``created_at`` stays from the first.
 
     Only rows without error take part (a failed message never reached the
     table). They are selected inside the aggregation (``max_by``/``min_by``
     skip rows whose ordering value is null), not by a filter on the derived
     error column, which the optimizer would push below the decode and
-    evaluate twice. ``features_enabled`` is kept as compact JSON text.
+    evaluate twice. ``features_enabled`` is kept as compact JSON text. With ``with_seq`` the arrivals of
+    the first and the last row are kept too, which orders rows of separate folds.
     """
     last_fields = [c for c in CLIENT_COLUMNS if c not in ("id", "created_at")]
     ok_seq = F.when(F.col("error").isNull(), F.col("arrival_seq"))
@@ -125,9 +126,11 @@ def clients_upsert(rows: DataFrame) -> DataFrame:
     folded = (r.groupBy("id")
                .agg(F.max_by(F.struct(*last_fields), ok_seq).alias("l"),
                     F.min_by(F.col("created_at"), ok_seq).alias("created_at"),
-                    F.count(ok_seq).alias("n_events"))
+                    F.count(ok_seq).alias("n_events"),
+                    *([F.min(ok_seq).alias("first_seq"), F.max(ok_seq).alias("last_seq")] if with_seq else []))
                .filter(F.col("n_events") > 0))
-    return folded.select("id", *[F.col(f"l.{c}").alias(c) for c in last_fields], "created_at", "n_events")
+    return folded.select("id", *[F.col(f"l.{c}").alias(c) for c in last_fields], "created_at", "n_events",
+                         *(["first_seq", "last_seq"] if with_seq else []))
 
 
 def enabled_features(rows: DataFrame) -> DataFrame:

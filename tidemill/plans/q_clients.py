@@ -123,11 +123,14 @@ def q_clients_with_feature(spark, sf_dir):
     return CL.clients_with_feature(fx.clients(spark, sf_dir), "forecast")
 
 
-@register("sales_enriched", sql=with_views(f"""
+ENRICHED_SQL = with_views(f"""
 with {norm_with(SALES_SQL.strip(), ROWS_SQL.strip(), FOLD_SQL.strip())}
 select s.event_id, s.client_id, s.table_name, s.record_count,
   coalesce(f.name, 'unknown') as client_name, coalesce(f.status, 'not_found') as client_status
-from sales_n s left join clients_fold f on f.id = lower(s.client_id)""", "raw_messages"))
+from sales_n s left join clients_fold f on f.id = lower(s.client_id)""", "raw_messages")
+
+
+@register("sales_enriched", sql=ENRICHED_SQL)
 def q_sales_enriched(spark, sf_dir):
     raw = fx.raw_messages(spark, sf_dir)
     clients = CL.clients_upsert(_rows(spark, sf_dir, raw))

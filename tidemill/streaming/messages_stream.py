@@ -4,8 +4,8 @@
   (``dropDuplicatesWithinWatermark``) before additive sinks; the client fold
   itself is idempotent and needs no dedup.
 * ``outcome_sink``: each micro-batch is decoded once, cached for the batch,
-  and written to two tables: acknowledged outcomes and dead letters, partitioned by batch, so a
-  retried batch replaces its own rows.
+  and written to two tables: acknowledged outcomes and dead letters, by query and batch, so that a
+  retried batch replaces its own rows and a new checkpoint leaves older ones alone.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import clients as CL
 from tidemill.operators import messages as MS
+from tidemill.streaming.sinks import query_id, write_batch
 
 
 def dedup_stream(raw_messages: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -35,10 +36,9 @@ def outcome_sink(outcomes_path: str, dead_path: str, as_of: Column):
         norm = MS.normalise_messages(batch).persist()
         try:
             _, err = CL.client_fields(F.col("p"), as_of)
-            out = MS.message_outcomes(norm, err).withColumn("batch", F.lit(batch_id))
+            out = MS.message_outcomes(norm, err)
             for rows, path in ((F.col("outcome") != "failed", outcomes_path), (F.col("outcome") == "failed", dead_path)):
-                (out.filter(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch").parquet(path))
+                write_batch(out.filter(rows), path, query_id(batch), batch_id)
         finally:
             norm.unpersist()
     return sink
