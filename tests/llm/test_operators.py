@@ -143,6 +143,38 @@ def test_ngram_join_counts_every_link(spark, odd, none, monkeypatch, block):
     assert ngram_join.links(none).count() == 0
 
 
+def test_links_come_from_the_trees(monkeypatch):
+    """All links inside and between blocks; with the trees' pairs thrown away none is left."""
+    rng = np.random.default_rng(9)
+    base = [np.unique(rng.integers(0, 1 << 60, 200).astype(np.uint64)) for _ in range(12)]
+    sets = [np.unique(np.concatenate((b[rng.random(b.size) > 0.06], rng.integers(0, 1 << 60, 4).astype(np.uint64)))) for b in base for _ in range(10)]
+    want = [[100 * (k := np.intersect1d(a, b).size) >= 85 * (a.size + b.size - k) and i != j for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+
+    def linked(one, two):
+        out = np.zeros((120, 120), bool)
+        one, two, link, _ = ngram_join.tree_links(sets, one, two, 85)
+        out[np.ix_(one, two)] = link
+        return out
+
+    every, half = np.arange(120), np.arange(50)
+    assert (linked(every, every) == want).all() and np.sum(want) > 100
+    assert (linked(half, every[50:])[:50, 50:] == np.array(want)[:50, 50:]).all()
+    monkeypatch.setattr(ngram_join.CountTree, "join", lambda self, other, percent: (np.zeros(0, np.int64),) * 2)
+    assert not linked(every, every).any()
+
+
+def test_fine_bounds_lose_no_overlap():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 60, rng.integers(1, 3000)).astype(np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(a.size) < 0.8], rng.integers(0, 1 << 60, rng.integers(1, 1500)).astype(np.uint64))))
+        assert np.intersect1d(a, b).size <= ngram_join.overlap_bound(ngram_join.fine_point(a), ngram_join.fine_point(b))
+    one = (np.arange(400, dtype=np.uint64) << np.uint64(40))       # all tokens in one group: a full count bounds nothing
+    assert ngram_join.overlap_bound(ngram_join.fine_point(one), ngram_join.fine_point(one)) >= 400
+    far = [ngram_join.overlap_bound(*(ngram_join.fine_point(rng.integers(0, 1 << 60, 20_000).astype(np.uint64)) for _ in "ab")) for _ in range(5)]
+    assert max(far) < 0.8 * 20_000                                 # unrelated large sets stay apart
+
+
 def test_sets_of_repeated_rows_come_once(spark, docs):
     """Repeated rows, inside a task and across tasks, and every row a hit of the filter."""
     some = docs.limit(20).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("k")

@@ -18,8 +18,8 @@ shingle form a group:
 Nothing is capped: a pair is left out of this only if it shares no prefix shingle, fails the bound, or
 its ends are already known to be connected, so the components are exact. Every link lies inside a
 component; ``join`` counts them all and ``links`` gives them out: a component's classes are cut into
-blocks, and each pair of blocks is held against each other on the full sets. Counting gives a row a
-class and block pair, never a row a link.
+blocks, and the trees of each pair of blocks are joined and the surviving pairs verified on the full
+sets. Counting gives a row a class and block pair, never a row a link.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; fewer words
 than a shingle make one shingle; equal texts, and repeated rows, are one class; a null ``doc_id`` never
@@ -94,6 +94,23 @@ def points_of(codes: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     return np.minimum(counts, MOST).astype(np.int16)
 
 
+def fine_point(codes: np.ndarray) -> bytes:
+    """The set's counts over about half as many token groups as it has tokens, one byte each; 255 bounds nothing."""
+    dims = 1 << max(6, (codes.size // 2).bit_length())
+    counts = np.bincount((codes >> _U(16)).astype(np.int64) & (dims - 1), minlength=dims)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """The most tokens two sets can share, by the summed minima of their fine counts."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(x.size, y.size)
+    if (x == 255).any() or (y == 255).any():
+        x, y = (np.where(v == 255, 1 << 30, v.astype(np.int64)) for v in (x, y))
+    x, y = (v.reshape(-1, size).sum(axis=0, dtype=np.int64) for v in (x, y))     # token groups modulo the smaller number
+    return int(np.minimum(x, y).sum())
+
+
 def unfolded(points: np.ndarray) -> np.ndarray:
     """Counts to compute with: a full coordinate bounds nothing."""
     return np.where(points == MOST, 1 << 30, points.astype(np.int64))
@@ -154,7 +171,7 @@ def _classes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> Da
     weight = np.zeros(counts.size, np.uint8)
     weight[counts > 0] = np.log2(counts[counts > 0]).astype(np.uint8) + 1
     shared = docs.sparkSession.sparkContext.broadcast((weight, (counts << HOT_BITS) > total + (64 << HOT_BITS)))
-    schema = "n long, c1 long, c2 long, row_hash long, point array<smallint>, prefix array<long>, hot array<boolean>"
+    schema = "n long, c1 long, c2 long, row_hash long, point array<smallint>, fine binary, prefix array<long>, hot array<boolean>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, hot = shared.value
@@ -166,9 +183,9 @@ def _classes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> Da
                 if n:
                     cell = (codes & mask).astype(np.int64)
                     order = np.argsort(weights[cell], kind="stable")[:n - -(-percent * n // 100) + 1]
-                    rows.append((n, *identity(codes), row_hash, points_of(codes), codes[order].view(np.int64), hot[cell[order]]))
+                    rows.append((n, *identity(codes), row_hash, points_of(codes), fine_point(codes), codes[order].view(np.int64), hot[cell[order]]))
             if rows:
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.int16()), pa.list_(pa.int64()), pa.list_(pa.bool_())]
+                kinds = [pa.int64()] * 4 + [pa.list_(pa.int16()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                                  names=[c.split()[0] for c in schema.split(", ")])
 
@@ -237,14 +254,36 @@ def _sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     return common.staged(found.select(F.struct("c1", "c2").alias("id"), "codes"), "sets")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold; the bound on points goes first."""
-    side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"),
-                                       F.col("point").alias(f"p_{name}"), F.struct("c1", "c2").alias(f"id_{name}"), F.col("row_hash").alias(f"h_{name}"))
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bound reaches the threshold: by the points, then by the fine counts.
+
+    Points of large sets bound little, as every token group holds many tokens; fine counts have about two
+    a group whatever the size, and cost a sixteenth of the sets.
+    """
+    side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("point").alias(f"p_{name}"))
     least = lambda x, y: F.least(x, y).cast("int")
     bound = F.aggregate(F.zip_with("p_a", "p_b", least), F.lit(0), lambda s, x: s + F.when(x == MOST, 1 << 20).otherwise(x))
+    coarse = (pairs.join(side("a"), "a").join(side("b"), "b")
+              .where(100 * bound >= percent * (F.col("n_a") + F.col("n_b") - bound)).select("a", "b", "n_a", "n_b"))
+    fine = lambda name: classes.select(F.col("class").alias(name), F.col("fine").alias(f"f_{name}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = np.array([overlap_bound(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("f_a"), batch.column("f_b"))], np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(most * (100 + percent) >= percent * n))
+
+    both = common.staged(coarse, "coarse-pairs").join(fine("a"), "a").join(fine("b"), "b")
+    return both.select("a", "b", "n_a", "n_b", "f_a", "f_b").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold; the bounds go first."""
+    side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"),
+                                       F.struct("c1", "c2").alias(f"id_{name}"), F.col("row_hash").alias(f"h_{name}"))
     enough = lambda common_: 100 * common_ >= percent * (F.col("n_a") + F.col("n_b") - common_)
-    asked = common.staged(pairs.join(side("a"), "a").join(side("b"), "b").where(enough(bound))
+    left_over = common.staged(_bounded(pairs, classes, percent), "bounded-pairs")
+    asked = common.staged(left_over.join(side("a"), "a").join(side("b"), "b")
                           .select("a", "b", "n_a", "n_b", "id_a", "id_b", "h_a", "h_b"), "pairs")
     found = _sets(asked.select(F.explode(F.array(*[F.struct(F.col(f"id_{s}.c1"), F.col(f"id_{s}.c2"), F.col(f"h_{s}").alias("h"))
                                                    for s in "ab"])).alias("c")).select("c.*"), docs, size)
@@ -492,6 +531,23 @@ def shared_codes(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def tree_links(sets: list[np.ndarray], one: np.ndarray, two: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """(one, two, link, shared): the sets ``one`` and ``two`` (positions) with a surviving pair, which pairs link, and
+    what they share.
+
+    The trees over both sides' points are joined; only the surviving pairs are verified on the sets.
+    """
+    n = np.array([s.size for s in sets])
+    points = unfolded(np.stack([points_of(s) for s in sets])).reshape(len(sets), -1, FOLD).sum(2)
+    x, y = CountTree(points[one], n[one]).join(CountTree(points[two], n[two]), percent)
+    asked = np.zeros((one.size, two.size), bool)
+    asked[x, y] = True
+    some, others = np.flatnonzero(asked.any(axis=1)), np.flatnonzero(asked.any(axis=0))
+    one, two, asked = one[some], two[others], asked[np.ix_(some, others)]
+    both = shared_codes([sets[k] for k in one], [sets[k] for k in two]) if some.size else np.zeros(asked.shape, np.int64)
+    return one, two, asked & (100 * both >= percent * (n[one][:, None] + n[two] - both)) & (one[:, None] != two), both
+
+
 def _block_links(by_class: DataFrame, docs: DataFrame, size: int, percent: int, counts: bool) -> DataFrame:
     """All links between classes: as pairs (a, b, n_shared), or (class, linked), the documents linked in one block pair."""
     linked = by_class.join(by_class.groupBy("root").agg(F.count("*").alias("of")).where("of > 1"), "root", "left_semi")
@@ -509,17 +565,15 @@ def _block_links(by_class: DataFrame, docs: DataFrame, size: int, percent: int,
         one, two = np.flatnonzero(own == low), np.flatnonzero(own == high)
         if not one.size or not two.size:
             return
-        both = shared_codes([sets[k] for k in one], [sets[k] for k in two])
-        n = np.array([s.size for s in sets])
-        link = 100 * both >= percent * (n[one][:, None] + n[two] - both)
-        if low == high:
-            np.fill_diagonal(link, False)
+        one, two, link, both = tree_links(sets, one, two, percent)
+        if not link.any():
+            return
         if counts:
             yield cls[one], link @ copies[two]
             if low != high:
                 yield cls[two], copies[one] @ link
         else:
-            x, y = np.nonzero(np.triu(link) if low == high else link)
+            x, y = np.nonzero(link & (one[:, None] < two) if low == high else link)
             yield cls[one[x]], cls[two[y]], both[x, y]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
