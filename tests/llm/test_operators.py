@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -9,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -407,6 +409,32 @@ def test_packing(spark, odd, none):
     assert packing.pack(none, TOKENIZER_FILE, PATTERN).count() == 0
 
 
+def test_ranks_give_the_tokenizers_ids():
+    """Every token of the vocabulary, random bytes' text, and pieces on both sides of the length that changes the path."""
+    from tokenizers import Tokenizer
+    content = open(TOKENIZER_FILE, encoding="utf-8").read()
+    tokenizer = Tokenizer.from_file(TOKENIZER_FILE)
+    rng = random.Random(12)
+    pieces = [t for raw in packing.byte_ranks(content) if (t := raw.decode("utf-8", "ignore")) and len(regex.findall(PATTERN, t)) == 1]
+    pieces += ["".join(rng.choice("abeèö日") for _ in range(n)) for n in (1, 2, 9, 84, 85, 86, 256, 257, 3000) for _ in range(20)]
+    want = [packing.packed(e.ids) for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    assert packing.piece_encoder(content)(pieces) == want and len(pieces) > 40_000
+    shuffled = json.loads(content)
+    shuffled["model"]["merges"][:2] = shuffled["model"]["merges"][1::-1]
+    assert packing.byte_ranks(json.dumps(shuffled)) is None
+
+
+def test_texts_without_spaces_are_not_cached():
+    """Long runs take the path by the pattern; the cache holds none of them; another pattern gives its own cuts."""
+    encode = lambda pieces: [packing.packed(list(p.encode())) for p in pieces]
+    texts = ["日本語" * 2000, "x" * 5000 + " short word.", "QUJD" * 900 + "==", "plain words only."]
+    cache = RunCache(PATTERN, encode)
+    assert cache.encode(texts) == encode(texts) == cache.encode(texts)
+    assert max(map(len, cache._runs)) <= 128
+    odd = RunCache(r"[aeiou]+|[^aeiou]+", lambda pieces: [packing.packed([len(p)]) for p in pieces])
+    assert odd.encode(["ab cde. e"]) == [packing.packed([1, 3, 1, 2, 1])]
+
+
 def test_sum_of_squares_rule():
     rng = random.Random(4)
     packer = packing.Packer(16)

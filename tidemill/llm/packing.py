@@ -17,6 +17,7 @@ null ``doc_id`` passes through. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from collections import defaultdict
@@ -87,6 +88,28 @@ class Packer:
                     pieces = []
 
 
+#: Longer pre-tokens (bytes) go to the tokenizer itself, whose merging suits any length.
+LONG_PIECE = 256
+
+
+def byte_ranks(tokenizer_json: str) -> dict[bytes, int] | None:
+    """Bytes to id of a byte-level BPE vocabulary whose merges come in the order of their ids, else None.
+
+    There the merge of smallest rank is the one whose result has the smallest id, so ranks alone encode.
+    """
+    model = json.loads(tokenizer_json)["model"]
+    vocab = model.get("vocab")
+    if model.get("type") != "BPE" or not isinstance(vocab, dict) or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]      # bytes that are written as themselves
+    hidden = [b for b in range(256) if b not in set(shown)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if None in merged or any(a >= b for a, b in zip(merged, merged[1:])) or not all(c in byte_of for t in vocab for c in t):
+        return None
+    return {bytes(byte_of[c] for c in token): k for token, k in vocab.items()}
+
+
 def encode_pieces(tokenizer, pieces: list[str]) -> list[bytes]:
     """The packed ids of each pre-token. Those without a line end are encoded as the lines of one text:
     the line end is a pre-token of its own there, so its id marks where each piece's ids stop.
@@ -106,19 +129,40 @@ def encode_pieces(tokenizer, pieces: list[str]) -> list[bytes]:
     return [found[p] for p in pieces]
 
 
+def piece_encoder(tokenizer_json: str):
+    """Function from pre-tokens to the packed ids of each, for a tokenizer file's content."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer.encode_special_tokens = True
+    ranks = byte_ranks(tokenizer_json)
+    if ranks is None:
+        return lambda pieces: encode_pieces(tokenizer, pieces)
+    import tiktoken
+
+    encode = tiktoken.Encoding("ranks", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def run(pieces: list[str]) -> list[bytes]:
+        raw = [p.encode() for p in pieces]
+        found = [packed(encode(r)) if len(r) <= LONG_PIECE else None for r in raw]
+        if None in found:
+            long = [k for k, ids in enumerate(found) if ids is None]
+            for k, ids in zip(long, encode_pieces(tokenizer, [pieces[k] for k in long]), strict=True):
+                found[k] = ids
+        return found
+
+    return run
+
+
 def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """One row per piece: its place in its document and in its sequence, and its ids if asked for."""
     with open(tokenizer_file, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         def fresh() -> RunCache:
-            tokenizer = Tokenizer.from_str(shared.value)
-            tokenizer.encode_special_tokens = True
-            return RunCache(pattern, lambda words: encode_pieces(tokenizer, words))
+            return RunCache(pattern, piece_encoder(shared.value))
 
         cache = kept(("tokenizer", hashlib.sha256(shared.value.encode()).digest(), pattern), fresh)
         packer, rows, base = Packer(length), [], TaskContext.get().partitionId() << 40

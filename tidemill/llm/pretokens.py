@@ -3,7 +3,11 @@
 A run is the text between two single spaces, with the space before it. When a run begins and ends
 with visible characters, no pre-token crosses its ends, so its ids do not depend on its neighbours.
 A text with any other run (double spaces, white space beside a space) is cut by the pattern itself.
-Two generations of at most ``MOST_CACHED`` runs each are kept; results never depend on them.
+Two generations of at most ``MOST_CACHED`` runs each are kept, none longer than ``LONG_RUN`` characters
+(text without spaces, or in a script that writes none, is cut by the pattern), so the cache is bounded
+in bytes; results never depend on it. The shortcuts for letters suit patterns that keep a run of
+letters with the space before it together and full stops and commas apart; with others every text is cut
+by the pattern.
 A Python worker runs one task after another, so its tasks share one cache (``kept``).
 """
 
@@ -17,6 +21,8 @@ import regex
 
 #: Runs that one generation of a task's cache holds.
 MOST_CACHED = 250_000
+#: Longer runs are not cached.
+LONG_RUN = 128
 _FIRST = "\0"                                   # marks a run that no space precedes
 _ENDS = (".", ",")
 
@@ -46,6 +52,7 @@ class RunCache:
     def __init__(self, pattern: str, encode_all: Callable[[list[str]], list[bytes]], most: int = MOST_CACHED):
         self._find = regex.compile(pattern).findall
         self._encode_all, self._most = encode_all, most
+        self._plain = self._find("ab cde, é日 f.") == ["ab", " cde", ",", " é日", " f", "."]
         self._runs: dict[str, bytes | None] = {}
         self._older: dict[str, bytes | None] = {}
         self._pieces: dict[str, bytes] = {}
@@ -82,12 +89,15 @@ class RunCache:
         """The packed ids of each text."""
         cut = []
         for text in texts:
-            runs = text.split(" ") if text and _FIRST not in text else []
+            runs = text.split(" ") if text and self._plain and _FIRST not in text else []
             if runs:
                 runs[0] = _FIRST + runs[0]
             cut.append(runs)
         wanted = set(chain.from_iterable(cut))
         if new := wanted.difference(self._runs):
+            if long := {run for run in new if len(run) > LONG_RUN}:
+                new -= long
+                wanted -= long
             if len(self._runs) + len(new) > self._most:             # a new generation, with all of this call's runs
                 self._older, self._runs, new = self._runs, {}, wanted
             self._learn(new)
@@ -95,7 +105,7 @@ class RunCache:
         for k, (text, runs) in enumerate(zip(texts, cut, strict=True)):
             try:
                 ids = b"".join(map(known, runs)) if runs or not text else None
-            except TypeError:                                   # a run that its neighbours change
+            except (TypeError, KeyError):                       # a run that its neighbours change, or a long one
                 ids = None
             if ids is None:
                 whole[k] = self._find(text)
