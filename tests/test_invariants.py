@@ -131,23 +131,23 @@ def test_per_key_rolling_equals_single_key_runs(spark):
     import random
     rnd = random.Random(11)
     rows, params = [], []
-    settings = [(1, 1, "decay"), (3, 2, "drop"), (7, 1, "fill_zero"), (30, 3, "decay"), (365, 2, "fill_zero"),
-                (5, 1, "drop")]
-    for key, (window, mins, strat) in enumerate(settings):
-        params.append((key, window, mins, strat))
+    settings = [(1, 1, "decay", 0.5), (3, 2, "drop", 0.1), (7, 1, "fill_zero", 1.0), (30, 3, "decay", 0.99), (365, 2, "fill_zero", 0.25),
+                (5, 1, "drop", 1.0), (40, 1, "fill_zero", 0.0), (200, 1, "decay", 0.0), (300, 1, "decay", None)]
+    for key, (window, mins, strat, alpha) in enumerate(settings):
+        params.append((key, window, mins, strat, alpha))
         day = 0
         for _ in range(rnd.randint(3, 30)):
             day += rnd.choice([1, 1, 2, 4, 8, 40])
             rows.append((key, D0 + dt.timedelta(days=day), float(rnd.randint(0, 30))))
     d = spark.createDataFrame(rows, "client_id long, ds date, qty double")
-    p = spark.createDataFrame(params, "client_id long, window_days int, min_samples int, nan_strategy string")
+    p = spark.createDataFrame(params, "client_id long, window_days int, min_samples int, nan_strategy string, alpha double")
     got = {(r.client_id, r.ds): r for r in FE.per_key_rolling(d, ["client_id"], p).collect()}
-    for key, (window, mins, strat) in enumerate(settings):
-        one = FE.rolling_features(d.filter(F.col("client_id") == key), ["client_id"], window, 0.5, mins, strat)
+    for key, (window, mins, strat, alpha) in enumerate(settings):
+        one = FE.rolling_features(d.filter(F.col("client_id") == key), ["client_id"], window, 0.5 if alpha is None else alpha, mins, strat)
         for r in one.collect():
             g = got.pop((r.client_id, r.ds))
             assert (g.qty, g.n_obs) == (r.qty, r.n_obs), (key, r.ds)
-            for f in ("ema", "ma"):
+            for f in ("ema", "ma", "std"):
                 u, v = getattr(g, f), getattr(r, f)
                 assert (u is None) == (v is None) and (u is None or abs(u - v) <= 2e-4), (key, r.ds, f, u, v)
     assert not got

@@ -281,21 +281,29 @@ _UNIT_FRAME = "range between 0.998630137 preceding and current row"
 def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, alpha: float = DEFAULT_ALPHA,
                     default_window: int = DEFAULT_WINDOW_DAYS,
                     default_min_samples: int = DEFAULT_MIN_SAMPLES) -> DataFrame:
-    """EMA/MA/count with per-key ``window_days`` / ``min_samples`` / ``nan_strategy``.
+    """EMA/MA/STD/count with per-key ``window_days`` / ``min_samples`` / ``nan_strategy`` / ``alpha``.
 
-    ``params`` has ``keys, window_days, min_samples, nan_strategy`` (one row per
-    key, already validated; keys without parameters use the defaults and
+    ``params`` has ``keys, window_days, min_samples, nan_strategy`` and maybe ``alpha`` in [0, 1] (one row
+    per key, already validated; keys without parameters, or without an alpha, use the defaults and
     ``decay``). A window spec needs a literal frame, but the window length is
     constant within a key: ordering each key's rows by ``day / W`` maps every
     key's W-day window onto the same frame. The EMA uses the rebased sums of
     ``rolling_features`` on a per-key weight axis (day, or observation rank for
     ``drop``); ``fill_zero`` keys get exit events and dense days as in
-    ``_fill_zero_features``. Requires ``0 < alpha < 1``.
+    ``_fill_zero_features``. The length of an epoch follows from the key's alpha; the number of sums kept
+    apart is that of the largest alpha below 1, found by one aggregate over ``params``. Alpha 1 leaves the
+    day's own value, alpha 0 the mean. STD comes from the frame's centred second moment, joined with the
+    empty days' zeros for ``fill_zero``.
     """
-    if not 0.0 < alpha < 1.0:
-        raise ValueError("per-key rolling needs 0 < alpha < 1")
-    r, epoch, classes = _rebase_plan(alpha, MAX_WINDOW_DAYS)
-    p = params.select(*keys, "window_days", "min_samples", "nan_strategy")
+    if not 0.0 <= alpha <= 1.0:
+        raise ValueError("alpha must be in [0, 1]")
+    own_alpha = "alpha" in params.columns
+    largest = alpha if alpha < 1.0 else 0.0
+    if own_alpha:
+        largest = max(largest, params.agg(F.max(F.when(F.col("alpha") < 1.0, F.col("alpha")))).first()[0] or 0.0)
+    _, _, classes = _rebase_plan(largest, MAX_WINDOW_DAYS)
+    p = params.select(*keys, "window_days", "min_samples", "nan_strategy",
+                      (F.col("alpha") if own_alpha else F.lit(None)).cast("double").alias("alpha"))
     joined = (daily.select(*keys, "ds", F.col("qty").cast("double").alias("qty"))
                    .join(p, list(keys), "left"))
     strat = F.coalesce(F.col("nan_strategy"), F.lit("decay"))
@@ -303,12 +311,13 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
         *keys, "ds", "qty",
         F.coalesce(F.col("window_days"), F.lit(default_window)).alias("window_days"),
         F.coalesce(F.col("min_samples"), F.lit(default_min_samples)).alias("min_samples"),
-        F.when(strat.isin(*NAN_STRATEGIES), strat).otherwise(F.lit("decay")).alias("nan_strategy")), keys)
+        F.when(strat.isin(*NAN_STRATEGIES), strat).otherwise(F.lit("decay")).alias("nan_strategy"),
+        F.coalesce(F.col("alpha"), F.lit(alpha)).alias("alpha")), keys)
     whole = Window.partitionBy(*keys)
     obs = base.select("*", F.min("ds").over(whole).alias("_first"), F.max("ds").over(whole).alias("_last"),
                       F.row_number().over(Window.partitionBy(*keys).orderBy("ds")).alias("_rk"))
     fz = F.col("nan_strategy") == "fill_zero"
-    carried = [*keys, "window_days", "min_samples", "nan_strategy", "_first", "_last"]
+    carried = [*keys, "window_days", "min_samples", "nan_strategy", "alpha", "_first", "_last"]
     ev = (obs.select(*carried, F.explode(F.array(
               F.struct(F.col("ds").alias("day"), F.col("qty").alias("q"), F.col("_rk").alias("rk")),
               F.struct(F.date_add("ds", F.col("window_days")).alias("day"), F.lit(None).cast("double").alias("q"),
@@ -317,27 +326,32 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
              .filter(F.col("q").isNotNull() | (fz & (F.col("day") <= F.col("_last")))))
     d = F.unix_date("day")
     wp = F.when(F.col("nan_strategy") == "drop", F.col("rk")).otherwise(d).cast("double")
-    e = F.floor(wp / F.lit(epoch))
-    own = F.pow(F.lit(r), F.lit(epoch) * e - wp)
+    # alpha 0 weighs all alike and alpha 1 the day alone: the sums of the latter are not used
+    r = F.when(F.col("alpha") < 1.0, F.lit(1.0) - F.col("alpha")).otherwise(F.lit(1.0))
+    epoch = F.when(r < 1.0, F.greatest(F.lit(1.0), F.floor(F.lit(250.0) / -F.log10(r)).cast("double"))).otherwise(F.lit(1e9))
+    ev = ev.select("*", d.alias("_d"), wp.alias("_wp"), r.alias("_r"), epoch.alias("_epoch"))
+    r, epoch = F.col("_r"), F.col("_epoch")
+    e = F.floor(F.col("_wp") / epoch)
+    own = F.pow(r, epoch * e - F.col("_wp"))
     cls = F.pmod(e, F.lit(classes))
-    ev = ev.select("*", d.alias("_d"), wp.alias("_wp"), e.alias("_e"),
-                   (d.cast("decimal(20,0)") / F.col("window_days")).cast("decimal(30,12)").alias("_pos"),
+    ev = ev.select("*", e.alias("_e"),
+                   (F.col("_d").cast("decimal(20,0)") / F.col("window_days")).cast("decimal(30,12)").alias("_pos"),
                    *[F.when(cls == c, F.col("q") * own).alias(f"_a{c}") for c in range(classes)],
                    *[F.when((cls == c) & F.col("q").isNotNull(), own).alias(f"_b{c}") for c in range(classes)])
     over = "over (partition by " + ", ".join(f"`{k}`" for k in keys) + f" order by _pos {_UNIT_FRAME})"
     agg = ev.select(
         "*", F.expr(f"count(q) {over}").alias("_n"), F.expr(f"sum(q) {over}").alias("_s"),
-        F.expr(f"avg(q) {over}").alias("_mean"),
+        F.expr(f"avg(q) {over}").alias("_mean"), F.expr(f"var_pop(q) {over}").alias("_vp"),
         *[F.expr(f"sum(_a{c}) {over}").alias(f"_S{c}") for c in range(classes)],
         *[F.expr(f"sum(_b{c}) {over}").alias(f"_D{c}") for c in range(classes)],
     )
     num, den = F.lit(0.0), F.lit(0.0)
     for c in range(classes):
-        scale = F.pow(F.lit(r), F.lit(epoch) * F.pmod(F.col("_e") - F.lit(c), F.lit(classes)))
+        scale = F.pow(r, epoch * F.pmod(F.col("_e") - F.lit(c), F.lit(classes)))
         num = num + F.coalesce(F.col(f"_S{c}"), F.lit(0.0)) * scale
         den = den + F.coalesce(F.col(f"_D{c}"), F.lit(0.0)) * scale
     agg = agg.withColumn("_ratio", F.try_divide(num, den)) \
-             .withColumn("_num", num * F.pow(F.lit(r), F.col("_wp") - F.lit(epoch) * F.col("_e")))
+             .withColumn("_num", num * F.pow(r, F.col("_wp") - epoch * F.col("_e")))
     dedup = Window.partitionBy(*keys, "day").orderBy(F.col("q").isNull())
     agg = agg.withColumn("_k", F.row_number().over(dedup)).filter(F.col("_k") == 1)
     nxt = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
@@ -347,15 +361,21 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
     gap = F.datediff(F.col("ds"), F.col("day"))
     m = F.least(F.col("window_days"), F.datediff(F.col("ds"), F.col("_first")) + 1).cast("double")
     is_obs = (gap == 0) & F.col("q").isNotNull()
-    fz_ema = F.col("_num") * F.pow(F.lit(r), gap) / ((F.lit(1.0) - F.pow(F.lit(r), m)) / F.lit(1.0 - r))
-    ema = F.when(fz, fz_ema).otherwise(F.col("_ratio"))
+    weights = F.when(r < 1.0, (F.lit(1.0) - F.pow(r, m)) / (F.lit(1.0) - r)).otherwise(m)
+    ema = (F.when(F.col("alpha") >= 1.0, F.when(is_obs, F.col("q")).otherwise(F.lit(0.0)))
+            .when(fz, F.col("_num") * F.pow(r, gap) / weights).otherwise(F.col("_ratio")))
+    n = F.col("_n").cast("double")
+    items = F.when(fz, m).otherwise(n)                     # days in the frame, empty ones with fill_zero
+    mean = F.coalesce(F.col("_mean"), F.lit(0.0))
+    m2 = F.coalesce(F.col("_vp"), F.lit(0.0)) * n + F.when(fz, mean * mean * n * (m - n) / m).otherwise(F.lit(0.0))
     ma = F.when(fz, F.coalesce(F.col("_s"), F.lit(0.0)) / m).otherwise(F.col("_mean"))
     ok = F.col("_n") >= F.col("min_samples")
     return dense.select(
         *keys, "ds", F.when(is_obs, F.col("q")).otherwise(F.lit(0.0)).alias("qty"),
-        "window_days", "min_samples", "nan_strategy", F.col("_n").alias("n_obs"),
+        "window_days", "min_samples", "nan_strategy", *(["alpha"] if own_alpha else []), F.col("_n").alias("n_obs"),
         F.when(ok, F.round(ema, ROUND)).alias("ema"),
         F.when(ok, F.round(ma, ROUND)).alias("ma"),
+        F.when(ok & (items > 1), F.round(F.sqrt(F.greatest(m2, F.lit(0.0)) / (items - 1)), ROUND)).alias("std"),
     )
 
 

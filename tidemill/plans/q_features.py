@@ -176,4 +176,44 @@ group by a.client_id, a.ds, a.qty, a.w, a.ms, a.strat""",
     "sales", "feature_configs"))
 def q_feat_ema_by_config(spark, sf_dir):
     params = C.valid_ema_params(C.config_current(fx.feature_configs(spark, sf_dir)))
+    return FE.per_key_rolling(_daily(spark, sf_dir), KEYS, params).drop("std")
+
+
+_ALPHA_PARAMS_SQL = """
+cur as (select client_id, window_days, min_samples, nan_strategy, alpha from (
+          select *, case when id % 13 = 0 then null when id % 17 = 0 then 1.5::double else (id % 11)::double / 10.0 end as alpha,
+            row_number() over (partition by client_id, feature_type order by created_at desc nulls first, id desc) as rn
+          from feature_configs where is_active) c
+        where rn = 1 and feature_type = 'ema' and window_days > 0 and window_days <= 365 and min_samples > 0
+          and nan_strategy in ('decay', 'fill_zero', 'drop') and coalesce(alpha between 0 and 1, true))"""
+
+
+@register("feat_alpha_by_config", sql=with_views(f"""
+with {_DAILY}, {_ALPHA_PARAMS_SQL.strip()},
+s0 as (select d.client_id, d.ds, d.qty, coalesce(c.window_days, 90) as w, coalesce(c.min_samples, 7) as ms,
+         coalesce(c.nan_strategy, 'decay') as strat, coalesce(c.alpha, 0.5) as al
+       from daily d left join cur c on c.client_id = d.client_id),
+span as (select client_id, w, ms, strat, al, min(ds) as lo, max(ds) as hi from s0 where strat = 'fill_zero' group by 1, 2, 3, 4, 5),
+dense as (select client_id, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as ds, w, ms, strat, al from span),
+s1 as (select d.client_id, d.ds, coalesce(x.qty, 0.0) as qty, x.qty is not null as o, d.w, d.ms, d.strat, d.al
+       from dense d left join daily x on x.client_id = d.client_id and x.ds = d.ds
+       union all select client_id, ds, qty, true, w, ms, strat, al from s0 where strat <> 'fill_zero'),
+s as (select *, ds - date '1970-01-01' as dn,
+        sum(case when o then 1 else 0 end) over (partition by client_id order by ds rows unbounded preceding) as rk
+      from s1)
+select a.client_id, a.ds, a.qty, a.w as window_days, a.ms as min_samples, a.strat as nan_strategy, a.al as alpha,
+  count(*) filter (where b.o) as n_obs,
+  case when count(*) filter (where b.o) >= a.ms then round(
+    case when a.strat = 'drop'
+         then sum(b.qty * pow(1 - a.al, a.rk - b.rk)) / sum(pow(1 - a.al, a.rk - b.rk))
+         else sum(b.qty * pow(1 - a.al, a.dn - b.dn)) / sum(pow(1 - a.al, a.dn - b.dn)) end, 4) end as ema,
+  case when count(*) filter (where b.o) >= a.ms then round(avg(b.qty), 4) end as ma,
+  case when count(*) filter (where b.o) >= a.ms then round(stddev_samp(b.qty), 4) end as std
+from s a join s b on a.client_id = b.client_id and b.dn > a.dn - a.w and b.dn <= a.dn
+group by a.client_id, a.ds, a.qty, a.w, a.ms, a.strat, a.al""",
+    "sales", "feature_configs"))
+def q_feat_alpha_by_config(spark, sf_dir):
+    """Every client's own window, samples, strategy and alpha (E12), with STD."""
+    configs = fx.feature_configs(spark, sf_dir).withColumn("alpha", fx.config_alpha())
+    params = C.valid_ema_params(C.config_current(configs))
     return FE.per_key_rolling(_daily(spark, sf_dir), KEYS, params)

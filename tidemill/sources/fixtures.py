@@ -165,6 +165,12 @@ def feature_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def config_alpha() -> Column:
+    """Smoothing factor of a config row: 0 to 1, missing for some, out of range for a few."""
+    k = F.col("id")
+    return F.when(k % 13 == 0, F.lit(None).cast("double")).when(k % 17 == 0, F.lit(1.5)).otherwise((k % 11) / 10.0)
+
+
 def bom_explosion_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
     return (o.filter(F.col("o_custkey") % 3 != 0)
