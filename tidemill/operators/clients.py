@@ -104,10 +104,11 @@ def enabled_list(features: Column) -> Column:
 def client_rows(norm: DataFrame, as_of: Column) -> DataFrame:
     """One typed client row per ``clients_updated`` message with a non-empty object payload."""
     fields, err = client_fields(F.col("p"), as_of)
-    rows = norm.filter((F.col("event_type") == CLIENTS_EVENT) & F.col("payload_truthy")
-                       & (F.col("payload_kind") == "object"))
-    return computed_once(rows, ["event_id", "arrival_seq"],
-                         [*[fields[c].alias(c) for c in CLIENT_COLUMNS], err.alias("error")])
+    # The payload tests come after the decode: below it, the optimizer would decode the text once more for them.
+    rows = computed_once(norm.filter(F.col("event_type") == CLIENTS_EVENT), ["event_id", "arrival_seq"],
+                         [*[fields[c].alias(c) for c in CLIENT_COLUMNS], err.alias("error"),
+                          (F.col("payload_truthy") & (F.col("payload_kind") == "object")).alias("_has_client")])
+    return rows.filter("_has_client").drop("_has_client")
 
 
 def clients_upsert(rows: DataFrame, with_seq: bool = False) -> DataFrame:

@@ -30,17 +30,22 @@ PAYLOAD_KEYS = (
 )
 
 
-def normalise_messages(raw: DataFrame) -> DataFrame:
+def normalise_messages(raw: DataFrame, handled_only: bool = False) -> DataFrame:
     """Envelope fields as they are (missing -> null) plus the decoded payload (B1, B2).
 
     ``p`` holds the known payload keys as variants (absent -> null); invalid or
     missing text decodes to the empty object, so every ``p`` field is null.
     For each known key ``t_<key>`` is its JSON type (null if absent) and
     ``s_<key>`` its scalar text: every later rule reads these plain columns, so
-    each value is decoded once per row however many rules look at it.
+    each value is decoded once per row however many rules look at it. With
+    ``handled_only`` the payload of a message that no handler takes is not
+    decoded: it counts as missing (its outcome does not depend on it).
     """
     cols = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ENVELOPE]
-    base = raw.select(*cols, F.col("data"))
+    data = F.col("data")
+    if handled_only:
+        data = F.when(F.col("event_type").isin(CLIENTS_EVENT, SALES_EVENT), data).alias("data")
+    base = raw.select(*cols, data)
     keys = J.payload_keys(F.col("data"))
     staged = base.select(*ENVELOPE, "data", keys.alias("_keys"),
                          J.payload_struct(F.col("data"), PAYLOAD_KEYS).alias("p"))

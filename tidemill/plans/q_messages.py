@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import clients as CL
 from tidemill.operators import messages as MS
+from tidemill.operators import tenants as T
 from tidemill.plans.params import as_of_ntz
 from tidemill.plans.registry import register
 from tidemill.plans.views import with_views
@@ -69,7 +70,7 @@ def _norm(spark, sf_dir):
 
 
 def _outcomes(spark, sf_dir):
-    norm = _norm(spark, sf_dir)
+    norm = MS.normalise_messages(fx.raw_messages(spark, sf_dir), handled_only=True)
     _, err = CL.client_fields(F.col("p"), as_of_ntz())
     return MS.message_outcomes(norm, err)
 
@@ -78,10 +79,11 @@ def _outcomes(spark, sf_dir):
 select stream, count(*) as n, min(arrival_seq) as first_id, max(arrival_seq) as last_id
 from raw_messages group by stream""", "raw_messages"))
 def q_messages_by_stream(spark, sf_dir):
-    # A1: the per-stream inputs read as one (batch twin of the streaming reader).
-    raw = fx.raw_messages(spark, sf_dir)
-    merged = src.union_streams({s: raw.filter(F.col("stream") == s).drop("stream")
-                                for s in ("clients-updates", "sales-updates", "other-updates")})
+    # A1: streams as the data names them; one folder a stream, read back as one input.
+    raw, folder = fx.raw_messages(spark, sf_dir), T.scratch_dir(spark, "streams")
+    raw.write.partitionBy("stream").parquet(folder)
+    names = [r[0] for r in spark.read.parquet(folder).select("stream").distinct().collect()]
+    merged = src.read_batches(spark, {n: f"{folder}/stream={n}" for n in names})
     return merged.groupBy("stream").agg(F.count(F.lit(1)).alias("n"), F.min("arrival_seq").alias("first_id"),
                                         F.max("arrival_seq").alias("last_id"))
 

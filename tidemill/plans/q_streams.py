@@ -145,7 +145,7 @@ def known_client_handler(clients: str):
     """Handler of messages: rule failures are fatal, a sales notification of a client that no
     ``clients_updated`` message has named so far is retried. Client rows are kept under ``clients``."""
     def handle(messages, batch_id):
-        norm = MS.normalise_messages(messages)
+        norm = MS.normalise_messages(messages, handled_only=True)
         _, err = CL.client_fields(F.col("p"), as_of_ntz())
         out = MS.message_outcomes(norm, err).select("event_id", "arrival_seq", "route", "outcome", F.col("reason").alias("_why"))
         rows = CL.client_rows(norm, as_of_ntz()).filter(F.col("error").isNull()).select("id").distinct()

@@ -33,7 +33,7 @@ def dedup_stream(raw_messages: DataFrame, delay: str = "1 day") -> DataFrame:
 def outcome_sink(outcomes_path: str, dead_path: str, as_of: Column):
     """``foreachBatch`` function: outcomes (acknowledged) and dead letters (failed) per batch."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        norm = MS.normalise_messages(batch).persist()
+        norm = MS.normalise_messages(batch, handled_only=True).persist()
         try:
             _, err = CL.client_fields(F.col("p"), as_of)
             out = MS.message_outcomes(norm, err)
