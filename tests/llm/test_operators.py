@@ -534,6 +534,18 @@ def test_temporal_lists_of_deep_prefixes_and_user_names(spark):
     assert {r["verdict"] for r in none if r["host"]} == {"allow"}
 
 
+def test_temporal_lists_spell_patterns_alike(spark):
+    """A prefix without a path or without its last slash, and upper case in hosts; the path keeps its case."""
+    pages = ["http://Example.com", "http://example.com/a/x", "http://example.com/A/x", "http://two.example/a", "http://three.org/x", "http://www.THREE.org/"]
+    captures = spark.createDataFrame([(k, u, 10) for k, u in enumerate(pages)], "page_id long, url string, fetch_time long")
+    entries = spark.createDataFrame([("prefix", "EXAMPLE.com/", 0, "block", 0), ("prefix", "example.COM/a", 0, "allow", 0), ("prefix", "two.example", 0, "block", 0),
+                                     ("domain", "Three.Org", 0, "block", 0), ("host", None, 0, "block", 0), ("prefix", None, 0, "block", 0)],
+                                    "kind string, pattern string, effective long, action string, seq long")
+    got = {r["page_id"]: (r["verdict"], r["rule_pattern"]) for r in url_lists.judge(captures, entries).collect()}
+    whole, below = ("block", "example.com/"), ("allow", "example.com/a/")
+    assert got == {0: whole, 1: below, 2: whole, 3: ("block", "two.example/"), 4: ("block", "three.org"), 5: ("block", "three.org")}
+
+
 def test_pipeline_stages_against_brute_force(spark):
     """Kept ids of the join, texts of the substring dedup and packed ids, each stage on the rows of the one before."""
     import corpus_pipeline

@@ -3,7 +3,9 @@
 A list is a log of dated entries ``(kind, pattern, effective, action, seq)``: ``kind`` is ``domain``
 (a registered domain or any parent of a host), ``host`` or ``prefix`` (host plus leading path
 segments); ``action`` is ``block``, ``allow`` or ``remove``. ``validity`` turns the log into
-half-open intervals, of two entries with one date the larger ``seq`` wins. ``judge`` looks every
+half-open intervals, of two entries with one date the larger ``seq`` wins. Patterns are compared in one
+spelling (``spelled``): hosts and domains in lower case, the path as it is, a prefix ending in a slash;
+``host/a`` means ``host/a/`` and what lies below, ``host/`` (or ``host``) every capture of the host. ``judge`` looks every
 capture's keys up as of its fetch time; the most specific active entry decides (the longest
 prefix, then host, then the longest domain). Prefix keys are made for every depth that the list names.
 
@@ -30,6 +32,13 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?+([^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)"
 
 
+def spelled(entries: DataFrame) -> DataFrame:
+    """``entries`` with patterns as the captures' keys spell them."""
+    host, path = F.lower(F.substring_index("pattern", "/", 1)), F.regexp_extract("pattern", r"^[^/]*/?(.*?)/?$", 1)
+    prefix = F.concat(host, F.lit("/"), F.when(path != "", F.concat(path, F.lit("/"))).otherwise(F.lit("")))
+    return entries.withColumn("pattern", F.when(F.col("kind") == "prefix", prefix).otherwise(F.lower("pattern")))
+
+
 def validity(entries: DataFrame, slice_seconds: int = SLICE) -> DataFrame:
     """(kind, pattern, action, valid_from, valid_to) from the dated entries; ``valid_to`` null: still active.
 
@@ -51,8 +60,7 @@ def validity(entries: DataFrame, slice_seconds: int = SLICE) -> DataFrame:
 
 def prefix_depths(entries: DataFrame) -> list[int]:
     """The numbers of path segments that the list's prefix entries name."""
-    found = (entries.where("kind = 'prefix' and pattern like '%/'")
-             .select((F.size(F.split("pattern", "/")) - 2).alias("depth")).where("depth > 0").distinct())
+    found = entries.where("kind = 'prefix' and pattern is not null").select((F.size(F.split("pattern", "/")) - 2).alias("depth")).distinct()
     return sorted(r["depth"] for r in found.collect())
 
 
@@ -65,7 +73,8 @@ def keys_of(captures: DataFrame, depths: list[int]) -> DataFrame:
         F.lit("domain").alias("kind"), F.array_join(F.slice(labels, -n, n), ".").alias("pattern"), n.cast("int").alias("level")))
     prefixes = F.transform(F.array(*map(F.lit, depths)).cast("array<int>"), lambda n: F.struct(
         F.lit("prefix").alias("kind"),
-        F.concat(F.col("host"), F.lit("/"), F.array_join(F.slice(path, F.lit(1), n), "/"), F.lit("/")).alias("pattern"),
+        F.concat(F.col("host"), F.lit("/"), F.when(n > 0, F.concat(F.array_join(F.slice(path, F.lit(1), n), "/"), F.lit("/")))
+                 .otherwise(F.lit(""))).alias("pattern"),
         (n + 1000).cast("int").alias("level")))
     own = F.array(F.struct(F.lit("host").alias("kind"), F.col("host").alias("pattern"), F.lit(500).alias("level")))
     none = F.array(F.struct(F.lit("none").alias("kind"), F.col("capture").cast("string").alias("pattern"), F.lit(0).alias("level")))
@@ -83,6 +92,7 @@ def judge(captures: DataFrame, entries: DataFrame, slice_seconds: int = SLICE) -
 
     ``captures``: page_id, url, fetch_time (seconds); ``entries``: see the module.
     """
+    entries = spelled(entries)
     spans = validity(entries, slice_seconds).where("action <> 'remove'")
     low, high = captures.agg(F.min("fetch_time"), F.max("fetch_time")).first()
     low, high = low or 0, high or 0
