@@ -47,6 +47,19 @@ def q_bom_explode_cyclic(spark, sf_dir):
     return B.bom_explode(fx.bom(spark, sf_dir, with_cycle=True), LEVELS, include_produced_at=False)
 
 
+@register("bom_unchecked", sql=with_views(f"""
+with recursive walk(root, node, q, lvl) as (
+  select parent, component, qty, 1 from bom_cyclic
+  union all
+  select w.root, e.component, w.q * e.qty, w.lvl + 1 from walk w join bom_cyclic e on e.parent = w.node where w.lvl < {LEVELS})
+select root, node as component, sum(q) as qty, cast(count(*) as bigint) as paths,
+  cast(min(lvl) as int) as min_level, cast(max(lvl) as int) as max_level
+from walk group by root, node""", "bom_cyclic"))
+def q_bom_unchecked(spark, sf_dir):
+    """Cycle detection switched off: walks up to the depth cap."""
+    return B.bom_explode(fx.bom(spark, sf_dir, with_cycle=True), LEVELS, include_produced_at=False, cycle_detection=False)
+
+
 @register("bom_cycles", sql=with_views(f"""
 with recursive {_walk("bom_cyclic").strip()}
 select root, parent, component, cast(sum(paths) as bigint) as paths, cast(min(level) as int) as level from (
