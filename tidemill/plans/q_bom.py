@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemill.operators import bom as B
+from tidemill.operators import bom_clients as BC
+from tidemill.operators import bom_delta as BD
+from tidemill.operators import configs as C
 from tidemill.plans.registry import register
 from tidemill.plans.views import with_views
+from tidemill.session import scratch_path
 from tidemill.sources import fixtures as fx
 
 LEVELS = 5
@@ -101,3 +107,94 @@ from dem group by 1""", "bom", "sales"))
 def q_bom_run_status(spark, sf_dir):
     d = B.component_demand(fx.sales(spark, sf_dir), B.bom_explode(fx.bom(spark, sf_dir), LEVELS, include_produced_at=False))
     return B.bom_run_status(d)
+
+
+@register("bom_config_current", sql=with_views("""
+select * from bom_configs where is_active
+qualify row_number() over (partition by client_id order by created_at desc nulls first, id desc) = 1""", "bom_configs"))
+def q_bom_config_current(spark, sf_dir):
+    return C.config_current(fx.bom_configs(spark, sf_dir), ["client_id"])
+
+
+@register("bom_config_violations", sql=with_views("""
+select id, client_id, 'max_levels_range' as rule from bom_configs
+where max_levels is null or max_levels < 1 or max_levels > 10""", "bom_configs"))
+def q_bom_config_violations(spark, sf_dir):
+    return BC.bom_violations(fx.bom_configs(spark, sf_dir))
+
+
+# All walks of up to ten edges; ``simple`` ones meet no node twice.
+_PROFILES = """
+with recursive walk(root, node, path, simple, q, lvl, site) as (
+  select parent, component, [parent, component], component <> parent, qty, 1, produced_at from bom_cyclic
+  union all
+  select w.root, e.component, list_append(w.path, e.component), w.simple and not list_contains(w.path, e.component),
+    w.q * e.qty, w.lvl + 1, e.produced_at
+  from walk w join bom_cyclic e on e.parent = w.node where w.lvl < 10),
+levels as (select root, node, site, lvl, simple, sum(q) as q, count(*) as n from walk group by all),
+needs as (select distinct s.product_id as root, p.max_levels, p.include_produced_at, p.cycle_detection
+          from sales s join bom_profile p on p.client_id = s.client_id where p.error_message is null),
+ex as (select n.root, n.max_levels, n.include_produced_at, n.cycle_detection, l.node as component,
+    case when n.include_produced_at then l.site end as produced_at, sum(l.q) as qty, cast(sum(l.n) as bigint) as paths,
+    cast(min(l.lvl) as int) as min_level, cast(max(l.lvl) as int) as max_level
+  from needs n join levels l on l.root = n.root and l.lvl <= n.max_levels and (l.simple or not n.cycle_detection)
+  group by 1, 2, 3, 4, 5, 6)"""
+_OWN_DEMAND = f"""{_PROFILES},
+dem as (select s.client_id, ex.component, ex.produced_at, s.ds, round(sum(s.qty * ex.qty), 4) as demand
+  from sales s join bom_profile p on p.client_id = s.client_id and p.error_message is null
+  join ex on ex.root = s.product_id and ex.max_levels = p.max_levels
+    and ex.include_produced_at = p.include_produced_at and ex.cycle_detection = p.cycle_detection
+  group by 1, 2, 3, 4),
+status as (select p.client_id, d.last_processed_at, coalesce(d.n, 0) as records_processed,
+  case when p.error_message is not null then 'error' when d.n > 0 then 'ok' else 'empty' end as status, p.error_message
+  from bom_profile p left join (select client_id, count(*) as n, max(ds) as last_processed_at from dem group by 1) d
+    on d.client_id = p.client_id)"""
+_OWN_VIEWS = ("bom_cyclic", "sales", "bom_profile")
+
+
+def _profiles(spark, sf_dir):
+    return BC.client_profiles(fx.bom_clients(spark, sf_dir), fx.bom_configs(spark, sf_dir))
+
+
+def _profile_rows(spark, sf_dir):
+    sold = fx.sale_lines(spark, sf_dir).select("client_id", "product_id").distinct()
+    return BC.explode_profiles(fx.bom(spark, sf_dir, with_cycle=True), BC.profiles_in_use(sold, _profiles(spark, sf_dir)))
+
+
+def _own_demand(spark, sf_dir):
+    return BC.demand_by_profile(fx.sales(spark, sf_dir), _profiles(spark, sf_dir), _profile_rows(spark, sf_dir))
+
+
+@register("bom_profiles", sql=with_views(f"{_PROFILES} select * from ex", *_OWN_VIEWS))
+def q_bom_profiles(spark, sf_dir):
+    """The explosion under every client's own depth cap, site key and cycle switch."""
+    return _profile_rows(spark, sf_dir)
+
+
+@register("component_demand_by_config", sql=with_views(f"{_OWN_DEMAND} select * from dem", *_OWN_VIEWS))
+def q_component_demand_by_config(spark, sf_dir):
+    return _own_demand(spark, sf_dir).withColumn("demand", F.round("demand", 4))
+
+
+@register("bom_status_by_client", sql=with_views(f"{_OWN_DEMAND} select * from status", *_OWN_VIEWS))
+def q_bom_status_by_client(spark, sf_dir):
+    """Run status of all clients: failed, empty and served ones."""
+    return BC.run_status(_profiles(spark, sf_dir), _own_demand(spark, sf_dir))
+
+
+@register("bom_exploded_events", sql=with_views(f"""{_OWN_DEMAND}
+select client_id, 'bom-exploded' as stream, 'bom_exploded' as event_type,
+  '{{"records_processed":' || records_processed || ',"status":"' || status || '"}}' as data
+from status where status <> 'error'""", *_OWN_VIEWS))
+def q_bom_exploded_events(spark, sf_dir):
+    return BC.bom_exploded_events(BC.run_status(_profiles(spark, sf_dir), _own_demand(spark, sf_dir)))
+
+
+@register("bom_incremental", sql=with_views(_explode_sql("bom", True), "bom"))
+def q_bom_incremental(spark, sf_dir):
+    """A stored explosion of earlier edges, brought up to date for the roots that changed edges reach."""
+    store = BD.BomStore(spark, scratch_path(spark, f"bom_store_{uuid.uuid4().hex}"), buckets=16, max_levels=LEVELS)
+    before = fx.bom_before(spark, sf_dir)
+    store.create(before)
+    store.apply(before, fx.bom(spark, sf_dir))
+    return store.read().drop("bucket")

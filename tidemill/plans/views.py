@@ -69,6 +69,20 @@ select o_orderkey as id, o_custkey as client_id,
   cast(30 + o_orderkey % 400 as int) as window_days, cast(o_orderkey % 10 as int) as min_samples,
   case o_orderkey % 4 when 0 then 'decay' when 1 then 'fill_zero' when 2 then 'drop' else 'bogus' end as nan_strategy
 from orders""",
+    "bom_configs": """
+select o_orderkey as id, o_custkey as client_id,
+  case when o_orderkey % 29 = 0 then null else cast(o_orderkey % 13 as int) end as max_levels,
+  o_orderkey % 2 = 0 as include_produced_at, o_orderkey % 3 <> 0 as cycle_detection,
+  o_orderstatus <> 'F' as is_active, o_orderdate as created_at
+from orders""",
+    "bom_profile": """
+select c.client_id, case when b.id is null then 5 else b.max_levels end as max_levels,
+  coalesce(b.include_produced_at, true) as include_produced_at, coalesce(b.cycle_detection, true) as cycle_detection,
+  case when b.id is not null and (b.max_levels is null or b.max_levels < 1 or b.max_levels > 10) then 'max_levels_range' end as error_message
+from (select s_suppkey as client_id from supplier union all select -1 - s_suppkey from supplier) c
+left join (select * from bom_configs where is_active
+           qualify row_number() over (partition by client_id order by created_at desc nulls first, id desc) = 1) b
+  on b.client_id = c.client_id""",
     "bom_explosion_status": """
 select o_custkey as client_id, max(o_orderdate) as last_processed_at, count(*) as records_processed
 from orders where o_custkey % 3 <> 0 group by o_custkey""",
@@ -92,7 +106,7 @@ where (extract(month from l_shipdate) = 1 and extract(day from l_shipdate) <= 7)
 }
 
 # Views that are built on other views.
-DEPENDS = {"bom_cyclic": ("bom",)}
+DEPENDS = {"bom_cyclic": ("bom",), "bom_profile": ("bom_configs",)}
 
 
 def with_views(body: str, *names: str) -> str:

@@ -165,6 +165,37 @@ def feature_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bom_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-only BOM parameters per client, some with a depth that is missing or out of range."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    k = F.col("o_orderkey")
+    return o.select(
+        k.alias("id"),
+        F.col("o_custkey").alias("client_id"),
+        F.when(k % 29 == 0, F.lit(None).cast("int")).otherwise((k % 13).cast("int")).alias("max_levels"),
+        (k % 2 == 0).alias("include_produced_at"),
+        (k % 3 != 0).alias("cycle_detection"),
+        (F.col("o_orderstatus") != "F").alias("is_active"),
+        F.col("o_orderdate").alias("created_at"),
+    )
+
+
+def bom_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients of BOM runs: every supplier, and as many that sell nothing."""
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey")
+    return s.select(F.explode(F.array(F.col("s_suppkey"), -1 - F.col("s_suppkey"))).alias("client_id"))
+
+
+def bom_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges of ``bom`` before a change: some missing, some with another quantity, one more."""
+    edges = bom(spark, sf_dir)
+    key = F.col("parent")
+    gone = (key % 97 == 5) & (F.col("component") % 2 == 0)
+    extra = edges.filter(key % 89 == 3).select("parent", (key - 1).alias("component"), F.lit(2.0).alias("qty"), "produced_at")
+    return (edges.filter(~gone).withColumn("qty", F.when(key % 101 == 7, F.col("qty") * 2).otherwise(F.col("qty")))
+                 .unionByName(extra))
+
+
 def config_alpha() -> Column:
     """Smoothing factor of a config row: 0 to 1, missing for some, out of range for a few."""
     k = F.col("id")
