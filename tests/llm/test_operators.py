@@ -245,6 +245,23 @@ def test_repeats(spark, odd, none):
     assert by_id[10]["text"] == "x" * 30_000 and by_id[12]["text"].startswith("\n") and by_id[12]["n_chars"] == len(by_id[12]["text"])
 
 
+def test_repeats_of_texts_that_part_late(spark, monkeypatch):
+    """Thousands of texts with the same first 16 words, then different: groups stay near their size, results whole."""
+    monkeypatch.setattr(repeats, "GROUP", 500)
+    shared = " ".join(f"s{k}" for k in range(16))
+    texts = [shared + " " + " ".join(f"t{k}w{j}" for j in range(30)) for k in range(3000)]
+    texts += [texts[7], "front " + texts[8]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    table, groups, _ = repeats._plan(docs, 35)
+    sizes = Counter()
+    for r in repeats._send(table, groups, 35).collect():
+        sizes[r["grp"]] += len(r["paths"]) // 8
+    assert sum(sizes.values()) > 30_000 and max(sizes.values()) < 700
+    assert groups.parts.max() >= 6
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.removed(docs).collect()}
+    assert {i: n for i, n in got.items() if n} == {7: 46, 8: 46, 3000: 46, 3001: 46}
+
+
 @pytest.mark.parametrize("hot", [bwt_repeats.HOT, 2])
 def test_bwt_repeats(spark, odd, none, hot, monkeypatch):
     monkeypatch.setattr(bwt_repeats, "HOT", hot)

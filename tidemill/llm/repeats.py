@@ -2,8 +2,9 @@
 
 A suffix begins at a word and matters to the depth of one window. Suffixes are split by their first
 words: the cells of a hash of ``PREFIX`` words are counted over all texts, neighbouring cells that
-fit into ``GROUP`` suffixes together form one group, and a cell that does not fit is split by a
-prefix twice as long, so a group fits in memory whatever the input's size. A group's subtree is held as the sorted
+fit into ``GROUP`` suffixes together form one group. In a cell that does not fit, prefixes grow to a window's
+length, and their hash deals them to as many groups as the cell needs: texts that share many words and then
+differ part there, and only equal windows must stay together, of which a block sends one. A group's subtree is held as the sorted
 64-bit hashes of the suffixes' paths down to the window's depth: an internal node that deep is a run
 of equal paths, and its leaves are the repeated windows; neighbouring ones join into maximal repeats.
 
@@ -30,14 +31,14 @@ from pyspark.sql import functions as F
 from tidemill.llm import blocks, common
 
 WINDOW = 35
-#: Words of the shorter prefix, and suffixes of one group.
+#: Words of the short prefix, and suffixes of one group.
 PREFIX, GROUP = 8, 2_000_000
 
 SCHEMA = "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string"
 
 
 class Suffixes:
-    """The window suffixes of some texts: where they start, their path, cell and longer prefix."""
+    """The window suffixes of some texts: where they start, their path (also the long prefix) and cell."""
 
     def __init__(self, texts: pa.Array, window: int):
         self.raw, self.offsets = common.text_buffer(texts)
@@ -48,7 +49,6 @@ class Suffixes:
         self.starts = np.flatnonzero(inside)
         self.path = common.grams(w.hashes, window)[self.starts] if n else np.zeros(0, np.uint64)
         self.cells = (common.grams(w.hashes, short)[:n][self.starts] >> np.uint64(54)).astype(np.int64) if n else np.zeros(0, np.int64)
-        self.longer = common.grams(w.hashes, min(2 * short, window))[:n][self.starts] if n else np.zeros(0, np.uint64)
 
 
 def _cells(window: int):
@@ -57,7 +57,7 @@ def _cells(window: int):
 
 def _ordered(s: Suffixes, groups: blocks.Groups) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(group, path, seen twice, entry of each suffix) of a block's distinct paths, sorted by group and path."""
-    group = groups.of(s.cells, s.longer)
+    group = groups.of(s.cells, s.path)
     order = np.lexsort((s.path, group))
     path = s.path[order]
     new = np.ones(path.size, bool)
