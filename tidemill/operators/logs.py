@@ -12,6 +12,8 @@ from tidemill.functions.text import source_path
 SEVERE_LEVELS = ("error", "fatal", "panic")
 # The event categories.
 CATEGORIES = ("feature_engineering", "bom_explosion", "database", "messenger", "pipeline", "starrocks", "cache", "security")
+# Columns that log rows keep as given, where a call has them.
+CARRIED = ("event_id", "instance_id", "node_name", "span_id", "request_id", "function_name", "line_number", "error_message", "ingestion_time")
 
 
 def log_stats(logs: DataFrame, as_of: Column, hours_back: int = 24) -> DataFrame:
@@ -60,7 +62,7 @@ def normalise_logs(raw: DataFrame) -> DataFrame:
         merged["duration_ms"].try_cast("double").try_cast("int").alias("duration_ms"),
         source_path(F.col("file_path")).alias("file_path"),
         F.when(F.col("level").isin(*SEVERE_LEVELS), F.col("stack_trace")).alias("stack_trace"),
-        *[c for c in raw.columns if c == "event_id"],
+        *[c for c in raw.columns if c in CARRIED],
     )
 
 

@@ -1,7 +1,6 @@
 """Fixed parameters of the registered queries (the reference's ``now()`` becomes ``as_of``).
 
-The windows are chosen so that every registered query covers the whole
-input tables: events span 2024-01-01 .. 2024-01-30.
+Windows of the log reports are taken from the rows' own times.
 """
 
 from __future__ import annotations
@@ -9,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 AS_OF_TEXT = "2024-02-01 00:00:00"
-HOURS_BACK_ALL = 24 * 31          # log_stats window reaching back to 2024-01-01
-RECENT_MINUTES_ALL = 60 * 24 * 31  # recent_logs window over the whole month
 
 
 def as_of_ntz():

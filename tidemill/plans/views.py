@@ -49,6 +49,18 @@ select ts, 'svc-' || cast(user_id % 3 as varchar) as service_name,
   'message ' || cast(event_id as varchar) as message, props as context,
   case when event_id % 10 = 0 then null else cast(floor(value) as int) end as duration_ms, event_id
 from events""",
+    "log_table": """
+select ts - to_days(cast(case event_id % 5 when 0 then 92 when 1 then 61 else 0 end as int)) as ts, service_name,
+  'i-' || (event_id % 6) as instance_id, case when event_id % 4 <> 0 then 'node-' || (event_id % 4) end as node_name, environment, level,
+  case when event_id % 7 = 0 then 'security' else category end as category, trace_id,
+  lpad(lower(to_hex(event_id)), 16, '0') as span_id, case when event_id % 3 <> 0 then 'req-' || (event_id % 50) end as request_id,
+  'run_' || (event_id % 8) as function_name,
+  case event_id % 3 when 0 then 'src/handlers/event_handler.py' when 1 then 'site.py' else 'main.py' end as file_path,
+  cast(1 + event_id % 300 as int) as line_number, message, case when level = 'error' then 'failed ' || event_id end as error_message,
+  case when level in ('error', 'fatal', 'panic') then 'Traceback ' || event_id end as stack_trace,
+  try_cast(context->>'k' as bigint) as context_k, service_name as context_service, duration_ms,
+  ts + interval 2 second as ingestion_time, event_id
+from logs""",
     "sales": """
 select l_suppkey as client_id, l_partkey as product_id, cast(l_shipdate as date) as ds, sum(l_quantity) as qty
 from lineitem group by 1, 2, 3""",
@@ -106,7 +118,7 @@ where (extract(month from l_shipdate) = 1 and extract(day from l_shipdate) <= 7)
 }
 
 # Views that are built on other views.
-DEPENDS = {"bom_cyclic": ("bom",), "bom_profile": ("bom_configs",)}
+DEPENDS = {"bom_cyclic": ("bom",), "bom_profile": ("bom_configs",), "log_table": ("logs",)}
 
 
 def with_views(body: str, *names: str) -> str:

@@ -283,3 +283,21 @@ def log_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(eid % 3 == 1, "/usr/lib/python3/site.py").otherwise("main.py").alias("file_path"),
         F.concat(F.lit("Traceback "), eid.cast("string")).alias("stack_trace"),
     )
+
+
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``log_calls`` with the other columns of the log table, spread over three months and a gap."""
+    calls, eid = log_calls(spark, sf_dir), F.col("event_id")
+    back = F.when(eid % 5 == 0, 92).when(eid % 5 == 1, 61).otherwise(0)
+    return calls.select(
+        *[c for c in calls.columns if c != "ts"],
+        (F.col("ts").cast("timestamp_ntz") - F.make_dt_interval(days=back)).alias("ts"),
+        F.concat(F.lit("i-"), (eid % 6).cast("string")).alias("instance_id"),
+        F.when(eid % 4 != 0, F.concat(F.lit("node-"), (eid % 4).cast("string"))).alias("node_name"),
+        F.lpad(F.lower(F.hex(eid)), 16, "0").alias("span_id"),
+        F.when(eid % 3 != 0, F.concat(F.lit("req-"), (eid % 50).cast("string"))).alias("request_id"),
+        F.concat(F.lit("run_"), (eid % 8).cast("string")).alias("function_name"),
+        (1 + eid % 300).cast("int").alias("line_number"),
+        F.when(F.col("level") == "error", F.concat(F.lit("failed "), eid.cast("string"))).alias("error_message"),
+        (F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(2))).alias("ingestion_time"),
+    )
