@@ -105,17 +105,17 @@ def test_store_follows_changes(spark, tmp_path):
     store.create(spark.createDataFrame(edges, EDGES))
     for step in range(3):
         after = edges[2:] if step == 0 else edges + random_edges(rng, 14, 1) if step == 1 else [(a, b, q * 2 if k == 4 else q, s) for k, (a, b, q, s) in enumerate(edges)]
-        before = data_files(store.path)
+        before = data_files(store.table.path)
         roots = {r["root"] for r in store.apply(spark.createDataFrame(edges, EDGES), spark.createDataFrame(after, EDGES)).collect()}
         want = {r: walks(after, r, 4, True) for r in {e[0] for e in after}}
         assert stored(store) == {(r, *k): v for r, rows in want.items() for k, v in rows.items()}
         different = {r for r in {e[0] for e in edges + after} if walks(edges, r, 4, True) != walks(after, r, 4, True)}
         assert different <= roots
-        assert before.items() <= data_files(store.path).items()
+        assert before.items() <= data_files(store.table.path).items()
         edges = after
-    last = store.manifest()
+    last = store.table.manifest()
     same = spark.createDataFrame(edges, EDGES)
-    assert store.apply(same, same).isEmpty() and store.manifest() == last
+    assert store.apply(same, same).isEmpty() and store.table.manifest() == last
     store.apply(same, same.limit(0))
     assert stored(store) == {}
 

@@ -3,10 +3,8 @@
 A changed edge alters the roots that reach its parent in at most ``max_levels - 1`` edges, before or after
 the change. These are found by walking up from the changed parents; only they are expanded again.
 
-The store keeps exploded rows in ``buckets`` of a hash of the root. A run writes the buckets of affected
-roots under ``data/run=<n>`` and, last, a manifest that says which run holds each bucket; buckets without
-affected roots keep their files. A run that fails before its manifest leaves nothing visible and is repeated
-into the same folder. Old runs' files stay until the caller removes them, so readers are never cut off.
+The store keeps exploded rows in buckets of a hash of the root; a run rewrites the buckets of affected roots
+only, under a manifest (``sources.bucketed``).
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.bom import DEFAULT_MAX_LEVELS, _validate
 from tidemill.operators.bom_clients import expand, recurring_nodes
 from tidemill.session import checkpointed
+from tidemill.sources.bucketed import BucketedTable
 
 EDGE = ["parent", "component", "produced_at"]
 
@@ -64,36 +63,14 @@ class BomStore:
     """A stored explosion in ``path``, bucketed by root and maintained run by run."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, max_levels: int = DEFAULT_MAX_LEVELS):
-        self.spark, self.path, self.buckets, self.max_levels = spark, path.rstrip("/"), buckets, max_levels
-
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(self.buckets)).cast("int"))
-
-    def _write(self, run: int, rows: DataFrame, manifest: dict[int, int]) -> None:
-        (rows.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/run={run}"))
-        entries = self.spark.createDataFrame(sorted(manifest.items()), "bucket int, held_by int")
-        entries.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/run={run}")
-
-    def manifest(self) -> tuple[int, dict[int, int]]:
-        """The newest finished run and, for each of the ``buckets`` buckets, the run that holds it."""
-        all_runs = self.spark.read.parquet(f"{self.path}/manifest")
-        last = all_runs.agg(F.max("run")).first()[0]
-        return last, {r["bucket"]: r["held_by"] for r in all_runs.filter(F.col("run") == last).collect()}
+        self.table, self.max_levels = BucketedTable(spark, path, ["root"], buckets), max_levels
 
     def create(self, edges: DataFrame) -> None:
         """The first run: everything."""
-        self._write(1, self._bucketed(explode_roots(edges, None, self.max_levels)), dict.fromkeys(range(self.buckets), 1))
-
-    def read(self, only: list[int] | None = None) -> DataFrame:
-        """The stored rows (of some buckets), by partition filters on run and bucket."""
-        held: dict[int, list[int]] = {}
-        for bucket, run in self.manifest()[1].items():
-            if only is None or bucket in only:
-                held.setdefault(run, []).append(bucket)
-        wanted = F.lit(False)
-        for run, buckets in held.items():
-            wanted = wanted | ((F.col("run") == run) & F.col("bucket").isin(buckets))
-        return self.spark.read.parquet(f"{self.path}/data").filter(wanted).drop("run")
+        self.table.replace(list(range(self.table.buckets)), explode_roots(edges, None, self.max_levels))
+
+    def read(self) -> DataFrame:
+        return self.table.read()
 
     def apply(self, old: DataFrame, new: DataFrame) -> DataFrame:
         """Brings the store from ``old`` edges to ``new`` ones; returns the affected roots.
@@ -102,10 +79,9 @@ class BomStore:
         again to the same rows.
         """
         roots = checkpointed(affected_roots(old, new, self.max_levels))
-        touched = [r["bucket"] for r in self._bucketed(roots).select("bucket").distinct().collect()]
+        touched = self.table.touched(roots)
         if touched:
-            run, manifest = self.manifest()
-            fresh = self._bucketed(explode_roots(new, roots, self.max_levels))
-            kept = self.read(touched).join(roots, "root", "left_anti")
-            self._write(run + 1, kept.unionByName(fresh.select(kept.columns)), manifest | dict.fromkeys(touched, run + 1))
+            fresh = explode_roots(new, roots, self.max_levels)
+            kept = self.table.read(touched).join(roots, "root", "left_anti")
+            self.table.replace(touched, kept.unionByName(fresh))
         return roots

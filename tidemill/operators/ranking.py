@@ -18,6 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner equi-join in which a null key meets a null key."""
+    named = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return left.join(named, same).drop(*[f"_on_{c}" for c in on])
+
+
 def number_within_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slice_by: Column,
                          next_of: str | None = None) -> DataFrame:
     """Add ``rn`` (1-based position in the group), ``group_rows`` and, with ``next_of``,
@@ -35,7 +42,7 @@ def number_within_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     if next_of:
         first = (local.filter(F.col("_lrn") == 1)
                       .select(*keys, "_slice", F.col(next_of).alias("_first")))
-        summary = summary.join(first, [*keys, "_slice"])
+        summary = _joined(summary, first, [*keys, "_slice"])
     w_s = Window.partitionBy(*keys).orderBy("_slice")
     summary = summary.select(
         *keys, "_slice", "_cnt",
@@ -43,7 +50,7 @@ def number_within_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Col
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias("group_rows"),
         *([F.lead("_first").over(w_s).alias("_next_first")] if next_of else []),
     )
-    out = local.join(summary, [*keys, "_slice"]).withColumn("rn", F.col("_off") + F.col("_lrn"))
+    out = _joined(local, summary, [*keys, "_slice"]).withColumn("rn", F.col("_off") + F.col("_lrn"))
     if next_of:
         out = out.withColumn(f"next_{next_of}",
                              F.when(F.col("_lrn") == F.col("_cnt"), F.col("_next_first")).otherwise(F.col("_lnext")))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from tidemill.operators import configs as C
+from tidemill.operators.config_store import ConfigStore
 from tidemill.plans.registry import register
 from tidemill.plans.views import with_views
+from tidemill.session import scratch_path
 from tidemill.sources import fixtures as fx
 
 _ORDER = "order by created_at asc nulls last, id asc"
@@ -59,3 +63,15 @@ select id, client_id, feature_type, 'nan_strategy_unknown' from feature_configs
   where nan_strategy is null or nan_strategy not in ('decay', 'fill_zero', 'drop')""", "feature_configs"))
 def q_config_violations(spark, sf_dir):
     return C.config_violations(fx.feature_configs(spark, sf_dir))
+
+
+@register("config_merge", sql=with_views(f"""
+select *, lead(id) over (partition by client_id, feature_type {_ORDER}) is null as is_current
+from feature_configs""", "feature_configs"))
+def q_config_merge(spark, sf_dir):
+    """Versions that arrive in three parts, out of order and partly twice, merged into stored flags."""
+    store = ConfigStore(spark, scratch_path(spark, f"configs_{uuid.uuid4().hex}"), buckets=16)
+    configs = fx.feature_configs(spark, sf_dir)
+    for arriving in ("id % 4 in (1, 2)", "id % 4 = 0", "id % 4 in (2, 3)"):
+        store.merge(configs.filter(arriving))
+    return store.read()
