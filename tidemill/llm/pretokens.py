@@ -8,13 +8,16 @@ Two generations of at most ``MOST_CACHED`` runs each are kept, none longer than
 in bytes; results never depend on it. The shortcuts for letters suit patterns that keep a run of
 letters with the space before it together and full stops and commas apart; with others every text is cut
 by the pattern.
-A Python worker runs one task after another, so its tasks share one cache (``kept``).
+A Python worker runs one task after another, so its tasks share one cache (``kept``). Strings and bytes
+hold no cycles, so the cycle collector, which would walk the large sets again and again, rests in ``encode``.
 """
 
 from __future__ import annotations
 
+import gc
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import regex
@@ -46,6 +49,18 @@ def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """The cycle collector rests meanwhile; it is left as it was found."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class RunCache:
     """Ids of texts as packed bytes. ``encode_all`` maps pre-tokens to the packed ids of each."""
 
@@ -87,6 +102,10 @@ class RunCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
+        with uncollected():
+            return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
             runs = text.split(" ") if text and self._plain and _FIRST not in text else []
