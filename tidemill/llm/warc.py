@@ -13,7 +13,7 @@ digest; the skew-join rule splits a payload that a third of all pages share.
 
 Defined cases: a null ``html`` is an empty payload, which counts as equal to other empty ones; a null
 ``page_id`` sorts after all others; rows that repeat the smallest page_id of a payload are all
-responses; a null ``url`` is written empty. Files must be under 2 GB (``records_per_file`` bounds
+responses; a null ``url`` is written empty, line ends inside a URL are left out. Files must be under 2 GB (``records_per_file`` bounds
 them), a limit of Spark's binary file reader.
 """
 
@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm import common
 from tidemill.session import ensure_checkpoint_dir
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -180,11 +181,14 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def captures_of(pages: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Archive ``pages`` in the shared folder, read the archives back and assemble the captures."""
+    """Archive ``pages`` in the shared folder, read the archives back and assemble the captures.
+
+    The parsed records are kept as a table, as assembling reads them once for every kind of record.
+    """
     spark = pages.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write(pages, path)
-    return assemble(read(spark, path, with_payload))
+    return assemble(common.staged(read(spark, path, with_payload), "warc-records"))
 
 
 def page_table(captures: DataFrame) -> DataFrame:
