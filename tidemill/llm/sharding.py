@@ -7,8 +7,9 @@ bracket's ends, and any cell that is still large gets probes of its own. The cou
 collected also give the rank at which every cell begins, so one exchange by cell and a row number
 inside each cell yield gapless slots; no shard is ever one task.
 
-Only built-in functions run on the executors. The driver holds the probes (at most
-``MOST_PROBES``) and their counts, whatever the input's size.
+Refinement ends only when every splitter meets the tolerance or its bracket holds one row. Boundaries
+that neither hold a bracket nor keep a cell small are forgotten after each round, so the driver holds a
+number of them that follows from the shards alone. Only built-in functions run on the executors.
 
 Defined cases: a null or empty text has size 16 and checksum 0; a null ``doc_id`` sorts first;
 repeated rows keep their own slots; an empty table gives no rows; shards that no row reaches stay
@@ -28,7 +29,7 @@ SHARDS = 40
 ROW_BYTES = 16
 #: A splitter is met when its bytes differ from the target by this share of a shard.
 TOLERANCE = 0.001
-PROBES, CELLS_PER_SHARD, MOST_PROBES = 15, 16, 16_384
+PROBES, CELLS_PER_SHARD = 15, 16
 _LOW = -(1 << 63)
 _MINOR = 1 << 63
 
@@ -95,6 +96,16 @@ class Histogram:
             self.below[key] = (size, n)
 
 
+    def forget(self, keep: set[int], largest: int) -> None:
+        """Drop boundaries outside ``keep`` whose two cells together have at most ``largest`` rows."""
+        keys = sorted(self.below)
+        held = keys[:1]
+        for key, after in zip(keys[1:-1], keys[2:]):
+            if key in keep or self.below[after][1] - self.below[held[-1]][1] > largest:
+                held.append(key)
+        self.below = {key: self.below[key] for key in {*held, keys[-1]}}
+
+
 def _between(low: int, high: int, n: int) -> set[int]:
     return {low + (high - low) * k // (n + 1) for k in range(1, n + 1)} - {low, high}
 
@@ -104,20 +115,22 @@ def splitters(h: Histogram, shards: int, tolerance: float = TOLERANCE) -> list[i
     targets = [h.total * k / shards for k in range(1, shards)]
     largest_cell = max(1, h.count // (CELLS_PER_SHARD * shards))
     h.probe(_between(h.low, h.high, shards * PROBES))
-    while len(h.below) < MOST_PROBES:
+    while True:
         keys = sorted(h.below)
         sizes = [h.below[k][0] for k in keys]
         ask: set[int] = set()
+        ends: set[int] = set()
         for t in targets:
             at = min(max(1, bisect_left(sizes, t)), len(keys) - 1)
             a, b = keys[at - 1], keys[at]
+            ends |= {a, b}
             off = min(abs(h.below[a][0] - t), abs(h.below[b][0] - t))
             if off > tolerance * h.total / shards and h.below[b][1] - h.below[a][1] > 1:
                 ask |= _between(a, b, PROBES)
         for a, b in zip(keys, keys[1:]):
             if (n := h.below[b][1] - h.below[a][1]) > largest_cell:
                 ask |= _between(a, b, min(PROBES, n // largest_cell + 1))
-        ask = set(sorted(ask)[:MOST_PROBES]) - h.below.keys()
+        h.forget(ends, largest_cell)
         if not ask:
             break
         h.probe(ask)
