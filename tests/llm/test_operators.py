@@ -262,10 +262,9 @@ def test_repeats_of_texts_that_part_late(spark, monkeypatch):
     assert {i: n for i, n in got.items() if n} == {7: 46, 8: 46, 3000: 46, 3001: 46}
 
 
-@pytest.mark.parametrize("hot", [bwt_repeats.HOT, 2])
-def test_bwt_repeats(spark, odd, none, hot, monkeypatch):
-    monkeypatch.setattr(bwt_repeats, "HOT", hot)
-    rows = [(i, t.encode()) for i, t in rows_of(odd)]
+def bytes_removed(rows):
+    """Counts of the rows that op8 gives, window by window."""
+    rows = [(i, t.encode()) for i, t in rows]
     key = lambda i: float("inf") if i is None else i
     first = {}
     for i, b in rows:
@@ -279,10 +278,39 @@ def test_bwt_repeats(spark, odd, none, hot, monkeypatch):
                 gone[k:k + 50] = True
         spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
         want[(i, len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone[:-1]].tobytes()).hexdigest())] += 1
-    assert Counter(tuple(r) for r in bwt_repeats.removed(odd).collect()) == want
+    return want
+
+
+@pytest.mark.parametrize("hot", [bwt_repeats.HOT, 2])
+def test_bwt_repeats(spark, odd, none, hot, monkeypatch):
+    monkeypatch.setattr(bwt_repeats, "HOT", hot)
+    assert Counter(tuple(r) for r in bwt_repeats.removed(odd).collect()) == bytes_removed(rows_of(odd))
     assert bwt_repeats.removed(none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [bwt_repeats.HOT, 2])
+def test_bwt_repeats_send_one_holder_a_block(spark, hot, monkeypatch):
+    """A passage in all documents, cut differently in some, over blocks whose smallest ids interleave."""
+    monkeypatch.setattr(bwt_repeats, "HOT", hot)
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(200)
+    rows = [(i if i % 23 else None, text(30) + passage[i % 3 * 40:] + text(i % 60)) for i in rng.sample(range(240), 240)]
+    rows += [(rows[5][0], rows[9][1]), (rows[5][0], rows[5][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sent, send = [], bwt_repeats._send_runs
+
+    def watched(*given):
+        sent.append(send(*given))
+        return sent[-1]
+
+    monkeypatch.setattr(bwt_repeats, "_send_runs", watched)
+    assert Counter(tuple(r) for r in bwt_repeats.removed(df).collect()) == bytes_removed(rows)
+    for r in sent[0].collect():
+        holders, strings = np.frombuffer(r["docs"], np.int64), list(zip(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["codes"], np.uint64)))
+        assert len(holders) == len(strings) == len(set(strings))
+
+
 def test_merged_transforms_give_repeated_intervals():
     rng = random.Random(7)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(12, 40))) for _ in range(60)]
@@ -483,6 +511,17 @@ def test_sharding(spark, odd, none, docs):
     assert sharding.shard(none).count() == 0
 
 
+def test_splitters_meet_the_tolerance_in_a_wide_range(spark):
+    """Ids at both ends of the range and one id with most rows: many rounds, few boundaries held."""
+    rows = [(-(1 << 62), "a")] + [(k, "b" * (k % 9)) for k in range(600)] + [(7, "c")] * 1500 + [((1 << 62) + k, "d") for k in range(300)]
+    measured = sharding.measured(spark.createDataFrame(rows, "doc_id long, text string"))
+    h = sharding.Histogram(measured)
+    cut = sharding.splitters(h, 8, tolerance=0.0)
+    largest = max(r["size"] for r in measured.collect())
+    assert all(abs(h.below[c][0] - h.total * k / 8) <= largest for k, c in enumerate(cut, 1))
+    assert len(h.below) <= 3 * 8 * (sharding.CELLS_PER_SHARD + 1)
+
+
 def test_temporal_lists(spark):
     entries = [("host", "a.x.org", 10, "block", 0), ("host", "a.x.org", 20, "remove", 0), ("host", "a.x.org", 20, "allow", 1),
                ("domain", "x.org", 5, "block", 0), ("prefix", "a.x.org/p/", 15, "block", 0), ("host", None, 1, "block", 0),

@@ -7,7 +7,8 @@ work is cut down twice, without losing a window:
 1. Every window has an anchor, the position inside it whose ``GRAM``-byte hash is smallest; equal
    windows have equal anchors. Neighbouring windows with one anchor form a run. Anchors that occur in
    one document only are dropped (one byte count per distinct anchor and block travels).
-2. Runs with the same bytes are one entry, with the documents that hold it.
+2. Runs with the same bytes are one entry of a block, with the smallest document there that holds it. The
+   block's other holders lose all windows of the run to that one, so nothing about them travels.
 
 In each group of anchors, the remaining runs that share an anchor with a different run are dealt into
 shards. Every shard sorts its own suffixes and gives its transform; the transforms are merged by
@@ -145,7 +146,8 @@ def _shared_keys(group: pa.Table) -> pa.Table:
 class Entries:
     """The runs of a block that matter, by group, key, bytes and document.
 
-    ``content`` numbers the distinct (group, key, bytes), ``occurrence`` the distinct (content, document).
+    ``content`` is the number of the distinct (group, key, bytes); ``least`` marks the runs of a content's
+    smallest document in the block.
     """
 
     def __init__(self, runs: Runs, doc_ids: pa.Array, groups: blocks.Groups, shared: dict[int, bytes], window: int):
@@ -173,11 +175,12 @@ class Entries:
         self.group, self.key, self.code = group[order], own[order], code[order]
         self.first, self.count, self.doc = first[order], count[order], ids[text][order]
         self.new_content = _heads(self.group, self.key, self.code, self.count)
-        self.new_occurrence = self.new_content | _heads(self.doc)
+        self.content = np.cumsum(self.new_content) - 1
+        self.least = self.doc == self.doc[self.new_content][self.content]
 
 
 def _send_runs(joined: DataFrame, groups: blocks.Groups, window: int) -> DataFrame:
-    schema = "grp int, block long, keys binary, codes binary, sizes binary, bytes binary, holders binary, docs binary"
+    schema = "grp int, block long, keys binary, codes binary, sizes binary, bytes binary, docs binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, texts, doc_ids, row in blocks.each_block(batches):
@@ -186,14 +189,12 @@ def _send_runs(joined: DataFrame, groups: blocks.Groups, window: int) -> DataFra
             rows = []
             for a, b in zip(*_per_group(e.group)):
                 head = a + np.flatnonzero(e.new_content[a:b])
-                held = a + np.flatnonzero(e.new_occurrence[a:b])
                 size = e.count[head] + window - 1
                 at = _ranges(e.first[head], size)
-                holders = np.diff(np.append(np.searchsorted(held, head), held.size))
                 rows.append((int(e.group[a]), block, e.key[head].tobytes(), e.code[head].tobytes(), size.astype(np.uint16).tobytes(),
-                             runs.raw[at].tobytes(), holders.astype(np.uint32).tobytes(), e.doc[held].tobytes()))
+                             runs.raw[at].tobytes(), e.doc[head].tobytes()))
             if rows:
-                kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6
+                kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                                  names=[c.split()[0] for c in schema.split(", ")])
 
@@ -314,7 +315,6 @@ def _decide(window: int):
         key, code = np.concatenate(col("keys", np.uint64)), np.concatenate(col("codes", np.uint64))
         size = np.concatenate(col("sizes", np.uint16)).astype(np.int64)
         text = np.concatenate(col("bytes", np.uint8))
-        holders = np.concatenate(col("holders", np.uint32)).astype(np.int64)
         doc_parts = col("docs", np.int64)
         doc = np.concatenate(doc_parts)
         # equal (key, bytes) of different blocks are one string
@@ -324,14 +324,12 @@ def _decide(window: int):
         string[order] = np.cumsum(new) - 1
         one = order[new]
         n = one.size
-        of_doc = np.repeat(string, holders)
-        least = np.full(n, _LAST, np.int64)
-        np.minimum.at(least, of_doc, doc)
+        least = np.minimum.reduceat(doc[order], np.flatnonzero(new))
         # keys with several strings go through the transforms
         k = key[one]
         head = np.flatnonzero(_heads(k))
         several = np.repeat(np.diff(np.append(head, n)) > 1, np.diff(np.append(head, n)))
-        mask = np.where(least[of_doc] < doc, _U(0xFFFFFFFFFFFFFFFF), _U(0))
+        mask = np.where(least[string] < doc, _U(0xFFFFFFFFFFFFFFFF), _U(0))
         pick = np.flatnonzero(several)
         if pick.size:
             begin = (np.cumsum(size) - size)[one[pick]]
@@ -342,10 +340,10 @@ def _decide(window: int):
             first = np.cumsum(n_windows) - n_windows
             slot = np.full(n, -1, np.int64)
             slot[pick] = np.arange(pick.size)
-            asked = np.flatnonzero(slot[of_doc] >= 0)
+            asked = np.flatnonzero(slot[string] >= 0)
             for low in range(0, asked.size, 100_000):
                 some = asked[low:low + 100_000]
-                where = slot[of_doc[some]]
+                where = slot[string[some]]
                 many = n_windows[where]
                 run_to = np.cumsum(many)
                 step = np.arange(int(run_to[-1])) - np.repeat(run_to - many, many)
@@ -360,12 +358,12 @@ def _decide(window: int):
 
 def _gone(runs: Runs, e: Entries, masks: dict[int, bytes], window: int) -> np.ndarray:
     """Mask over the block's bytes."""
-    mask = np.zeros(int(e.new_occurrence.sum()), np.uint64)
-    held = e.group[e.new_occurrence]
+    mask = np.zeros(int(e.new_content.sum()), np.uint64)
+    held = e.group[e.new_content]
     for g, raw in masks.items():
         a, b = np.searchsorted(held, g), np.searchsorted(held, g, side="right")
         mask[a:b] = np.frombuffer(raw, np.uint64)
-    mask = mask[np.cumsum(e.new_occurrence) - 1] if mask.size else mask
+    mask = np.where(e.least, mask[e.content], _U(0xFFFFFFFFFFFFFFFF))
     to = np.cumsum(e.count)
     step = np.arange(int(to[-1]) if to.size else 0) - np.repeat(to - e.count, e.count)
     hit = (np.repeat(mask, e.count) >> step.astype(np.uint64)) & _U(1) == 1
