@@ -35,11 +35,13 @@ from pyspark.sql import DataFrame
 from tidemill.llm import blocks, common
 
 WINDOW, GRAM = 50, 24
-#: Anchors of one group, symbols merged at once, and symbols of one shard.
-GROUP, BATCH, SHARD = 250_000, 1 << 20, 1 << 16
+#: Anchors of one group, symbols merged at once, and symbols of one shard. A round reads and writes a batch's
+#: arrays in the order of the suffixes, so a batch is as large as a core's cache.
+GROUP, BATCH, SHARD = 250_000, 1 << 17, 1 << 15
 #: Documents from which on an anchor's runs travel as single windows.
 HOT = 4096
-_SPAN, _PLACE = 1 << 20, 21
+#: Window starts hashed at once, whose arrays stay in a core's cache, and bits of a place among them.
+_SPAN, _PLACE = 1 << 16, 21
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -202,18 +204,21 @@ def _send_runs(joined: DataFrame, groups: blocks.Groups, window: int) -> DataFra
 
 
 class Shard:
-    """Some strings' suffixes in order, and their Burrows-Wheeler transform. Symbol 0 ends a string."""
+    """Some strings' suffixes in order, and their Burrows-Wheeler transform. Symbol 0 ends a string.
+
+    A symbol is a byte plus one, and fits a byte itself: UTF-8 has no byte above 0xF4.
+    """
 
     def __init__(self, symbols: np.ndarray, string: np.ndarray, left: np.ndarray):
         # ``left``: symbols from here to the string's end, its 0 included
         n = symbols.size
-        width = 7
+        width = 8
         code = np.zeros(n, np.uint64)
-        for k in range(width):                                  # nine bits a symbol, seven symbols at once
+        for k in range(width):                                  # eight bits a symbol, eight symbols at once
             part = np.zeros(n, np.uint64)
             part[:n - k] = symbols[k:].astype(np.uint64)
             part[left <= k] = 0
-            code = (code << _U(9)) | part
+            code = (code << _U(8)) | part
         rank, order = self._ranked(code)
         while width < int(left.max(initial=0)):
             after = np.zeros(n, np.uint64)
@@ -222,7 +227,7 @@ class Shard:
             rank, order = self._ranked((rank.astype(np.uint64) << _U(32)) | after)
             width *= 2
         self.order = order
-        before = np.empty(n, np.uint16)
+        before = np.empty(n, np.uint8)
         before[1:] = symbols[:-1]                               # a string's first symbol follows a 0
         before[:1] = 0
         self.transform = before[order]
@@ -243,11 +248,11 @@ def merge(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
     symbols read, which are the first symbols of the suffixes one longer.
     """
     symbols = np.concatenate([s.transform for s in shards])
-    kind = np.uint16 if len(shards) < 1 << 16 else np.uint32
+    kind = np.min_scalar_type(len(shards))
     z = np.repeat(np.arange(len(shards), dtype=kind), [s.order.size for s in shards])
     ends = np.repeat(np.arange(len(shards), dtype=kind), [s.strings for s in shards])
     cls = np.zeros(z.size, np.int32)
-    read = np.empty(z.size, np.uint16)
+    read = np.empty(z.size, np.uint8)
     for _ in range(rounds):
         read[np.argsort(z, kind="stable")] = symbols            # each shard's transform, in its own order
         order = np.argsort(read, kind="stable")
@@ -255,7 +260,7 @@ def merge(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
         z = z[order]
         z[:ends.size] = ends                                    # string ends keep their order
         above[:ends.size] = 0
-        before, cls = int(cls[-1]), (np.cumsum(_heads(first, above)) - 1).astype(np.int32)
+        before, cls = int(cls[-1]), np.cumsum(_heads(first, above), dtype=np.int32) - 1
         if int(cls[-1]) + 1 == z.size and before + 1 == z.size:
             break
     return z, cls
@@ -268,10 +273,10 @@ def _smallest_holder(strings: np.ndarray, sizes: np.ndarray, least: np.ndarray,
     """
     total = sizes + 1
     to = np.cumsum(total)
-    symbols = np.zeros(int(to[-1]), np.uint16)
+    symbols = np.zeros(int(to[-1]), np.uint8)
     inner = np.ones(symbols.size, bool)
     inner[to - 1] = False
-    symbols[inner] = strings.astype(np.uint16) + 1
+    symbols[inner] = strings + 1
     owner = np.repeat(np.arange(sizes.size, dtype=np.int32), total)
     left = (np.repeat(to, total) - np.arange(symbols.size)).astype(np.int32)
     cut = np.unique(np.append(np.searchsorted(to, np.arange(0, symbols.size, SHARD), side="left"), sizes.size))
