@@ -3,6 +3,7 @@
 import datetime as dt
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -97,12 +98,23 @@ def test_weather_rows_that_repeat_a_day_do_not_repeat_demand(spark):
     assert [r["temperature"] for r in FE.weather_features(daily, weather, site="site").collect()] == [2.0]
 
 
-def test_daily_median_is_exact(spark):
+def test_latency_levels_are_exact(spark):
     days = [(dt.date(2024, 1, d), [((7 * k * d) % 31) / 4 for k in range(n)]) for d, n in ((1, 1), (2, 2), (3, 99), (4, 100))]
-    rows = [(d, v) for d, values in days for v in values] + [(dt.date(2024, 1, 4), None), (dt.date(2024, 1, 5), None)]
-    usage = spark.createDataFrame(rows, "day date, latency_ms double")
-    found = {r["day"]: r["cluster_median"] for r in T.daily_median(usage).collect()}
-    assert found == {d: statistics.median(values) for d, values in days}
+    rows = [(len(str(v)) % 3, d, v) for d, values in days for v in values]
+    odd = [(0, dt.date(2024, 1, 4), None), (0, dt.date(2024, 1, 5), None)]
+    usage = spark.createDataFrame(rows + odd, "tenant_id int, day date, latency_ms double")
+    p95, median = T.latency_levels(usage)
+    assert {r["day"]: r["cluster_median"] for r in median.collect()} == {d: statistics.median(values) for d, values in days}
+    want = {}
+    for tenant, d, v in rows:
+        want.setdefault((tenant, d), []).append(v)
+    found = {(r["tenant_id"], r["day"]): r["p95"] for r in p95.collect()}
+    assert found.keys() == want.keys()
+    for key, values in want.items():
+        values.sort()
+        at = 0.95 * (len(values) - 1)
+        low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+        assert found[key] == pytest.approx(low + (at - int(at)) * (high - low))
 
 
 def test_gates_and_state_after_aggregation(spark):

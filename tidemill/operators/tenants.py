@@ -83,41 +83,67 @@ def volume_signals(usage: DataFrame, as_of: Column, days: int = 90) -> DataFrame
                    .withColumn("ingress_flag", F.col("max_day_bytes") > INGRESS_DAY_BYTES))
 
 
-def daily_median(usage: DataFrame) -> DataFrame:
-    """Exact median latency of each day over all tenants, without a day in one buffer.
+def _rank(q: float) -> Column:
+    return F.lit(q) * (F.col("total") - 1)
 
-    Rows are counted per (day, whole milliseconds); cumulative counts over these
-    few rows name the cells that hold the two middle ranks, and only values of
-    those cells are counted and ranked one by one.
+
+def _holds(q: float) -> Column:
+    """The row's ``n`` items after the first ``before`` of ``total`` include a rank that quantile ``q`` needs."""
+    inside = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+    return inside(F.floor(_rank(q))) | inside(F.ceil(_rank(q)))
+
+
+def _held(counts: DataFrame, by: list[str], q: float) -> DataFrame:
+    """The cells of ``counts`` (by, cell, n) with the middle ranks of each group, and the rows before them."""
+    group = Window.partitionBy(*by)
+    upto = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (counts.withColumn("before", F.sum("n").over(upto) - F.col("n")).withColumn("total", F.sum("n").over(group))
+                  .filter(_holds(q)).select(*by, "cell", "before", "total"))
+
+
+def _quantile(values: DataFrame, by: list[str], q: float) -> DataFrame:
+    """Quantile of each group from its held cells' ``values`` (by, cell, before, total, latency_ms, n)."""
+    inside = (Window.partitionBy(*by, "cell").orderBy("latency_ms")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = values.withColumn("before", F.col("before") + F.sum("n").over(inside) - F.col("n"))
+    at = lambda rank: F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("latency_ms")))
+    low, high = at(F.floor(_rank(q))), at(F.ceil(_rank(q)))
+    return ranked.groupBy(*by).agg(low.alias("_low"), high.alias("_high"), F.max(_rank(q)).alias("_rank")).select(
+        *by, (F.col("_low") + (F.col("_rank") - F.floor("_rank")) * (F.col("_high") - F.col("_low"))).alias("value"))
+
+
+def latency_levels(usage: DataFrame, q: float = 0.95) -> tuple[DataFrame, DataFrame]:
+    """(tenant_id, day, p95) and (day, cluster_median), both exact, without a tenant-day or day in one buffer.
+
+    One table counts rows per (tenant, day, whole millisecond). Cumulative counts name the cells with
+    the ranks that the tenant's quantile or the day's median needs, and a second pass counts the single
+    values of those cells only. Rows without a latency take no part.
     """
-    rows = usage.filter(F.col("latency_ms").isNotNull()).select("day", "latency_ms", F.floor("latency_ms").alias("cell"))
-    day = Window.partitionBy("day")
-    upto = day.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
-    holds = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-    cells = (rows.groupBy("day", "cell").agg(F.count(F.lit(1)).alias("n"))
-                 .withColumn("before", F.sum("n").over(upto) - F.col("n"))
-                 .withColumn("total", F.sum("n").over(day))
-                 .filter(holds(low) | holds(high)).select("day", "cell", "before", "total"))
-    inside = Window.partitionBy("day", "cell").orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = (rows.join(F.broadcast(cells), ["day", "cell"])               # at most two rows a day
-                  .groupBy("day", "cell", "before", "total", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
-                  .withColumn("before", F.col("before") + F.sum("n").over(inside) - F.col("n")))
-    at = lambda rank: F.max(F.when(holds(rank), F.col("latency_ms")))
-    return values.groupBy("day").agg((F.lit(0.5) * at(low) + F.lit(0.5) * at(high)).alias("cluster_median"))
+    rows = (usage.filter(F.col("latency_ms").isNotNull())
+                 .select("tenant_id", "day", "latency_ms", F.floor("latency_ms").alias("cell")))
+    counts = rows.groupBy("tenant_id", "day", "cell").agg(F.count(F.lit(1)).alias("n"))
+    of_tenant = _held(counts, ["tenant_id", "day"], q)
+    of_day = _held(counts.groupBy("day", "cell").agg(F.sum("n").alias("n")), ["day"], 0.5)      # at most two rows a day
+    wanted = (counts.join(of_tenant.select("tenant_id", "day", "cell", F.struct("before", "total").alias("tenant")), ["tenant_id", "day", "cell"], "left")
+                    .join(F.broadcast(of_day.select("day", "cell", F.struct("before", "total").alias("whole"))), ["day", "cell"], "left")
+                    .filter("tenant is not null or whole is not null").select("tenant_id", "day", "cell", "tenant", "whole"))
+    values = (rows.join(wanted, ["tenant_id", "day", "cell"])
+                  .groupBy("tenant_id", "day", "cell", "tenant", "whole", "latency_ms").agg(F.count(F.lit(1)).alias("n")))
+    mine = values.filter("tenant is not null").select("tenant_id", "day", "cell", "tenant.*", "latency_ms", "n")
+    whole = (values.filter("whole is not null").groupBy("day", "cell", "whole", "latency_ms").agg(F.sum("n").alias("n"))
+                   .select("day", "cell", "whole.*", "latency_ms", "n"))
+    return (_quantile(mine, ["tenant_id", "day"], q).withColumnRenamed("value", "p95"),
+            _quantile(whole, ["day"], 0.5).withColumnRenamed("value", "cluster_median"))
 
 
 def p95_breaches(usage: DataFrame, factor: float = P95_FACTOR, days_in_a_row: int = P95_DAYS_IN_A_ROW) -> DataFrame:
     """Runs of at least ``days_in_a_row`` consecutive days on which a tenant's p95 latency
     exceeds ``factor`` x the cluster median of that day (D7).
 
-    A tenant's p95 is an exact percentile, a partial aggregate whose buffer holds
-    that tenant-day's distinct values with counts. The medians of whole days
-    (``daily_median``) never gather a day; they are one row per day and are
-    broadcast. Consecutive days are grouped by ``day - row_number``.
+    Both levels come from counted cells (``latency_levels``). The medians are one row
+    per day and are broadcast. Consecutive days are grouped by ``day - row_number``.
     """
-    p95 = usage.groupBy("tenant_id", "day").agg(F.percentile("latency_ms", 0.95).alias("p95"))
-    med = daily_median(usage)
+    p95, med = latency_levels(usage)
     bad = (p95.join(F.broadcast(med), "day")
               .filter(F.col("p95") > F.lit(factor) * F.col("cluster_median")))
     w = Window.partitionBy("tenant_id").orderBy("day")
