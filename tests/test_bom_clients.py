@@ -125,3 +125,19 @@ def test_untouched_roots_are_not_expanded(spark):
     changed = edges[:15] + [(15, 16, 3.0, "x")] + edges[16:]
     roots = BD.affected_roots(spark.createDataFrame(edges, EDGES), spark.createDataFrame(changed, EDGES), 4)
     assert {r["root"] for r in roots.collect()} == {12, 13, 14, 15}
+
+
+def test_rows_of_profiles_are_not_moved(spark):
+    """What a root reaches is shuffled once; neither its profiles' rows nor sales are multiplied before a shuffle."""
+    edges = spark.createDataFrame([(3, 2, 1.0, "x"), (2, 1, 1.0, "y"), (1, 3, 1.0, "x")], EDGES)
+    needs = spark.createDataFrame([(3, cap, True, check) for cap in (1, 5) for check in (True, False)],
+                                  "root long, max_levels int, include_produced_at boolean, cycle_detection boolean")
+    rows = BC.explode_profiles(edges, needs)
+    moves = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert moves and not any("max_levels" in line for line in moves)
+    profiles = spark.createDataFrame([(7, 5, True, True, None)], "client_id long, max_levels int, include_produced_at boolean, cycle_detection boolean, error_message string")
+    sales = spark.createDataFrame([(7, 3, "2024-01-05", 2.0), (7, 2, "2024-01-05", 1.0)], "client_id long, product_id long, ds string, qty double")
+    demand = BC.demand_by_profile(sales, profiles, BC.reached_below(edges, needs.union(needs.withColumn("root", needs.root - 1))))
+    moves = [line for line in demand._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert moves and not any("component" in line for line in moves)
+    assert {tuple(r) for r in demand.collect()} == {(7, 2, "x", "2024-01-05", 2.0), (7, 1, "y", "2024-01-05", 3.0), (7, 3, "x", "2024-01-05", 1.0)}

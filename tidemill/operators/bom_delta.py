@@ -53,8 +53,9 @@ def explode_roots(edges: DataFrame, roots: DataFrame | None = None, max_levels:
     seeds = edges.select(F.col("parent").alias("root")).distinct()
     if roots is not None:
         seeds = seeds.join(roots, "root", "left_semi")
-    seeds = seeds.select("root", F.lit(True).alias("checked"), F.lit(max_levels).alias("cap"))
-    return (expand(edges, seeds, recurring_nodes(edges, max_levels)).groupBy("root", "component", "produced_at")
+    seeds = checkpointed(seeds).select("root", F.lit(True).alias("checked"), F.lit(False).alias("loose"), F.lit(max_levels).alias("cap"))
+    levels = expand(edges, seeds, recurring_nodes(edges, max_levels))
+    return (levels.select("root", "component", "level", F.inline("sites")).groupBy("root", "component", "produced_at")
             .agg(F.sum("q").alias("qty"), F.sum("n").cast("long").alias("paths"),
                  F.min("level").alias("min_level"), F.max("level").alias("max_level")))
 
