@@ -1,5 +1,6 @@
 """Sinks: monthly rewrite semantics, tenant split reconciliation, stream = batch."""
 
+import os
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -168,3 +169,18 @@ def test_a_new_checkpoint_keeps_older_outcomes(spark, tmp_path):
         run_available(spark.readStream.schema(schema).parquet(src).writeStream.foreachBatch(sink), str(tmp_path / f"ckpt{n}"))
     assert sorted(r.event_id for r in spark.read.parquet(ok).collect()) == ["11", "21"]
     assert sorted(r.event_id for r in spark.read.parquet(dead).collect()) == ["10", "20"]
+
+
+def test_parts_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A part has as many files as its rows ask for, and a micro-batch of the stream is still one part."""
+    from tidemill.plans import q_streams as QS
+    from tidemill.streaming.runner import run_available
+    monkeypatch.setattr(QS, "ROWS_PER_FILE", 50)
+    files = QS.files_per_part(spark, SF_SMALL)
+    assert files > 1
+    src, seen = str(tmp_path / "parts"), []
+    QS.write_parts(spark, SF_SMALL, src, [2, 0], files)
+    assert len([f for f in os.listdir(src) if f.endswith(".parquet")]) == 2 * files
+    run_available(QS.parts_stream(spark, SF_SMALL, src, files).writeStream.foreachBatch(
+        lambda batch, _: seen.append({r[0] for r in batch.select(QS._part()).distinct().collect()})), str(tmp_path / "ckpt"))
+    assert seen == [{2}, {0}]

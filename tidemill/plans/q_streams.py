@@ -32,24 +32,30 @@ from tidemill.streaming import sinks as SK
 from tidemill.streaming.runner import run_available, stream_table
 
 
-#: Files that the registered streams read, one a micro-batch, by event time.
-PARTS = 4
+#: Parts that the registered streams read, one a micro-batch, by event time; rows of one file of a part.
+PARTS, ROWS_PER_FILE = 4, 50_000
 
 
 def _part():
     return F.floor((F.dayofmonth("event_ts") - 1) * PARTS / 31).cast("int")
 
 
-def write_parts(spark, sf_dir: str, folder: str, order) -> None:
-    """Append the given parts of the messages to ``folder``, one file each, in this order."""
+def files_per_part(spark, sf_dir: str) -> int:
+    """Files of every part: the same number for all, so that a stream that takes as many reads whole parts."""
+    counts = {r[0]: r[1] for r in fx.raw_messages(spark, sf_dir).groupBy(_part()).count().collect()}
+    return max(1, min(counts.get(k, 0) for k in range(PARTS)) // ROWS_PER_FILE)
+
+
+def write_parts(spark, sf_dir: str, folder: str, order, files: int = 1) -> None:
+    """Append the given parts of the messages to ``folder``, ``files`` files each (none empty), in this order."""
     raw = fx.raw_messages(spark, sf_dir)
     for k in order:
-        raw.filter(_part() == k).coalesce(1).write.mode("append").parquet(folder)
+        raw.filter(_part() == k).repartition(files).write.mode("append").parquet(folder)
 
 
-def parts_stream(spark, sf_dir: str, folder: str):
-    """The files of ``folder`` as a stream, oldest file first."""
-    return (spark.readStream.schema(fx.raw_messages(spark, sf_dir).schema).option("maxFilesPerTrigger", 1).parquet(folder))
+def parts_stream(spark, sf_dir: str, folder: str, files: int = 1):
+    """The parts in ``folder`` as a stream, a part a micro-batch, oldest first."""
+    return (spark.readStream.schema(fx.raw_messages(spark, sf_dir).schema).option("maxFilesPerTrigger", files).parquet(folder))
 
 
 @register("stream_clients", sql=with_views(f"""
@@ -58,11 +64,12 @@ with {norm_with(q_clients.ROWS_SQL.strip(), q_clients.FOLD_SQL.strip())} select
 def q_stream_clients(spark, sf_dir):
     """Files newest first, a restart in between, and a second checkpoint that reads all of them again."""
     src, out = T.scratch_dir(spark, "messages"), T.scratch_dir(spark, "clients-versions")
-    write_parts(spark, sf_dir, src, [3, 2])
-    folded = CS.client_fold_stream(parts_stream(spark, sf_dir, src), as_of_ntz())
+    files = files_per_part(spark, sf_dir)
+    write_parts(spark, sf_dir, src, [3, 2], files)
+    folded = CS.client_fold_stream(parts_stream(spark, sf_dir, src, files), as_of_ntz())
     run_available(CS.write_versions(folded, out), out + "-ckpt")
-    write_parts(spark, sf_dir, src, [1, 0])
-    folded = CS.client_fold_stream(parts_stream(spark, sf_dir, src), as_of_ntz())
+    write_parts(spark, sf_dir, src, [1, 0], files)
+    folded = CS.client_fold_stream(parts_stream(spark, sf_dir, src, files), as_of_ntz())
     run_available(CS.write_versions(folded, out), out + "-ckpt")
     run_available(CS.write_versions(folded, out), out + "-ckpt-new")
     return q_clients._fold_out(CS.read_current(spark, out))
@@ -104,9 +111,10 @@ def q_result_events(spark, sf_dir):
 def q_stream_sales_enriched(spark, sf_dir):
     """Clients folded by one stream, notifications enriched by another; both read several files."""
     src, versions, out = (T.scratch_dir(spark, n) for n in ("messages", "clients-versions", "enriched"))
-    write_parts(spark, sf_dir, src, range(PARTS))
-    run_available(CS.write_versions(CS.client_fold_stream(parts_stream(spark, sf_dir, src), as_of_ntz()), versions), versions + "-ckpt")
-    run_available(CS.enrich_stream(parts_stream(spark, sf_dir, src), versions, out), out + "-ckpt")
+    files = files_per_part(spark, sf_dir)
+    write_parts(spark, sf_dir, src, range(PARTS), files)
+    run_available(CS.write_versions(CS.client_fold_stream(parts_stream(spark, sf_dir, src, files), as_of_ntz()), versions), versions + "-ckpt")
+    run_available(CS.enrich_stream(parts_stream(spark, sf_dir, src, files), versions, out), out + "-ckpt")
     return SK.read_batches(spark, out).drop("query", "batch")
 
 
@@ -116,10 +124,11 @@ with {norm_with()} select event_id, arrival_seq, stream, event_type, route, outc
 def q_stream_outcomes(spark, sf_dir):
     """Two queries, each with a checkpoint of its own, write half of the files to one pair of tables (K3)."""
     done, dead = T.scratch_dir(spark, "outcomes"), T.scratch_dir(spark, "dead")
+    files = files_per_part(spark, sf_dir)
     for half in (range(PARTS // 2), range(PARTS // 2, PARTS)):
         src = T.scratch_dir(spark, "messages")
-        write_parts(spark, sf_dir, src, half)
-        run_available(parts_stream(spark, sf_dir, src).writeStream.foreachBatch(MQ.outcome_sink(done, dead, as_of_ntz())), src + "-ckpt")
+        write_parts(spark, sf_dir, src, half, files)
+        run_available(parts_stream(spark, sf_dir, src, files).writeStream.foreachBatch(MQ.outcome_sink(done, dead, as_of_ntz())), src + "-ckpt")
     return (SK.read_batches(spark, done).withColumn("dead", F.lit(False))
             .unionByName(SK.read_batches(spark, dead).withColumn("dead", F.lit(True))).drop("query", "batch"))
 
@@ -191,9 +200,10 @@ where status <> 'pending' or b = (select max(b) from clocks)""", "raw_messages")
 def q_stream_deliveries(spark, sf_dir):
     """Messages in several batches, retried until their client is known or the attempts are spent."""
     src, out = T.scratch_dir(spark, "messages"), T.scratch_dir(spark, "deliveries")
-    write_parts(spark, sf_dir, src, range(PARTS))
+    files = files_per_part(spark, sf_dir)
+    write_parts(spark, sf_dir, src, range(PARTS), files)
     sink = RD.retry_sink(out, known_client_handler(out + "-clients"), ATTEMPTS, BACKOFF)
-    run_available(parts_stream(spark, sf_dir, src).writeStream.foreachBatch(sink), out + "-ckpt")
+    run_available(parts_stream(spark, sf_dir, src, files).writeStream.foreachBatch(sink), out + "-ckpt")
     return RD.delivery_state(spark, out)
 
 
