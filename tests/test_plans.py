@@ -128,3 +128,22 @@ def test_gates_and_state_after_aggregation(spark):
     state = spark.createDataFrame([(1, day(4)), (2, day(9)), (5, None)], "client_id int, last_processed_at date")
     now = {r["client_id"]: r["last_processed_at"] for r in CL.advance_state(rows, state).collect()}
     assert now == {1: day(5), 2: day(9), 3: day(1), 4: day(4), 5: None, None: day(1)}
+
+
+def test_a_sale_moves_once_with_its_components(spark):
+    from tidemill.operators import bom as B
+    sales = spark.createDataFrame([(7, 3, "2024-01-05", 2.0), (7, 4, "2024-01-05", 1.0)], "client_id long, product_id long, ds string, qty double")
+    exploded = spark.createDataFrame([(3, 1, 2.0), (3, 2, 1.0), (4, 1, 0.5)], "root long, component long, qty double")
+    demand = B.component_demand(sales, exploded, 20 * B.SALES_PER_TASK)
+    plan = demand._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("component" in line for line in moves) and any("ds" in line and ", 20)" in line for line in moves)
+    assert {tuple(r) for r in demand.collect()} == {(7, 1, "2024-01-05", 4.5), (7, 2, "2024-01-05", 2.0)}
+
+
+def test_windows_get_more_tasks_with_more_rows(spark):
+    from tidemill.operators import features as FE
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(10)
+    assert FE.spread_by_key(rows, ["id"], (few + 7) * FE.DAYS_PER_TASK).rdd.getNumPartitions() == few + 7
+    assert FE.spread_by_key(rows, ["id"], 10).rdd.getNumPartitions() == few
