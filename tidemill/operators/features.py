@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import partitions_for
+
 # Documented defaults of the feature configuration.
 DEFAULT_WINDOW_DAYS = 90
 DEFAULT_ALPHA = 0.5
@@ -49,16 +51,20 @@ def daily_demand(facts: DataFrame, keys: Sequence[str], ts_col: str = "ds",
                  .agg(F.sum(qty_col).alias("qty")))
 
 
-def spread_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hash-partition by the series key into ``spark.sql.shuffle.partitions`` parts.
+#: Rows of a series that one task's windows hold, about.
+DAYS_PER_TASK = 100_000
+
+
+def spread_by_key(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Hash-partition by the series key into ``spark.sql.shuffle.partitions`` parts, or more of
+    ``DAYS_PER_TASK`` rows each if ``rows`` (about how many there are) asks for them.
 
     The window needs this exchange anyway; giving it an explicit number keeps
     AQE from merging the stage into a few partitions by byte size (window
     work is per row and per frame item, not per byte: merged, a few tasks do
     all of it).
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+    return df.repartition(partitions_for(df.sparkSession, rows or 0, DAYS_PER_TASK), *keys)
 
 
 def _day(col: str = "ds") -> Column:
@@ -280,7 +286,7 @@ _UNIT_FRAME = "range between 0.998630137 preceding and current row"
 
 def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, alpha: float = DEFAULT_ALPHA,
                     default_window: int = DEFAULT_WINDOW_DAYS,
-                    default_min_samples: int = DEFAULT_MIN_SAMPLES) -> DataFrame:
+                    default_min_samples: int = DEFAULT_MIN_SAMPLES, rows: int | None = None) -> DataFrame:
     """EMA/MA/STD/count with per-key ``window_days`` / ``min_samples`` / ``nan_strategy`` / ``alpha``.
 
     ``params`` has ``keys, window_days, min_samples, nan_strategy`` and maybe ``alpha`` in [0, 1] (one row
@@ -293,7 +299,7 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
     ``_fill_zero_features``. The length of an epoch follows from the key's alpha; the number of sums kept
     apart is that of the largest alpha below 1, found by one aggregate over ``params``. Alpha 1 leaves the
     day's own value, alpha 0 the mean. STD comes from the frame's centred second moment, joined with the
-    empty days' zeros for ``fill_zero``.
+    empty days' zeros for ``fill_zero``. ``rows`` (about as many as ``daily`` has) sets the number of tasks.
     """
     if not 0.0 <= alpha <= 1.0:
         raise ValueError("alpha must be in [0, 1]")
@@ -312,7 +318,7 @@ def per_key_rolling(daily: DataFrame, keys: Sequence[str], params: DataFrame, al
         F.coalesce(F.col("window_days"), F.lit(default_window)).alias("window_days"),
         F.coalesce(F.col("min_samples"), F.lit(default_min_samples)).alias("min_samples"),
         F.when(strat.isin(*NAN_STRATEGIES), strat).otherwise(F.lit("decay")).alias("nan_strategy"),
-        F.coalesce(F.col("alpha"), F.lit(alpha)).alias("alpha")), keys)
+        F.coalesce(F.col("alpha"), F.lit(alpha)).alias("alpha")), keys, rows)
     whole = Window.partitionBy(*keys)
     obs = base.select("*", F.min("ds").over(whole).alias("_first"), F.max("ds").over(whole).alias("_last"),
                       F.row_number().over(Window.partitionBy(*keys).orderBy("ds")).alias("_rk"))

@@ -176,7 +176,7 @@ group by a.client_id, a.ds, a.qty, a.w, a.ms, a.strat""",
     "sales", "feature_configs"))
 def q_feat_ema_by_config(spark, sf_dir):
     params = C.valid_ema_params(C.config_current(fx.feature_configs(spark, sf_dir)))
-    return FE.per_key_rolling(_daily(spark, sf_dir), KEYS, params).drop("std")
+    return FE.per_key_rolling(_daily(spark, sf_dir), KEYS, params, rows=fx.sale_lines(spark, sf_dir).count()).drop("std")
 
 
 _ALPHA_PARAMS_SQL = """
@@ -216,4 +216,4 @@ def q_feat_alpha_by_config(spark, sf_dir):
     """Every client's own window, samples, strategy and alpha (E12), with STD."""
     configs = fx.feature_configs(spark, sf_dir).withColumn("alpha", fx.config_alpha())
     params = C.valid_ema_params(C.config_current(configs))
-    return FE.per_key_rolling(_daily(spark, sf_dir), KEYS, params)
+    return FE.per_key_rolling(_daily(spark, sf_dir), KEYS, params, rows=fx.sale_lines(spark, sf_dir).count())
