@@ -106,3 +106,10 @@ def test_fill_zero_is_refused(spark, tmp_path):
     df = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError):
         INC.feature_run(df, df, str(tmp_path / "s"), nan_strategy="fill_zero")
+
+
+def test_single_days_are_joined_by_equality(spark):
+    rows = spark.createDataFrame([(1, "2024-01-05"), (1, "2024-01-06"), (2, "2024-01-05")], "client_id long, ds string")
+    days = spark.createDataFrame([(1, "2024-01-05"), (2, "2024-01-07")], "client_id long, lo string")
+    for how, want in (("left_semi", {(1, "2024-01-05")}), ("left_anti", {(1, "2024-01-06"), (2, "2024-01-05")})):
+        assert {tuple(r) for r in INC.within(rows, days, how=how).collect()} == want

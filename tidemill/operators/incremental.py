@@ -68,12 +68,18 @@ def dirty_intervals(changed: DataFrame, window_days: int, key: str = KEY) -> Dat
 
 def months_between(intervals: DataFrame) -> list:
     """The months that the intervals touch; one value per calendar month, whatever the number of keys."""
-    days = F.sequence(month_key(F.col("lo")), month_key(F.col("hi")), F.expr("interval 1 month"))
+    last = F.col("hi" if "hi" in intervals.columns else "lo")
+    days = F.sequence(month_key(F.col("lo")), month_key(last), F.expr("interval 1 month"))
     return [r[0] for r in intervals.select(F.explode(days).alias("m")).distinct().orderBy("m").collect()]
 
 
 def within(rows: DataFrame, intervals: DataFrame, key: str = KEY, how: str = "left_semi") -> DataFrame:
-    """Rows (key, ds) inside (``left_semi``) or outside (``left_anti``) every interval of their key."""
+    """Rows (key, ds) inside (``left_semi``) or outside (``left_anti``) every interval of their key.
+
+    Intervals without ``hi`` are single days, joined by equality: a key's rows are not compared with all its days.
+    """
+    if "hi" not in intervals.columns:
+        return rows.join(intervals.select(key, F.col("lo").alias("ds")), [key, "ds"], how).select(rows.columns)
     i = intervals.select(F.col(key).alias("_key"), "lo", "hi")
     return rows.join(i, (F.col(key) == F.col("_key")) & F.col("ds").between(F.col("lo"), F.col("hi")), how)
 
@@ -134,7 +140,7 @@ def feature_run(facts: DataFrame, changed: DataFrame, store: str, clients: DataF
     if clients is not None:
         ready = _staged(CL.gate_eligible(todo, clients, key), "ready")
     days = _staged(changed_days(facts, ready, key), "changed")
-    exact = days.select(key, F.col("ds").alias("lo"), F.col("ds").alias("hi"))
+    exact = days.select(key, F.col("ds").alias("lo"))
     replace_days(spark, f"{store}/daily", days, exact, key)
 
     dirty = _staged(dirty_intervals(days, window_days, key), "dirty")
