@@ -5,10 +5,12 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tidemill.llm import (bpe, bwt_repeats, common, fingerprints, ngram_join, packing, quality, queries, repeats, sharding,
                           url_lists, warc)
-from tidemill.llm.pretokens import RunCache
+from tidemill.llm.pretokens import RunCache, kept
 from tidemill.llm.tokenizers import PATTERN, RANK_FILE, TOKENIZER_FILE
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -550,6 +552,51 @@ def test_temporal_lists_oracle(spark):
     assert Counter(tuple(map(_norm, r)) for r in got) == Counter(tuple(map(_norm, r)) for r in want.fetchall())
 
 
+class Taken:
+    """Gives the function that a table would run in its tasks."""
+
+    schema = None
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, task, _):
+        return task
+
+
+@pytest.mark.parametrize("take, most_mb", [(lambda d: quality.filtered(d, quality.Model()), 40),
+                                           (lambda d: ngram_join._first_pass(d, 5), 80)])
+def test_tasks_hold_few_arrays_whatever_the_batch(monkeypatch, take, most_mb):
+    """A batch of 12 MB of text is worked off in small slices, in memory that does not follow the batch."""
+    monkeypatch.setattr(ngram_join, "_row_hash", lambda: None)
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(12)) for _ in range(30)) for _ in range(6000)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts), ids], names=["doc_id", "text", "row_hash"])
+    task = take(Taken())
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in task(iter([batch]))) >= len(texts)      # none of them fails the rules
+        assert tracemalloc.get_traced_memory()[1] < most_mb << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_kept_objects_go_when_another_operator_runs():
+    """A worker's tokenizer and cache stay for tasks that use them, not beside another operator's arrays."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b"])], names=["text"])
+    made = kept(("test",), object)
+    assert list(common.slices(iter([batch]), keeping=True)) and kept(("test",), object) is made
+    assert list(common.slices(iter([batch]))) and kept(("test",), object) is not made
+
+
+def test_span_hashes_do_not_depend_on_the_span(monkeypatch):
+    raw = np.frombuffer(random.Random(2).randbytes(4000), np.uint8)
+    want = common.words(raw, np.array([0, 900, 900, 4000])).hashes
+    monkeypatch.setattr(common, "_SPAN", 64)
+    assert (common.words(raw, np.array([0, 900, 900, 4000])).hashes == want).all()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -250,7 +250,7 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = Fals
             return RunCache(pattern, Encoder(ranks).all), Decoder(ranks)
 
         cache, decoder = kept(("ranks", hashlib.sha256(shared.value).digest(), pattern), coders)
-        for part in common.slices(batches, most=1 << 22):
+        for part in common.slices(batches, most=1 << 22, keeping=True):
             ids = cache.encode([t or "" for t in part.column("text").to_pylist()])
             cols = [part.column("doc_id").cast(pa.int64()), pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),

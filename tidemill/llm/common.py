@@ -14,7 +14,10 @@ from tidemill.session import ensure_checkpoint_dir
 #: Bytes of text that one vectorised step of a task holds.
 SLICE_BYTES = 8 << 20
 #: Bytes hashed with one table of powers.
-_SPAN = 1 << 20
+_SPAN = 1 << 18
+
+#: What a Python worker keeps for later tasks of the operator that made it (see ``pretokens.kept``).
+KEPT: dict[tuple, object] = {}
 
 _U = np.uint64
 #: ASCII white space; a word is a run of other bytes, `[^\x20\x09-\x0D]+`.
@@ -159,8 +162,14 @@ def covered(starts: np.ndarray, size: int, total: int) -> np.ndarray:
     return np.cumsum(edge[:total], dtype=np.int32) > 0
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that one slice holds about ``most`` bytes of text (or one longer text)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES,
+           keeping: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that one slice holds about ``most`` bytes of text (or one longer text).
+
+    A worker serves one operator after another: tasks not ``keeping`` what an earlier one kept drop it first.
+    """
+    if not keeping:
+        KEPT.clear()
     for batch in batches:
         if not batch.num_rows:
             continue

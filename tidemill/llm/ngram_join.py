@@ -56,6 +56,8 @@ HOT_BITS, SALTS = 12, 64
 #: Orders from which groups take their hub: near copies of one text meet about that many hubs, so that most
 #: of them are connected before the index is asked.
 HUBS = 8
+#: Bytes of text whose sets a task holds at once.
+SET_BYTES = 2 << 20
 #: Bits of the filter that tells which rows' sets a verification needs (2 to this many); false hits cost their hashing only.
 FILTER_BITS = 23
 _U = np.uint64
@@ -123,7 +125,7 @@ def _first_pass(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         mask = _U((1 << SKETCH_BITS) - 1)
-        for part in common.slices(batches):
+        for part in common.slices(batches, most=SET_BYTES):
             sets = sets_of(part, size)
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             counts += np.bincount((every & mask).astype(np.int64), minlength=counts.size)
@@ -176,7 +178,7 @@ def _classes(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, hot = shared.value
         mask = _U((1 << SKETCH_BITS) - 1)
-        for part in common.slices(batches):
+        for part in common.slices(batches, most=SET_BYTES):
             rows = []
             for codes, row_hash in zip(sets_of(part, size), part.column("row_hash").to_pylist(), strict=True):
                 n = codes.size
@@ -241,7 +243,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             at = batch.column("row_hash").to_numpy(zero_copy_only=False) & mask
             hit = (have[at >> 6] >> (at & 63).astype(np.uint64)) & _U(1) == 1
-            for part in common.slices(iter([batch.filter(pa.array(hit))])):
+            for part in common.slices(iter([batch.filter(pa.array(hit))]), most=SET_BYTES):
                 rows = {identity(s): s.view(np.int64) for s in sets_of(part, size) if s.size}
                 rows = [(*name, s) for name, s in rows.items() if name not in sent]
                 sent.update(row[:2] for row in rows)

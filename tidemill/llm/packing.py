@@ -184,7 +184,7 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, length: int = LENGT
             rows.clear()
             return pa.RecordBatch.from_arrays(cols, names=names)
 
-        for part in common.slices(batches, most=1 << 20):
+        for part in common.slices(batches, most=1 << 20, keeping=True):
             texts = [t or "" for t in part.column("text").to_pylist()]
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), cache.encode(texts), strict=True):
                 doc = (doc_id, ids + b"\0\0\0\0")

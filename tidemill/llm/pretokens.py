@@ -22,6 +22,8 @@ from itertools import chain
 
 import regex
 
+from tidemill.llm import common
+
 #: Runs that one generation of a task's cache holds.
 MOST_CACHED = 250_000
 #: Longer runs are not cached.
@@ -30,18 +32,16 @@ _FIRST = "\0"                                   # marks a run that no space prec
 _ENDS = (".", ",")
 
 
-_KEPT: dict[tuple, object] = {}
-
-
 def kept(key: tuple, make: Callable[[], object]):
     """``make()`` for the first task of a Python worker, the same object for later ones with that key.
 
-    Only one key's object is held, so a worker's memory does not grow with the tables it has met.
+    Only one key's object is held, so a worker's memory does not grow with the tables it has met; a task
+    of another operator drops it (``common.slices``), so it does not stay beside that one's arrays either.
     """
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = make()
-    return _KEPT[key]
+    if key not in common.KEPT:
+        common.KEPT.clear()
+        common.KEPT[key] = make()
+    return common.KEPT[key]
 
 
 def packed(ids: list[int]) -> bytes:
